@@ -99,7 +99,7 @@ def interval_label(edges: list[float], index, lowest_included: bool = True, digi
         a, b = edges[i - 1], edges[i]
         if i == 1 and lowest_included:
             a = round(a - 10 ** -digits, digits)
-        labels.append(f"({a:g}, {b:g}]")
+        labels.append(f"({round(a, digits)!r}, {round(b, digits)!r}]")
     return F.element_at(F.array(*[F.lit(x) for x in labels]), _c(index))
 
 
