@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardpanel.operators.features import melt_features
 from cardpanel.operators.ordered import running_sums
 from cardpanel.schema import FEATURES, MONTHS, TIER_HIGH, TIER_LOW, TIER_MEDIUM, TWD_PER_USD
 
@@ -50,8 +49,8 @@ def feature_boxplot_stats(view: DataFrame, names=FEATURES, label: str = "default
     """Per (feature, class): n, q1, median, q3 (linear interpolation between
     order statistics), whiskers (most extreme values within 1.5 IQR of the
     quartiles) and the outlier count."""
-    long = melt_features(view.select("customer_id", label, *names), names).join(
-        view.select("customer_id", label), "customer_id")
+    long = view.select(label, *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        [label], list(names), "feature_name", "feature_value")
     g = ["feature_name", label]
     r = running_sums(long, "feature_value", {"n": F.lit(1)}, group_cols=g, buckets=buckets)
     totals = r.groupBy(*g).agg(F.max("n_cum").alias("n_total"))
