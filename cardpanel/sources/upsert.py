@@ -48,7 +48,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
         elif c in update_cols:
             out.append(F.when(src_here, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         elif created_col is not None and c == created_col:
-            out.append(F.coalesce(F.col(f"t.{c}"), F.current_timestamp()).alias(c))
+            now = F.current_timestamp().cast(target.schema[c].dataType)
+            out.append(F.coalesce(F.col(f"t.{c}"), now).alias(c))
         elif c in source.columns:
             out.append(F.when(F.col(f"t.{keys[0]}").isNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:

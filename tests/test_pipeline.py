@@ -1,0 +1,86 @@
+"""End-to-end checks on the driver tables: expected counts, identities, plans."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardpanel.operators import roll as rl
+from cardpanel.operators import tiers as tr
+from cardpanel.plans.portfolio import PortfolioPlan
+from tests.conftest import SF001, SF01
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as e
+    rows = {r["tier_name"]: r["account_count"] for r in e.entry(spark).collect()}
+    assert rows == {"Low Risk": 5, "Medium Risk": 35, "High Risk": 110}
+    assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_expected_tiers_and_streak_sf001(spark):
+    p = PortfolioPlan(spark, SF01)
+    tiers = {r["risk_tier"]: r["count"] for r in p.tiers.groupBy("risk_tier").count().collect()}
+    assert tiers == {"Low Risk": 73, "Medium Risk": 375, "High Risk": 1052}
+    assert p.features.agg(F.max("consecutive_delays")).first()[0] == 5
+    st = {r["payment_status"]: r["count"] for r in p.panel.groupBy("payment_status").count().collect()}
+    assert [st.get(s, 0) for s in range(-2, 10)] == [1754, 1788, 2924, 703, 759, 788, 127, 100, 36, 10, 7, 4]
+
+
+def test_roll_identities(spark):
+    p = PortfolioPlan(spark, SF01)
+    roll = rl.roll_rates(p.panel)
+    n = p.customers.count()
+    per_pair = {r["month_pair"]: r["s"] for r in roll.groupBy("month_pair").agg(F.sum("account_count").alias("s")).collect()}
+    assert set(per_pair.values()) == {n}                                  # identity 1
+    pct = roll.groupBy("month_pair", "from_bucket").agg(F.sum("pct_of_accounts").alias("p")).collect()
+    assert all(abs(r["p"] - 100) < 1e-9 for r in pct)                     # identity 3
+    fwd = {r["month_1_bucket"]: r["account_count"] for r in rl.forward_roll(p.panel, p.outcomes).collect()}
+    dep = {r["from_bucket"]: r["s"] for r in roll.filter(F.col("month_pair") == "1->2").groupBy("from_bucket")
+           .agg(F.sum("account_count").alias("s")).collect()}
+    assert fwd == dep                                                     # identity 2 (departures)
+    arr = {r["to_bucket"]: r["s"] for r in roll.filter(F.col("month_pair") == "1->2").groupBy("to_bucket")
+           .agg(F.sum("account_count").alias("s")).collect()}
+    dep2 = {r["from_bucket"]: r["s"] for r in roll.filter(F.col("month_pair") == "2->3").groupBy("from_bucket")
+            .agg(F.sum("account_count").alias("s")).collect()}
+    assert arr == dep2                                                    # arrivals = next departures
+    join_form = sorted(tuple(r) for r in rl.roll_rates(p.panel, form="join").collect())
+    assert join_form == sorted(tuple(r) for r in roll.collect())
+
+
+def test_golden_roll_row_arithmetic(spark):
+    counts = [("30-DPD", 28), ("60-DPD", 1672), ("90+-DPD", 43), ("90-DPD", 109), ("Current", 1836)]
+    df = spark.createDataFrame([("1->2", "30-DPD", t, n) for t, n in counts],
+                               "month_pair string, from_bucket string, to_bucket string, account_count long")
+    r = {x["to_bucket"]: x["pct_of_accounts"] for x in
+         rl.pct_within(df, "account_count", ["month_pair", "from_bucket"], "pct_of_accounts").collect()}
+    assert r["60-DPD"] == pytest.approx(45.33622559652928) and r["Current"] == pytest.approx(49.78308026030369)
+
+
+def test_low_tier_on_time_average_is_six(spark):
+    p = PortfolioPlan(spark, SF01)
+    ov = {r["tier_name"]: r for r in tr.portfolio_overview(p.view, "TWD", digits=False).collect()}
+    assert ov["Low Risk"]["avg_on_time_months"] == 6.0                   # identity 8
+    assert sum(r["account_count"] for r in ov.values()) == 1500
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_feature_plan_has_one_shuffle_per_input(spark):
+    """Lazy plan: customers and panel each shuffled once on customer_id; the
+    aggregation reuses the join's partitioning (no extra exchange)."""
+    p = PortfolioPlan(spark, SF001, materialize=True)
+    from cardpanel.operators.features import credit_features
+    plan = credit_features(p.panel, p.customers)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(customer_id") <= 2
+    assert "SinglePartition" not in plan
+
+
+def test_no_single_partition_over_rows_in_ap(spark):
+    from cardpanel.operators.evaluation import cost_curve
+    p = PortfolioPlan(spark, SF001)
+    plan = cost_curve(p.scores)._jdf.queryExecution().executedPlan().toString()
+    # the only single-partition window runs over the (grid+1) aggregated rows
+    assert plan.count("SinglePartition") <= 1
