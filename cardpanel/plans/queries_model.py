@@ -129,3 +129,30 @@ def q_model_metrics(spark, sf_dir):
     f2 = ev.fbeta(ev.confusion(s, best_t), 2.0).select(F.col("fbeta").alias("f2_at_optimum"))
     ap = ev.average_precision(s)
     return summary.withColumn("f2_at_optimum", f2.scalar()).withColumn("average_precision", ap.scalar())
+
+
+def _gbt_test_attributions(spark, sf_dir):
+    from cardpanel.operators.treeshap import tree_attributions
+    p, d = _frame(spark, sf_dir)
+    t = md.train_gbt(d.filter(F.col("split") == "train"), grid=CHECK_GRID)
+    test = d.filter(F.col("split") == "test")
+    return t, test, tree_attributions(md.sample_n(test, 2000), t.model)
+
+
+@register("tree_attributions", group="model")
+def q_tree_attributions(spark, sf_dir):
+    """Mean |Shapley value| per feature (margin scale) over a seeded sample of
+    at most 2000 test accounts, ranked."""
+    _, _, attr = _gbt_test_attributions(spark, sf_dir)
+    return ex.attribution_importance(attr)
+
+
+@register("tree_top_drivers", group="model")
+def q_tree_top_drivers(spark, sf_dir):
+    """Top 20 test accounts by model score with their three largest drivers."""
+    from cardpanel.operators.treeshap import tree_attributions
+    t, test, _ = _gbt_test_attributions(spark, sf_dir)
+    scored = md.score_portfolio(t, test.select("customer_id", "default_next_month", *md.FEATURES))
+    top = scored.orderBy(F.col("risk_score").desc(), F.col("customer_id")).limit(20)
+    attr = tree_attributions(top.join(test.select("customer_id", *md.FEATURES), "customer_id"), t.model)
+    return ex.top_drivers(top, attr, 20)
