@@ -158,10 +158,20 @@ DEFAULT_GRID = {"maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1], "maxIter": [100,
 
 
 def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURES, grid: dict | None = None,
-              folds: int = 3, seed: int = 42, weight_mode: str = "pos_ratio", parallelism: int = 1) -> Trained:
+              folds: int = 3, seed: int = 42, weight_mode: str = "pos_ratio", parallelism: int = 1,
+              resample: str | None = None) -> Trained:
     """Boosted trees, grid-searched by k-fold CV on the ``fold`` column with
-    average precision; the best grid point is refit on all training rows."""
+    average precision; the best grid point is refit on all training rows.
+
+    ``resample="smote"`` oversamples the minority class first and assigns the
+    folds on the resampled rows - the reference order (synthetic rows can
+    then inform the validation folds), kept for faithfulness; the class
+    weights are computed after resampling, as there."""
     grid = grid or DEFAULT_GRID
+    if resample == "smote":
+        from cardpanel.operators.neighbors import smote
+        res = smote(train.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
+        train = cut_lineage(with_folds(res, label, folds, seed))
     d = with_weights(train, label, weight_mode)
     d = assemble(d, names)
     d = d.withColumn(label, F.col(label).cast("double"))

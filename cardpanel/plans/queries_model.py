@@ -156,3 +156,22 @@ def q_tree_top_drivers(spark, sf_dir):
     top = scored.orderBy(F.col("risk_score").desc(), F.col("customer_id")).limit(20)
     attr = tree_attributions(top.join(test.select("customer_id", *md.FEATURES), "customer_id"), t.model)
     return ex.top_drivers(top, attr, 20)
+
+
+@register("smote", group="model")
+def q_smote(spark, sf_dir):
+    """Training split oversampled to class parity (exact 5-nearest minority
+    neighbours, seeded interpolation); originals kept, synthetic rows flagged."""
+    from cardpanel.operators.neighbors import smote
+    p, d = _frame(spark, sf_dir)
+    train = d.filter(F.col("split") == "train").select("customer_id", *md.FEATURES, "default_next_month")
+    return smote(train, list(md.FEATURES))
+
+
+@register("train_gbt_smote", group="model")
+def q_train_gbt_smote(spark, sf_dir):
+    """Grid search on the SMOTE-resampled training split (reference order)."""
+    p, d = _frame(spark, sf_dir)
+    t = md.train_gbt(d.filter(F.col("split") == "train"), grid=CHECK_GRID, resample="smote")
+    rows = [(int(g["maxDepth"]), float(g["stepSize"]), int(g["maxIter"]), m) for g, m in t.cv_metrics]
+    return spark.createDataFrame(rows, "max_depth int, step_size double, max_iter int, cv_average_precision double")

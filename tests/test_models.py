@@ -80,3 +80,32 @@ def test_standardize_population(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, 5.0)], "customer_id long, a double")
     z = [r["a"] for r in md.standardize(df, ["a"]).orderBy("customer_id").collect()]
     assert z == pytest.approx([-1.224744871, 0.0, 1.224744871])
+
+
+def test_exact_knn_matches_brute_force(spark):
+    from cardpanel.operators.neighbors import exact_knn
+    rng = np.random.default_rng(3)
+    pts = np.vstack([rng.normal(0, 1, (150, 3)), rng.normal(5, 0.01, (80, 3)), np.ones((30, 3))])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "id long, a double, b double, c double")
+    got = exact_knn(df, "id", NAMES, k=5, block_size=16).toPandas()
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    for i in range(len(pts)):
+        exp = np.sort(d[i])[:5]
+        mine = np.sort(got.loc[got["pid"] == i, "distance"].to_numpy())
+        assert np.allclose(mine, exp), i
+
+
+def test_smote_balances_and_interpolates(spark):
+    from cardpanel.operators.neighbors import smote
+    rng = np.random.default_rng(4)
+    rows = [(i, float(rng.random()), float(rng.random()), float(rng.random()), int(i % 4 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "customer_id long, a double, b double, c double, y int")
+    out = smote(df, NAMES, label="y", k=5).toPandas()
+    counts = out.groupby("y").size().to_dict()
+    assert counts[0] == counts[1] == 150
+    orig = out[~out["synthetic"]]
+    assert len(orig) == 200
+    mino = np.array([r[1:4] for r in rows if r[4] == 1])
+    syn = out[out["synthetic"]][NAMES].to_numpy()
+    assert (syn >= mino.min(axis=0) - 1e-12).all() and (syn <= mino.max(axis=0) + 1e-12).all()
