@@ -183,3 +183,20 @@ def label_distribution(outcomes: DataFrame, overall: str = "group_keys", digits:
     else:
         raise ValueError("overall must be 'group_keys' or 'rows'")
     return g.withColumn("portfolio_default_rate_pct", F.round(rate, digits) if digits is not None else rate)
+
+
+def ordered(df: DataFrame, cols: list, category_order: dict[str, list[str]] | None = None) -> DataFrame:
+    """Sort a (small, aggregated) result: ``cols`` are column names or sort
+    Columns; a column named in ``category_order`` sorts by its position in
+    the given list (e.g. Low, Medium, High) instead of alphabetically.
+    Nulls go last, as in a SQL ascending sort."""
+    category_order = category_order or {}
+    keys = []
+    for c in cols:
+        if isinstance(c, str) and c in category_order:
+            keys.append(tier_rank(c, category_order[c]).asc_nulls_last())
+        elif isinstance(c, str):
+            keys.append(F.col(c).asc_nulls_last())
+        else:
+            keys.append(c)
+    return df.orderBy(*keys)
