@@ -12,9 +12,11 @@ and exact-decimal arithmetic only (the same rules are written as SQL in
 * outcomes: from month 1 status and the key.
 
 Plan shape: lineitem is pre-aggregated per order (partial aggregation absorbs a
-hot order), joined 1:1 to orders, then aggregated per (customer, month); the
-six-month scaffold is a narrow ``explode`` of each customer row.  No broadcast
-of anything that grows with the data.
+hot order), joined 1:1 to orders, then aggregated per customer with one
+conditional sum per month (partial aggregation absorbs a hot customer); the
+six months are exploded from that row, so the panel leaves the build already
+hash-partitioned by customer_id.  No broadcast of anything that grows with
+the data.
 """
 
 from __future__ import annotations
@@ -51,8 +53,7 @@ def customers_from_star(customer: DataFrame) -> DataFrame:
     )
 
 
-def monthly_aggregates(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One row per (customer, month) that had at least one order."""
+def _orders_with_returns(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     returned = (
         lineitem.filter(F.col("l_returnflag") == "R")
         .groupBy("l_orderkey")
@@ -68,14 +69,24 @@ def monthly_aggregates(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         signed.alias("signed_total"), urgent.alias("urgency"),
         (F.col("o_orderpriority") == "5-LOW").alias("is_low"),
     )
-    joined = o.join(returned, o["o_orderkey"] == returned["l_orderkey"], "left")
-    return joined.groupBy("customer_id", "month_number").agg(
-        F.sum("signed_total").alias("bill"),
-        F.sum("order_pay").alias("pay"),
-        F.sum("urgency").alias("u"),
-        F.count_if("is_low").alias("lo"),
-        F.count(F.lit(1)).alias("n_orders"),
-    )
+    return o.join(returned, o["o_orderkey"] == returned["l_orderkey"], "left")
+
+
+def monthly_aggregates(orders: DataFrame, lineitem: DataFrame, months: int = MONTHS) -> DataFrame:
+    """One row per customer with orders: bill_m, pay_m, u_m, lo_m, n_m for
+    each month m - month-conditional sums in ONE aggregation keyed by the
+    customer, so the result is hash-partitioned by customer_id (the key of
+    every later join and aggregation)."""
+    j = _orders_with_returns(orders, lineitem)
+    aggs = []
+    for m in range(1, months + 1):
+        in_m = F.col("month_number") == m
+        aggs += [F.sum(F.when(in_m, F.col("signed_total"))).alias(f"bill_{m}"),
+                 F.sum(F.when(in_m, F.col("order_pay"))).alias(f"pay_{m}"),
+                 F.sum(F.when(in_m, F.col("urgency"))).alias(f"u_{m}"),
+                 F.count_if(in_m & F.col("is_low")).alias(f"lo_{m}"),
+                 F.count_if(in_m).alias(f"n_{m}")]
+    return j.groupBy("customer_id").agg(*aggs)
 
 
 def status_rule(has_order, u, lo):
@@ -89,19 +100,21 @@ def status_rule(has_order, u, lo):
     )
 
 
-def panel_from_star(customers: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    scaffold = customers.select(
-        "customer_id", F.explode(F.sequence(F.lit(1), F.lit(MONTHS))).alias("month_number"))
-    agg = monthly_aggregates(orders, lineitem)
-    j = scaffold.join(agg, ["customer_id", "month_number"], "left")
-    has_order = F.col("n_orders").isNotNull()
-    return j.select(
-        "customer_id",
-        F.col("month_number").cast("int").alias("month_number"),
-        F.coalesce(F.col("bill"), F.lit(0)).cast(MONEY).alias("bill_amount"),
-        F.coalesce(F.col("pay"), F.lit(0)).cast(MONEY).alias("pay_amount"),
-        status_rule(has_order, F.col("u"), F.col("lo")).alias("payment_status"),
-    )
+def panel_from_star(customers: DataFrame, orders: DataFrame, lineitem: DataFrame, months: int = MONTHS) -> DataFrame:
+    """Every customer x month 1..6: the per-customer aggregate is left-joined
+    to the customers and its six months are exploded in place (a narrow
+    ``inline``), so the panel keeps the customer_id partitioning."""
+    agg = monthly_aggregates(orders, lineitem, months)
+    j = customers.select("customer_id").join(agg, "customer_id", "left")
+    rows = []
+    for m in range(1, months + 1):
+        has_order = F.coalesce(F.col(f"n_{m}"), F.lit(0)) > 0
+        rows.append(F.struct(
+            F.lit(m).alias("month_number"),
+            F.coalesce(F.col(f"bill_{m}"), F.lit(0)).cast(MONEY).alias("bill_amount"),
+            F.coalesce(F.col(f"pay_{m}"), F.lit(0)).cast(MONEY).alias("pay_amount"),
+            status_rule(has_order, F.col(f"u_{m}"), F.col(f"lo_{m}")).alias("payment_status")))
+    return j.select("customer_id", F.inline(F.array(*rows)))
 
 
 def outcomes_from_panel(panel: DataFrame) -> DataFrame:
