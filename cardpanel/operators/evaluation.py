@@ -88,9 +88,10 @@ def threshold_summary(curve: DataFrame, reference: float = 0.5, test_share: floa
 
 
 def pr_curve(scored: DataFrame, score: str = "risk_score", label: str = "default_next_month",
-             buckets: int = 64) -> DataFrame:
+             rows_per_block: int = 1_000_000) -> DataFrame:
     """threshold, precision, recall, tp at each distinct score (descending)."""
-    r = running_sums(scored, score, {"n": F.lit(1), "tp": F.col(label)}, descending=True, buckets=buckets)
+    r = running_sums(scored, score, {"n": F.lit(1), "tp": F.col(label)}, descending=True,
+                     rows_per_block=rows_per_block)
     positives = scored.agg(F.sum(label)).scalar()
     return r.select(F.col(score).alias("threshold"),
                     (F.col("tp_cum") / F.col("n_cum")).alias("precision"),
@@ -99,9 +100,10 @@ def pr_curve(scored: DataFrame, score: str = "risk_score", label: str = "default
 
 
 def average_precision(scored: DataFrame, score: str = "risk_score", label: str = "default_next_month",
-                      buckets: int = 64) -> DataFrame:
+                      rows_per_block: int = 1_000_000) -> DataFrame:
     """Sum over distinct scores of (recall step) x (precision there)."""
-    r = running_sums(scored, score, {"n": F.lit(1), "tp": F.col(label)}, descending=True, buckets=buckets)
+    r = running_sums(scored, score, {"n": F.lit(1), "tp": F.col(label)}, descending=True,
+                     rows_per_block=rows_per_block)
     term = F.col("tp").cast("double") * F.col("tp_cum").cast("double") / F.col("n_cum").cast("double")
     return r.agg((F.sum(term) / F.sum("tp")).alias("average_precision"))
 

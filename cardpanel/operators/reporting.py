@@ -45,14 +45,14 @@ def utilization_histogram(view: DataFrame, value: str = "avg_utilization", label
 
 
 def feature_boxplot_stats(view: DataFrame, names=FEATURES, label: str = "default_next_month",
-                          buckets: int = 32) -> DataFrame:
+                          rows_per_block: int = 1_000_000) -> DataFrame:
     """Per (feature, class): n, q1, median, q3 (linear interpolation between
     order statistics), whiskers (most extreme values within 1.5 IQR of the
     quartiles) and the outlier count."""
     long = view.select(label, *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
         [label], list(names), "feature_name", "feature_value")
     g = ["feature_name", label]
-    r = running_sums(long, "feature_value", {"n": F.lit(1)}, group_cols=g, buckets=buckets)
+    r = running_sums(long, "feature_value", {"n": F.lit(1)}, group_cols=g, rows_per_block=rows_per_block)
     totals = r.groupBy(*g).agg(F.max("n_cum").alias("n_total"))
     rt = r.join(F.broadcast(totals), g)  # one row per (feature, class): bounded
     aggs = []
