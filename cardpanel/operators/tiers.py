@@ -105,15 +105,20 @@ def tier_demographics(tiers: DataFrame, customers: DataFrame, digits: int | None
         r(F.avg((F.col("education") == 1).cast("int")) * 100).alias("pct_graduate_educated"))
 
 
-def account_view(features: DataFrame, tiers: DataFrame, customers: DataFrame, outcomes: DataFrame) -> DataFrame:
+def account_view(features: DataFrame, tiers: DataFrame | None, customers: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Features + tier + limit/demographics + label, all keyed by customer_id.
 
-    Inner joins on one key: Spark plans them over a single hash partitioning
-    of customer_id (features come out of their aggregation already
-    partitioned by it)."""
-    return (features.join(tiers.select("customer_id", "risk_tier", "tier_reason"), "customer_id")
-            .join(customers.select("customer_id", "credit_limit", "sex", "education", "marriage", "age"),
-                  "customer_id")
+    With ``tiers=None`` the tier columns are computed on the feature rows
+    (a projection) instead of joining the tier table back to the features it
+    came from.  The remaining inner joins share one key, so Spark plans them
+    over a single hash partitioning of customer_id (features come out of
+    their aggregation already partitioned by it)."""
+    if tiers is None:
+        base = assign_tiers(features, keep_features=True)
+    else:
+        base = features.join(tiers.select("customer_id", "risk_tier", "tier_reason"), "customer_id")
+    return (base.join(customers.select("customer_id", "credit_limit", "sex", "education", "marriage", "age"),
+                      "customer_id")
             .join(outcomes, "customer_id"))
 
 

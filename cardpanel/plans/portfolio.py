@@ -21,7 +21,7 @@ from cardpanel.functions.columns import heuristic_probability
 from cardpanel.operators import features as feat
 from cardpanel.operators import tiers as tr
 from cardpanel.session import cut_lineage
-from cardpanel.sources.starschema import Portfolio, star_portfolio
+from cardpanel.sources.starschema import Portfolio, outcomes_from_panel, star_portfolio
 
 _INGEST: dict[tuple[str, str], Portfolio] = {}
 _FEATURES: dict[tuple[str, str, str], DataFrame] = {}
@@ -32,16 +32,17 @@ def _app_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def ingest(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Portfolio:
-    """customers / panel / outcomes; materialised once per application."""
+    """customers / panel / outcomes.  The panel (the expensive derivation from
+    orders and line items) is materialised once per application; customers
+    are a projection of one scan and outcomes a projection of the stored
+    panel, both cheaper to re-read than to store again."""
     if not materialize:
         return star_portfolio(spark, sf_dir)
     key = _app_key(spark, sf_dir)
     if key not in _INGEST:
         p = star_portfolio(spark, sf_dir)
-        customers = cut_lineage(p.customers)
         panel = cut_lineage(p.panel)
-        from cardpanel.sources.starschema import outcomes_from_panel
-        _INGEST[key] = Portfolio(customers, panel, cut_lineage(outcomes_from_panel(panel)))
+        _INGEST[key] = Portfolio(p.customers, panel, outcomes_from_panel(panel))
     return _INGEST[key]
 
 
@@ -70,7 +71,7 @@ class PortfolioPlan:
 
     @cached_property
     def view(self) -> DataFrame:
-        return tr.account_view(self.features, self.tiers, self.customers, self.outcomes)
+        return tr.account_view(self.features, None, self.customers, self.outcomes)
 
     @cached_property
     def scores(self) -> DataFrame:
