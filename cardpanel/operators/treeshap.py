@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardpanel.schema import FEATURES
-from cardpanel.session import checkpoint_dir
+from cardpanel.session import checkpoint_dir, ship_package
 
 CHUNK = 512
 
@@ -107,6 +107,7 @@ def explain_matrix(trees, weights, x: np.ndarray) -> tuple[np.ndarray, float, np
 
 def tree_attributions(df: DataFrame, model, names=FEATURES, key: str = "customer_id") -> DataFrame:
     """key + one attribution column per feature + base_value + margin."""
+    ship_package(df.sparkSession)
     nodes, weights = node_table(model)
     trees = _trees(nodes)
     sc = df.sparkSession.sparkContext
