@@ -84,3 +84,16 @@ def test_no_single_partition_over_rows_in_ap(spark):
     plan = cost_curve(p.scores)._jdf.queryExecution().executedPlan().toString()
     # the only single-partition window runs over the (grid+1) aggregated rows
     assert plan.count("SinglePartition") <= 1
+
+
+def test_export_all(spark):
+    import tempfile
+    from cardpanel.plans.exports import export_all
+    out = tempfile.mkdtemp(prefix="cardpanel-export-")
+    written = export_all(spark, SF001, out)
+    assert spark.read.parquet(written["monthly_payments"]).count() == 900
+    assert spark.read.parquet(written["roll_rate_matrix"]).groupBy("month_pair").count().count() == 5
+    ov = spark.read.option("header", True).csv(written["dashboard/portfolio_overview"])
+    assert ov.columns[:3] == ["tier_name", "account_count", "pct_of_portfolio"] and ov.count() == 3
+    m = spark.read.json(written["metrics"]).first()
+    assert m["accounts"] == 150 and m["annualized_cost_saving"] == 60 * m["test_period_cost_saving"]
