@@ -53,14 +53,25 @@ def customers_from_star(customer: DataFrame) -> DataFrame:
     )
 
 
+def cents(amount) -> "F.Column":
+    """Exact money in integer cents: decimal(12,2) x 100 as a long.  Sums of
+    longs stay in compact, code-generated aggregation buffers; wide decimal
+    sums (precision > 18) would be held as big decimals."""
+    return (amount.cast(MONEY) * 100).cast("long")
+
+
+def from_cents(c) -> "F.Column":
+    return (c.cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+
+
 def _orders_with_returns(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     returned = (
         lineitem.filter(F.col("l_returnflag") == "R")
         .groupBy("l_orderkey")
-        .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("order_pay"))
+        .agg(F.sum(cents(F.col("l_extendedprice"))).alias("order_pay"))
     )
     okey = F.col("o_orderkey")
-    price = F.col("o_totalprice").cast(MONEY)
+    price = cents(F.col("o_totalprice"))
     signed = F.when((F.col("o_orderstatus") == "F") & (okey % 5 == 0), -price).otherwise(price)
     urgent = F.when(F.col("o_orderpriority") == "1-URGENT", 1 + okey % 3).otherwise(F.lit(0))
     o = orders.select(
@@ -111,8 +122,8 @@ def panel_from_star(customers: DataFrame, orders: DataFrame, lineitem: DataFrame
         has_order = F.coalesce(F.col(f"n_{m}"), F.lit(0)) > 0
         rows.append(F.struct(
             F.lit(m).alias("month_number"),
-            F.coalesce(F.col(f"bill_{m}"), F.lit(0)).cast(MONEY).alias("bill_amount"),
-            F.coalesce(F.col(f"pay_{m}"), F.lit(0)).cast(MONEY).alias("pay_amount"),
+            from_cents(F.coalesce(F.col(f"bill_{m}"), F.lit(0))).alias("bill_amount"),
+            from_cents(F.coalesce(F.col(f"pay_{m}"), F.lit(0))).alias("pay_amount"),
             status_rule(has_order, F.col(f"u_{m}"), F.col(f"lo_{m}")).alias("payment_status")))
     return j.select("customer_id", F.inline(F.array(*rows)))
 
