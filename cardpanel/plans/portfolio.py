@@ -3,10 +3,12 @@
 Layer 1, ingest: customers, monthly statements and outcomes derived from the
 raw tables.  Layer 2: the feature table.  Both are what the SQL line persists
 as tables and what every analysis reads many times, so each is written ONCE
-per (application, data folder) as a reliable checkpoint in the shared
-checkpoint folder and re-read from there; tiers, views and scores stay lazy
-projections/joins over them.  A recomputation after a lost executor starts at
-the checkpoint, not at the raw scan.
+per (application, data folder) as a Parquet table bucketed by customer_id in
+the shared checkpoint folder and re-read from there; tiers, views and scores
+stay lazy projections/joins over them.  Bucketing keeps the customer_id
+partitioning across the write: transitions, features and the account view
+do not shuffle the statements or the features again, and a recomputation
+after a lost executor starts at the stored table, not at the raw scan.
 
 ``materialize=False`` keeps everything lazy (plan inspection, tests).
 """
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardpanel.functions.columns import heuristic_probability
 from cardpanel.operators import features as feat
 from cardpanel.operators import tiers as tr
-from cardpanel.session import cut_lineage
+from cardpanel.session import store_table
 from cardpanel.sources.starschema import Portfolio, outcomes_from_panel, star_portfolio
 
 _INGEST: dict[tuple[str, str], Portfolio] = {}
@@ -41,7 +43,7 @@ def ingest(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Portfo
     key = _app_key(spark, sf_dir)
     if key not in _INGEST:
         p = star_portfolio(spark, sf_dir)
-        panel = cut_lineage(p.panel)
+        panel = store_table(p.panel, "monthly_payments", ["customer_id"], ["customer_id", "month_number"])
         _INGEST[key] = Portfolio(p.customers, panel, outcomes_from_panel(panel))
     return _INGEST[key]
 
@@ -62,7 +64,7 @@ class PortfolioPlan:
             return f
         key = (*_app_key(self.spark, self.sf_dir), self.semantics)
         if key not in _FEATURES:
-            _FEATURES[key] = cut_lineage(f)
+            _FEATURES[key] = store_table(f, f"credit_features_{self.semantics}", ["customer_id"], ["customer_id"])
         return _FEATURES[key]
 
     @cached_property

@@ -88,3 +88,25 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(out)
     _SHIPPED.add(sc.applicationId)
+
+
+def store_table(df: DataFrame, name: str, bucket_by: list[str] | None = None, sort_by: list[str] | None = None,
+                buckets: int | None = None) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return it re-read.  With ``bucket_by`` the table is bucketed (same
+    hash as a shuffle), so later joins, aggregations and windows on that key
+    read it without shuffling it again.  ``buckets`` defaults to the shuffle
+    partition count, so the other side of a join lines up with the buckets."""
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    table = f"cardpanel_{name}_{uuid.uuid4().hex[:12]}"
+    writer = df.write.mode("overwrite").format("parquet").option("path", f"{base}/tables/{table}")
+    if bucket_by:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(n, *bucket_by)
+        if sort_by:
+            writer = writer.sortBy(*sort_by)
+    writer.saveAsTable(table)
+    return spark.table(table)
