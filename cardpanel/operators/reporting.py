@@ -135,19 +135,27 @@ def limit_band(col="credit_limit", edges=LIMIT_BANDS):
     return expr
 
 
-def account_explorer(view: DataFrame, scores: DataFrame, edges=LIMIT_BANDS) -> DataFrame:
+def _with_score(view: DataFrame, scores: DataFrame | None) -> DataFrame:
+    """The view with its score: joined from ``scores``, or already a column of
+    the view (``scores=None``), which avoids re-joining the same keys."""
+    if scores is None:
+        return view
+    return view.join(scores.select("customer_id", "risk_score"), "customer_id")
+
+
+def account_explorer(view: DataFrame, scores: DataFrame | None, edges=LIMIT_BANDS) -> DataFrame:
     """Scatter extract: utilization vs score by tier, with the tooltip fields
     and a credit-limit band for filtering."""
-    j = view.join(scores.select("customer_id", "risk_score"), "customer_id")
+    j = _with_score(view, scores)
     return j.select("customer_id", "avg_utilization", "risk_score", "risk_tier", "max_delinquency", "on_time_months",
                     F.col("credit_limit").cast("double").alias("credit_limit"),
                     limit_band("credit_limit", edges).alias("limit_band"), "default_next_month")
 
 
-def top_risk_accounts(view: DataFrame, scores: DataFrame, n: int = 500) -> DataFrame:
+def top_risk_accounts(view: DataFrame, scores: DataFrame | None, n: int = 500) -> DataFrame:
     """Top n accounts by score (ties: customer_id) in the export layout; the
     score appears under both of its published names."""
-    j = view.join(scores.select("customer_id", "risk_score"), "customer_id")
+    j = _with_score(view, scores)
     return (j.select("customer_id", "risk_tier", "risk_score", F.col("risk_score").alias("fraud_risk_score"),
                      "avg_utilization", "max_delinquency", "on_time_months",
                      F.col("credit_limit").cast("double").alias("credit_limit"), "default_next_month")

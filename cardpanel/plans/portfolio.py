@@ -75,6 +75,11 @@ class PortfolioPlan:
     def view(self) -> DataFrame:
         return tr.account_view(self.features, None, self.customers, self.outcomes)
 
+    @cached_property
+    def scored_view(self) -> DataFrame:
+        """The account view with the heuristic score as a column (no re-join)."""
+        return self.view.withColumn("risk_score", heuristic_probability())
+
     @cached_property
     def scores(self) -> DataFrame:
         """Deterministic heuristic probability per account with its label."""

@@ -43,7 +43,8 @@ FROM (
   GROUP BY default_next_month, b
 ) h""", VIEW_SQL, group="report")
 def q_utilization_histogram(spark, sf_dir):
-    return rp.utilization_histogram(_plan(spark, sf_dir).view)
+    p = _plan(spark, sf_dir)
+    return rp.utilization_histogram(p.features.join(p.outcomes, "customer_id"))
 
 
 def _melt_sql(src: str) -> str:
@@ -125,8 +126,7 @@ SELECT a.customer_id, a.avg_utilization, s.risk_score, a.risk_tier, a.max_delinq
        CAST(a.credit_limit AS DOUBLE) AS credit_limit, {_band_sql()} AS limit_band, a.default_next_month
 FROM acct a JOIN scores s USING (customer_id)""", VIEW_SQL, group="report")
 def q_account_explorer(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    return rp.account_explorer(p.view, p.scores)
+    return rp.account_explorer(_plan(spark, sf_dir).scored_view, None)
 
 
 @register("top_risk_accounts", """
@@ -135,8 +135,7 @@ SELECT a.customer_id, a.risk_tier, s.risk_score, s.risk_score AS fraud_risk_scor
 FROM acct a JOIN scores s USING (customer_id)
 ORDER BY s.risk_score DESC, a.customer_id LIMIT 500""", VIEW_SQL, group="report")
 def q_top_risk_accounts(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    return rp.top_risk_accounts(p.view, p.scores, 500)
+    return rp.top_risk_accounts(_plan(spark, sf_dir).scored_view, None, 500)
 
 
 ATTR_SQL = """
