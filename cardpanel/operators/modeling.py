@@ -166,8 +166,12 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
     ``resample="smote"`` oversamples the minority class first and assigns the
     folds on the resampled rows - the reference order (synthetic rows can
     then inform the validation folds), kept for faithfulness; the class
-    weights are computed after resampling, as there."""
+    weights are computed after resampling, as there.
+    ``resample="smote_in_folds"`` resamples only each fold's training part
+    and validates on the untouched original rows of the held-out fold."""
     grid = grid or DEFAULT_GRID
+    if resample == "smote_in_folds":
+        return _train_gbt_resampled_folds(train, label, names, grid, folds, seed, weight_mode)
     if resample == "smote":
         from cardpanel.operators.neighbors import smote
         res = smote(train.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
@@ -215,3 +219,32 @@ def _standardize_with(ref: DataFrame, df: DataFrame, names) -> DataFrame:
 def logistic_coefficients(trained: Trained, names=FEATURES) -> dict[str, float]:
     coefs = trained.model.coefficients.toArray().tolist()
     return dict(zip(names, coefs))
+
+
+def _train_gbt_resampled_folds(train: DataFrame, label: str, names, grid: dict, folds: int, seed: int,
+                               weight_mode: str) -> Trained:
+    from cardpanel.operators.neighbors import smote
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        res = smote(rows.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
+        d = assemble(with_weights(res, label, weight_mode), names)
+        return cut_lineage(d.withColumn(label, F.col(label).cast("double")))
+
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed)
+    pg = ParamGridBuilder()
+    for k, vals in grid.items():
+        pg = pg.addGrid(gbt.getParam(k), vals)
+    maps = pg.build()
+    evaluator = AveragePrecisionEvaluator(label)
+    fold_data = []
+    for k in range(folds):
+        fit_rows = prepared(train.filter(F.col("fold") != k))
+        held_out = assemble(train.filter(F.col("fold") == k), names)
+        fold_data.append((fit_rows, held_out))
+    metrics = []
+    for pm in maps:
+        scores = [evaluator.evaluate(gbt.copy(pm).fit(f).transform(h)) for f, h in fold_data]
+        metrics.append(({p.name: v for p, v in pm.items()}, sum(scores) / len(scores)))
+    best_i = max(range(len(maps)), key=lambda i: metrics[i][1])
+    model = gbt.copy(maps[best_i]).fit(prepared(train))
+    return Trained(model, "gbt", metrics[best_i][0], metrics)

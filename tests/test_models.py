@@ -109,3 +109,14 @@ def test_smote_balances_and_interpolates(spark):
     mino = np.array([r[1:4] for r in rows if r[4] == 1])
     syn = out[out["synthetic"]][NAMES].to_numpy()
     assert (syn >= mino.min(axis=0) - 1e-12).all() and (syn <= mino.max(axis=0) + 1e-12).all()
+
+
+def test_gbt_resampling_inside_folds(spark):
+    from cardpanel.plans.portfolio import PortfolioPlan
+    p = PortfolioPlan(spark, "/root/testdata/sf0.001")
+    d = md.training_frame(p.features, p.outcomes)
+    t = md.train_gbt(d.filter(F.col("split") == "train"), grid={"maxDepth": [2], "stepSize": [0.1], "maxIter": [3]},
+                     resample="smote_in_folds")
+    assert len(t.cv_metrics) == 1 and 0.0 <= t.cv_metrics[0][1] <= 1.0
+    scored = md.score_portfolio(t, d.select("customer_id", "default_next_month", *md.FEATURES))
+    assert scored.count() == 150
