@@ -67,6 +67,14 @@ def export_all(spark: SparkSession, sf_dir: str, out_dir: str, with_model: bool
     }
     for name, df in extracts.items():
         written[f"dashboard/{name}"] = write_table(df, os.path.join(dash, name), fmt="csv", small=True)
+    if with_model:
+        from cardpanel.plans.queries_model import q_tree_attributions, q_tree_top_drivers
+        importance = q_tree_attributions(spark, sf_dir).withColumnRenamed("mean_abs_value", "mean_abs_shap_value")
+        written["feature_importance"] = write_table(importance, os.path.join(processed, "feature_importance"), small=True)
+        written["dashboard/feature_importance"] = write_table(importance, os.path.join(dash, "feature_importance"),
+                                                              fmt="csv", small=True)
+        written["top_20_shap_drivers"] = write_table(q_tree_top_drivers(spark, sf_dir),
+                                                     os.path.join(processed, "top_20_shap_drivers"), small=True)
     kpis = tr.portfolio_kpis(view)
     summary = ev.threshold_summary(curve)
     metrics = kpis.select("accounts", "overall_default_rate", "total_exposure_usd").withColumn(

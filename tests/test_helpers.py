@@ -45,3 +45,10 @@ def test_ordered_category_order(spark):
     df = spark.createDataFrame([("High Risk", 1), ("Low Risk", 2), ("Medium Risk", 3), (None, 4)], "risk_tier string, n int")
     got = [r[0] for r in tr.ordered(df, ["risk_tier"], {"risk_tier": TIER_ORDER}).collect()]
     assert got == ["Low Risk", "Medium Risk", "High Risk", None]
+
+
+def test_report_formats(spark):
+    from cardpanel.functions.columns import money_text, pct_text
+    df = spark.createDataFrame([(56.08022, 11985677.42)], "p double, m double")
+    r = df.select(pct_text("p").alias("p"), money_text("m").alias("m")).first()
+    assert r["p"] == "56.1%" and r["m"] == "$11,985,677"
