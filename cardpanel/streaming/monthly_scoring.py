@@ -4,15 +4,18 @@ New statement files (monthly panel rows) land in a folder.  A Structured
 Streaming query with ``Trigger.AvailableNow`` picks up every file not yet
 seen, and ``foreachBatch`` for each micro-batch:
 
-1. upserts the statements into the panel table (key customer_id, month);
+1. upserts the statements into the panel: version ``v=<epoch>`` is the
+   previous version merged with the batch (key customer_id, month) - no copy
+   of the whole panel back and forth;
 2. recomputes features and tiers for the accounts touched by the batch only
-   (semi join of the full panel with the batch keys; one aggregation);
-3. appends (customer_id, tier, reason, features, batch id) to the scores
-   table.
+   (semi join of the panel with the batch keys; one aggregation);
+3. writes (customer_id, tier, reason, features) as partition
+   ``batch_id=<epoch>`` of the scores table.
 
 Progress (which files are done) lives in the checkpoint location under the
 shared checkpoint folder, so a re-run after a failure resumes without
-double-processing; the upsert makes a replayed batch idempotent.
+double-processing; both writes are overwrites keyed by the epoch, so a
+replayed batch produces the same result.
 """
 
 from __future__ import annotations
@@ -33,36 +36,54 @@ KEYS = ["customer_id", "month_number"]
 UPDATE = ["bill_amount", "pay_amount", "payment_status"]
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Epochs of the panel versions stored under ``root`` (folders v=<epoch>)."""
+    if not path_exists(spark, root):
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    out = []
+    for st in path.getFileSystem(conf).listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            out.append(int(name[2:]))
+    return sorted(out)
 
 
-def score_batch(batch: DataFrame, epoch: int, customers: DataFrame, panel_path: str, scores_path: str) -> None:
+def current_panel(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """Latest stored panel version (optionally the latest one older than
+    ``before``); an empty panel when there is none."""
+    vs = [v for v in _versions(spark, root) if before is None or v < before]
+    if not vs:
+        return spark.createDataFrame([], PANEL_SCHEMA)
+    return spark.read.schema(PANEL_SCHEMA).parquet(f"{root}/v={vs[-1]}")
+
+
+def score_batch(batch: DataFrame, epoch: int, customers: DataFrame, panel_root: str, scores_path: str) -> None:
+    """Version ``epoch`` of the panel = previous version upserted with the
+    batch; a replayed epoch rebuilds the same version from the same inputs."""
     spark = batch.sparkSession
     batch = batch.dropDuplicates(KEYS)
-    current = _read_or_empty(spark, panel_path, PANEL_SCHEMA)
-    merged = upsert(current, batch.select(*PANEL_SCHEMA.fieldNames()), KEYS, UPDATE, validate=False)
-    # write the new panel version next to the old one, then swap the pointer
-    version = f"{panel_path}.v{epoch}"
+    merged = upsert(current_panel(spark, panel_root, before=epoch), batch.select(*PANEL_SCHEMA.fieldNames()),
+                    KEYS, UPDATE, validate=False)
+    version = f"{panel_root}/v={epoch}"
     merged.write.mode("overwrite").parquet(version)
     panel = spark.read.schema(PANEL_SCHEMA).parquet(version)
     touched = batch.select("customer_id").distinct()
     acc = customers.join(touched, "customer_id", "left_semi")
     feats = credit_features(panel.join(touched, "customer_id", "left_semi"), acc)
     out = assign_tiers(feats, keep_features=True).withColumn("batch_id", F.lit(epoch))
-    out.write.mode("append").parquet(scores_path)
-    spark.read.parquet(version).write.mode("overwrite").parquet(panel_path)
+    out.write.mode("overwrite").parquet(f"{scores_path}/batch_id={epoch}")
 
 
-def start(spark: SparkSession, incoming: str, customers: DataFrame, panel_path: str, scores_path: str,
+def start(spark: SparkSession, incoming: str, customers: DataFrame, panel_root: str, scores_path: str,
           name: str = "monthly_scoring"):
     """Process every statement file present now, then stop (scheduled batch)."""
     ckpt = os.path.join(checkpoint_dir(spark), f"stream-{name}")
     stream = spark.readStream.schema(PANEL_SCHEMA).option("recursiveFileLookup", "true").parquet(incoming)
     q = (stream.writeStream.queryName(name).option("checkpointLocation", ckpt)
-         .foreachBatch(lambda df, epoch: score_batch(df, epoch, customers, panel_path, scores_path))
+         .foreachBatch(lambda df, epoch: score_batch(df, epoch, customers, panel_root, scores_path))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q

@@ -28,4 +28,7 @@ def test_monthly_scoring_incremental(spark):
     expected = credit_features(p.panel, p.customers)
     got = sorted(tuple(r) for r in latest.select(*expected.columns).collect())
     assert got == sorted(tuple(r) for r in expected.collect())
-    assert spark.read.parquet(panel_path).count() == p.panel.count()
+    assert ms.current_panel(spark, panel_path).count() == p.panel.count()
+    # replaying the last epoch rebuilds the same version
+    ms.score_batch(p.panel.filter(F.col("month_number") < 4), 1, p.customers, panel_path, scores)
+    assert ms.current_panel(spark, panel_path).count() == p.panel.count()
