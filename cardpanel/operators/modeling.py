@@ -32,13 +32,18 @@ from cardpanel.operators.ordered import exact_ranks
 from cardpanel.schema import FEATURES
 from cardpanel.session import cut_lineage
 
-# Hash constants (Park-Miller minimal standard generator).
-HASH_MOD, HASH_MUL, HASH_SEED_MUL = 2147483647, 48271, 16807
+# Hash constants (prime modulus 2^31 - 1, a linear congruential
+# multiplier, the minimal-standard multiplier, seed multiplier, shift).
+HASH_MOD, HASH_LCG, HASH_MUL, HASH_SEED_MUL, HASH_SHIFT = 2147483647, 1103515245, 48271, 16807, 15
 
 
 def seeded_hash(key: str = "customer_id", seed: int = 42):
-    """Deterministic pseudo-random order key, same value in any SQL engine."""
-    return ((F.col(key) % HASH_MOD) * HASH_MUL + F.lit(seed * HASH_SEED_MUL)) % HASH_MOD
+    """Deterministic pseudo-random order key in [0, 2^31 - 1), reproducible
+    in any SQL engine: an LCG step on the key, an xor-shift, a second
+    multiplicative step.  All products stay below 2^63 for any long key."""
+    h = ((F.col(key) % HASH_MOD) * HASH_LCG + F.lit(seed * HASH_SEED_MUL)) % HASH_MOD
+    h = h.bitwiseXOR(F.shiftright(h, HASH_SHIFT))
+    return (h * HASH_MUL) % HASH_MOD
 
 
 def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:

@@ -10,7 +10,8 @@ from cardpanel.operators import explain as ex
 from cardpanel.operators import modeling as md
 from cardpanel.plans.catalog import _plan, register
 
-HASH = "((customer_id % 2147483647) * 48271 + 42 * 16807) % 2147483647"
+_H1 = "(((customer_id % 2147483647) * 1103515245 + 42 * 16807) % 2147483647)"
+HASH = f"((xor({_H1}, {_H1} >> 15) * 48271) % 2147483647)"
 RANK_SQL = f"""
 ranked AS (
   SELECT customer_id, default_next_month,
