@@ -23,7 +23,8 @@ from cardpanel.functions.columns import heuristic_probability
 from cardpanel.operators import features as feat
 from cardpanel.operators import tiers as tr
 from cardpanel.session import store_table
-from cardpanel.sources.starschema import Portfolio, outcomes_from_panel, star_portfolio
+from cardpanel.sources.starschema import (Portfolio, customers_from_star, outcomes_from_panel, panel_from_star,
+                                          read_tables, star_portfolio)
 
 _INGEST: dict[tuple[str, str], Portfolio] = {}
 _FEATURES: dict[tuple[str, str, str], DataFrame] = {}
@@ -34,17 +35,19 @@ def _app_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def ingest(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Portfolio:
-    """customers / panel / outcomes.  The panel (the expensive derivation from
-    orders and line items) is materialised once per application; customers
-    are a projection of one scan and outcomes a projection of the stored
-    panel, both cheaper to re-read than to store again."""
+    """customers / panel / outcomes.  Customers and the panel (the expensive
+    derivation from orders and line items) are stored once per application,
+    both bucketed by customer_id, so every later join on the account key is
+    co-partitioned; outcomes are a projection of the stored panel."""
     if not materialize:
         return star_portfolio(spark, sf_dir)
     key = _app_key(spark, sf_dir)
     if key not in _INGEST:
-        p = star_portfolio(spark, sf_dir)
-        panel = store_table(p.panel, "monthly_payments", ["customer_id"], ["customer_id", "month_number"])
-        _INGEST[key] = Portfolio(p.customers, panel, outcomes_from_panel(panel))
+        t = read_tables(spark, sf_dir)
+        customers = store_table(customers_from_star(t["customer"]), "customers", ["customer_id"], ["customer_id"])
+        panel = store_table(panel_from_star(customers, t["orders"], t["lineitem"]), "monthly_payments",
+                            ["customer_id"], ["customer_id", "month_number"])
+        _INGEST[key] = Portfolio(customers, panel, outcomes_from_panel(panel))
     return _INGEST[key]
 
 
