@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cardpanel.operators import features as feat
 from cardpanel.operators import quality as qa
