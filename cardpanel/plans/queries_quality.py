@@ -289,3 +289,23 @@ def q_upsert_limits(spark, sf_dir):
               .select("customer_id", (F.col("credit_limit") / 2).cast("decimal(12,2)").alias("credit_limit")))
     out = upsert(p.customers, review, ["customer_id"], ["credit_limit"])
     return _small_ints(_money_to_double(out))
+
+
+@register("csv_ingest_features", f"SELECT {FEATURE_SELECT} FROM credit_features", group="reshape")
+def q_csv_ingest_features(spark, sf_dir):
+    """The source-file path end to end: the wide 25-column record is written
+    as CSV with a header (S6), read back with columns bound by position (S1),
+    split into customers / outcomes / panel (P1, P2) and turned into features
+    - equal to the features built directly from the tables."""
+    import os
+    import uuid
+
+    from cardpanel.session import checkpoint_dir
+    from cardpanel.sources.files import read_accounts, write_table
+    wide = _wide(spark, sf_dir)
+    header_names = [f"COL_{i}" for i in range(len(wide.columns))]  # names differ: binding is by position
+    path = os.path.join(checkpoint_dir(spark), f"wide-{uuid.uuid4().hex[:12]}")
+    write_table(wide.toDF(*header_names), path, fmt="csv")
+    raw = read_accounts(spark, path)
+    customers, _, panel = pn.split_accounts(raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
+    return credit_features(panel, customers)
