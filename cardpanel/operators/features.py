@@ -167,14 +167,17 @@ def feature_correlations_long(features: DataFrame, names=FEATURES, digits: int |
     return out
 
 
-def correlation_matrix(features: DataFrame, names=FEATURES) -> DataFrame:
-    """Square matrix for a heatmap: one row per feature, one column per feature."""
-    long = feature_correlations(features, names, digits=None)
+def correlation_matrix(features: DataFrame, names=FEATURES, digits: int | None = None) -> DataFrame:
+    """Square matrix for a heatmap: one row per feature, one column per
+    feature, 1.0 on the diagonal.  Built from the one-pass pair correlations:
+    8 rows whatever the data size."""
+    long = feature_correlations(features, names, digits=digits)
     sym = long.unionByName(long.select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"),
                                        "correlation"))
-    diag = features.sparkSession.createDataFrame([(n, n, 1.0) for n in names],
-                                                 "feature_a string, feature_b string, correlation double")
-    return sym.unionByName(diag).groupBy("feature_a").pivot("feature_b", list(names)).agg(F.first("correlation"))
+    cells = [F.max(F.when(F.col("feature_b") == n, F.col("correlation"))).alias(n) for n in names]
+    m = sym.groupBy("feature_a").agg(*cells)
+    return m.select("feature_a", *[F.when(F.col("feature_a") == n, F.lit(1.0)).otherwise(F.col(n)).alias(n)
+                                   for n in names])
 
 
 def with_outcome(features: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -83,3 +83,25 @@ def export_all(spark: SparkSession, sf_dir: str, out_dir: str, with_model: bool
         metrics = metrics.withColumn(c, summary.select(c).scalar())
     written["metrics"] = write_metrics(metrics, os.path.join(processed, "metrics"))
     return written
+
+
+def main(argv=None) -> None:
+    import argparse
+    import json
+
+    from cardpanel.session import build_session
+
+    ap = argparse.ArgumentParser(description="Build every processed table and dashboard extract.")
+    ap.add_argument("--data", required=True, help="folder with customer/orders/lineitem parquet tables")
+    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--with-model", action="store_true", help="train the boosted model and export its outputs")
+    ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit, else local[*])")
+    a = ap.parse_args(argv)
+    from pyspark.sql import SparkSession
+    spark = (SparkSession.getActiveSession() or
+             build_session(a.master or "local[*]", shuffle_partitions=8))
+    print(json.dumps(export_all(spark, a.data, a.out, a.with_model), indent=1))
+
+
+if __name__ == "__main__":
+    main()
