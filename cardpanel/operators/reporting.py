@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cardpanel.operators.ordered import running_sums
 from cardpanel.schema import FEATURES, MONTHS, TIER_HIGH, TIER_LOW, TIER_MEDIUM, TWD_PER_USD
+from cardpanel.session import cut_lineage
 
 # Box-plot whisker reach and quartiles.
 WHISKER = 1.5
@@ -52,7 +53,8 @@ def feature_boxplot_stats(view: DataFrame, names=FEATURES, label: str = "default
     long = view.select(label, *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
         [label], list(names), "feature_name", "feature_value")
     g = ["feature_name", label]
-    r = running_sums(long, "feature_value", {"n": F.lit(1)}, group_cols=g, rows_per_block=rows_per_block)
+    # read by three branches (group sizes, quartile hits, whiskers): stored once
+    r = cut_lineage(running_sums(long, "feature_value", {"n": F.lit(1)}, group_cols=g, rows_per_block=rows_per_block))
     totals = r.groupBy(*g).agg(F.max("n_cum").alias("n_total"))
     rt = r.join(F.broadcast(totals), g)  # one row per (feature, class): bounded
     aggs = []
