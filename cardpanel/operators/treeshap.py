@@ -105,8 +105,14 @@ def explain_matrix(trees, weights, x: np.ndarray) -> tuple[np.ndarray, float, np
     return phi, base, margin
 
 
-def tree_attributions(df: DataFrame, model, names=FEATURES, key: str = "customer_id") -> DataFrame:
-    """key + one attribution column per feature + base_value + margin."""
+def tree_attributions(df: DataFrame, model, names=FEATURES, key: str = "customer_id",
+                      scale: str = "margin") -> DataFrame:
+    """key + one attribution column per feature + base_value + margin.
+
+    ``scale="margin"``: the ensemble's raw score (sum of weighted trees);
+    ``scale="log_odds"``: twice that, the log-odds of P(default) for Spark's
+    boosted classifier (probability = 1 / (1 + exp(-2 margin)))."""
+    factor = {"margin": 1.0, "log_odds": 2.0}[scale]
     ship_package(df.sparkSession)
     nodes, weights = node_table(model)
     trees = _trees(nodes)
@@ -122,6 +128,7 @@ def tree_attributions(df: DataFrame, model, names=FEATURES, key: str = "customer
                 part = pdf.iloc[start:start + CHUNK]
                 x = part[names].to_numpy(dtype=float)
                 phi, base, margin = explain_matrix(tr, wt, x)
+                phi, base, margin = phi * factor, base * factor, margin * factor
                 out = pd.DataFrame(phi, columns=names)
                 out.insert(0, key, part[key].to_numpy())
                 out["base_value"] = base

@@ -120,3 +120,12 @@ def test_gbt_resampling_inside_folds(spark):
     assert len(t.cv_metrics) == 1 and 0.0 <= t.cv_metrics[0][1] <= 1.0
     scored = md.score_portfolio(t, d.select("customer_id", "default_next_month", *md.FEATURES))
     assert scored.count() == 150
+
+
+def test_tree_attributions_log_odds(spark, small_gbt):
+    df, d, model = small_gbt
+    a = tree_attributions(df, model, NAMES, scale="log_odds").toPandas().set_index("customer_id").sort_index()
+    prob = model.transform(d).select("customer_id", vector_to_array("probability")[1].alias("p")).toPandas()
+    prob = prob.set_index("customer_id").sort_index()["p"].to_numpy()
+    logit = np.log(prob / (1 - prob))
+    assert np.allclose(a["base_value"] + a[NAMES].sum(axis=1), logit, atol=1e-8)
