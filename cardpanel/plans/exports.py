@@ -100,6 +100,8 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
     spark = (SparkSession.getActiveSession() or
              build_session(a.master or "local[*]", shuffle_partitions=8))
+    from cardpanel.session import size_for_input
+    size_for_input(spark, [f"{a.data}/{t}.parquet" for t in ("customer", "orders", "lineitem")])
     print(json.dumps(export_all(spark, a.data, a.out, a.with_model), indent=1))
 
 

@@ -110,3 +110,39 @@ def store_table(df: DataFrame, name: str, bucket_by: list[str] | None = None, so
             writer = writer.sortBy(*sort_by)
     writer.saveAsTable(table)
     return spark.table(table)
+
+
+# Target bytes per task for scans and shuffles.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size on storage of the given files or folders (Hadoop FS)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_for_input(spark: SparkSession, paths: list[str], target: int = TARGET_PARTITION_BYTES,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Scan split size and shuffle partition count for the input size: about
+    ``target`` bytes per task (partitions fit executor memory, spills stay
+    small), never fewer partitions than cores.  AQE still coalesces small
+    shuffles and splits skewed ones at run time.  Returns the settings applied."""
+    n = input_bytes(spark, paths)
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(cores, min(max_partitions, -(-n // target)))
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings

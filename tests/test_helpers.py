@@ -51,3 +51,18 @@ def test_report_formats(spark):
     df = spark.createDataFrame([(56.08022, 11985677.42)], "p double, m double")
     r = df.select(pct_text("p").alias("p"), money_text("m").alias("m")).first()
     assert r["p"] == "56.1%" and r["m"] == "$11,985,677"
+
+
+def test_size_for_input(spark):
+    from cardpanel.session import input_bytes, size_for_input
+    paths = [f"{SF001}/{t}.parquet" for t in ("customer", "orders", "lineitem")]
+    assert input_bytes(spark, paths) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        s = size_for_input(spark, paths)
+        assert int(s["spark.sql.shuffle.partitions"]) == spark.sparkContext.defaultParallelism  # tiny input
+        s = size_for_input(spark, paths, target=1024)
+        assert int(s["spark.sql.shuffle.partitions"]) > spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
