@@ -159,3 +159,24 @@ def test_label_distribution_faithful_and_intended(spark):
     intended = {r[0]: r[2] for r in tr.label_distribution(df, "rows").collect()}
     assert faithful == {0: 50.0, 1: 50.0}
     assert intended == {0: 25.0, 1: 25.0}
+
+
+def test_null_month_panel_vs_wide(spark):
+    rows = [(1, m, None if m == 3 else 500, 0, 0) for m in range(1, 7)]
+    panel = panel_rows(spark, rows)
+    cust = customer_rows(spark, [(1, 1000)])
+    p = feat.credit_features(panel, cust, "panel").first()
+    w = feat.credit_features(panel, cust, "wide").first()
+    assert p["avg_utilization"] == 0.5                  # five known months averaged
+    assert w["avg_utilization"] == pytest.approx(2.5 / 6)  # the NULL month counts as 0 over six
+
+
+def test_overview_currency(spark):
+    from tests.conftest import SF001
+    from cardpanel.plans.portfolio import PortfolioPlan
+    p = PortfolioPlan(spark, SF001, materialize=False)
+    usd = {r["tier_name"]: r for r in tr.portfolio_overview(p.view, "USD", digits=False).collect()}
+    twd = {r["tier_name"]: r for r in tr.portfolio_overview(p.view, "TWD", digits=False).collect()}
+    for t in usd:
+        assert usd[t]["avg_credit_limit"] * 31 == pytest.approx(twd[t]["avg_credit_limit"])
+        assert usd[t]["total_exposure_usd"] == pytest.approx(twd[t]["total_exposure_usd"])
