@@ -53,7 +53,9 @@ def export_all(spark: SparkSession, sf_dir: str, out_dir: str, with_model: bool
         written[name] = write_table(df, os.path.join(processed, name))
     small = {
         "roll_rate_matrix": roll, "forward_roll_summary": rl.forward_roll(plan.panel, plan.outcomes),
-        "tier_summary": overview_local.withColumnRenamed("tier_name", "risk_tier"),
+        "tier_summary": overview_local.select(
+            F.col("tier_name").alias("risk_tier"), "account_count", "default_rate_pct", "avg_credit_limit",
+            "total_exposure_usd", "avg_utilization", "avg_on_time_months", "pct_of_portfolio"),
         "risk_score_distribution": ev.score_distribution(scores), "threshold_cost_curve": curve,
         "top_risk_accounts": top,
     }
