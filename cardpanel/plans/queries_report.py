@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardpanel.operators import explain as ex
+from cardpanel.operators import modeling as md
 from cardpanel.operators import reporting as rp
 from cardpanel.plans.catalog import _plan, register
+from cardpanel.plans.queries_model import RANK_SQL
 from cardpanel.schema import FEATURES
 
 VIEW_SQL = """
@@ -169,12 +171,17 @@ SELECT t.customer_id, t.risk_score,
        MAX(CASE WHEN d.r = 1 THEN d.feature_name END) AS top_driver_1,
        MAX(CASE WHEN d.r = 2 THEN d.feature_name END) AS top_driver_2,
        MAX(CASE WHEN d.r = 3 THEN d.feature_name END) AS top_driver_3
-FROM (SELECT customer_id, risk_score FROM scores ORDER BY risk_score DESC, customer_id LIMIT 20) t
+FROM (SELECT s.customer_id, s.risk_score FROM scores s JOIN ranked k USING (customer_id)
+      WHERE k.rk < ROUND(0.2 * k.n)
+      ORDER BY s.risk_score DESC, s.customer_id LIMIT 20) t
 JOIN (SELECT customer_id, feature_name,
              ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY ABS(a) DESC, idx DESC) AS r FROM attr_long) d
   USING (customer_id)
-GROUP BY t.customer_id, t.risk_score""", ATTR_SQL, group="explain")
+GROUP BY t.customer_id, t.risk_score""", ATTR_SQL + "," + RANK_SQL, group="explain")
 def q_top_drivers(spark, sf_dir):
+    """Top 20 TEST-split accounts by score with their three largest linear
+    drivers (the attribution means come from all accounts)."""
     p = _plan(spark, sf_dir)
     attr = ex.linear_attributions(p.features, ex.COMPOSITE_COEFS)
-    return ex.top_drivers(p.scores, attr, 20)
+    test = md.stratified_split(p.features.join(p.outcomes, "customer_id")).filter(F.col("split") == "test")
+    return ex.top_drivers(p.scores.join(test.select("customer_id"), "customer_id"), attr, 20)
