@@ -108,7 +108,8 @@ def fx(amount, rate: float) -> Column:
 
 
 def as_pct(count, total) -> Column:
-    return _c(count) * F.lit(100.0) / _c(total)
+    """count x 100 / total; NULL when total is 0 (no ANSI divide error)."""
+    return F.try_divide(_c(count) * F.lit(100.0), _c(total))
 
 
 def pct_text(value, digits: int = 1) -> Column:

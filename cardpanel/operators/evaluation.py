@@ -95,7 +95,7 @@ def pr_curve(scored: DataFrame, score: str = "risk_score", label: str = "default
     positives = scored.agg(F.sum(label)).scalar()
     return r.select(F.col(score).alias("threshold"),
                     (F.col("tp_cum") / F.col("n_cum")).alias("precision"),
-                    (F.col("tp_cum") / positives).alias("recall"),
+                    F.try_divide(F.col("tp_cum"), positives).alias("recall"),
                     F.col("tp").alias("tp"))
 
 
@@ -105,7 +105,7 @@ def average_precision(scored: DataFrame, score: str = "risk_score", label: str =
     r = running_sums(scored, score, {"n": F.lit(1), "tp": F.col(label)}, descending=True,
                      rows_per_block=rows_per_block)
     term = F.col("tp").cast("double") * F.col("tp_cum").cast("double") / F.col("n_cum").cast("double")
-    return r.agg((F.sum(term) / F.sum("tp")).alias("average_precision"))
+    return r.agg(F.try_divide(F.sum(term), F.sum("tp")).alias("average_precision"))  # NULL without positives
 
 
 def confusion(scored: DataFrame, t: float, score: str = "risk_score", label: str = "default_next_month") -> DataFrame:

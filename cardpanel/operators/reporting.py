@@ -99,7 +99,7 @@ def report_kpis(view: DataFrame, fx_rate: float = TWD_PER_USD) -> DataFrame:
         rate(TIER_MEDIUM).alias("medium_default_rate_pct"),
         rate(TIER_LOW).alias("low_default_rate_pct"),
         (rate(TIER_HIGH) - rate(TIER_LOW)).alias("tier_spread_pp"),
-        (F.count_if(tier == TIER_HIGH) * 100.0 / n).alias("high_share_pct"),
+        F.try_divide(F.count_if(tier == TIER_HIGH) * 100.0, n).alias("high_share_pct"),
         exposure(TIER_HIGH).alias("high_exposure_usd"),
         exposure(TIER_MEDIUM).alias("medium_exposure_usd"),
         F.avg(F.when(tier == TIER_HIGH, F.col("avg_utilization"))).alias("high_avg_utilization"),

@@ -164,7 +164,7 @@ def portfolio_kpis(view: DataFrame, fx_rate: float = TWD_PER_USD, high: str = TI
     n = F.count(F.lit(1))
     return view.agg(
         n.alias("accounts"),
-        (F.sum("default_next_month").cast("double") * 100 / n).alias("overall_default_rate"),
+        F.try_divide(F.sum("default_next_month").cast("double") * 100, n).alias("overall_default_rate"),
         (F.sum("credit_limit").cast("double") * F.lit(1.0 / fx_rate)).alias("total_exposure_usd"),
         F.count_if(F.col("risk_tier") == high).alias("high_risk_accounts"))
 

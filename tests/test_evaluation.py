@@ -102,3 +102,10 @@ def test_class_weights_balanced(spark):
     w = {r["default_next_month"]: r for r in ev.class_weights(df).collect()}
     assert w[1]["weight"] == 2.0 and w[0]["weight"] == pytest.approx(100 / 150)
     assert w[0]["imbalance_ratio"] == 3.0
+
+
+def test_metrics_without_positives_are_null_not_errors(spark):
+    s = _scored(spark, [0.9, 0.5, 0.1], [0, 0, 0])
+    assert ev.average_precision(s).first()[0] is None
+    assert all(r["recall"] is None for r in ev.pr_curve(s).collect())
+    assert ev.cost_curve(s).count() == 81
