@@ -33,8 +33,12 @@ def utilization_histogram(view: DataFrame, value: str = "avg_utilization", label
     hi = stats.select("hi").scalar()
     width = (hi - lo) / F.lit(float(bins))
     v = F.col(value).cast("double")
-    raw = F.floor((v - lo) / width).cast("int")
-    b = F.when(width > 0, F.least(raw, F.lit(bins - 1))).otherwise(F.lit(0))
+    # first guess, then corrected against the edge values lo + i*w themselves
+    i0 = F.floor((v - lo) / width)
+    up = (lo + (i0 + 1) * width) <= v
+    down = (lo + i0 * width) > v
+    raw = (i0 + F.when(up, 1).otherwise(0) - F.when(down, 1).otherwise(0)).cast("int")
+    b = F.when(width > 0, F.greatest(F.least(raw, F.lit(bins - 1)), F.lit(0))).otherwise(F.lit(0))
     counts = view.select(F.col(label), b.alias("bin")).groupBy(label, "bin").agg(
         F.count(F.lit(1)).alias("account_count"))
     class_n = F.sum("account_count").over(Window.partitionBy(label))  # bounded: classes x bins rows

@@ -39,7 +39,11 @@ SELECT default_next_month, bin, lo + bin * w AS bin_left, lo + (bin + 1) * w AS
 FROM (
   SELECT default_next_month, b AS bin, COUNT(*) AS account_count, MIN(lo) AS lo, MIN(w) AS w
   FROM (SELECT a.default_next_month, s.lo, s.w,
-               CASE WHEN s.w > 0 THEN LEAST(CAST(FLOOR((a.avg_utilization - s.lo) / s.w) AS INTEGER), 39) ELSE 0 END AS b
+               CASE WHEN s.w > 0 THEN GREATEST(LEAST(CAST(
+                 FLOOR((a.avg_utilization - s.lo) / s.w)
+                 + CASE WHEN s.lo + (FLOOR((a.avg_utilization - s.lo) / s.w) + 1) * s.w <= a.avg_utilization THEN 1 ELSE 0 END
+                 - CASE WHEN s.lo + FLOOR((a.avg_utilization - s.lo) / s.w) * s.w > a.avg_utilization THEN 1 ELSE 0 END
+                 AS INTEGER), 39), 0) ELSE 0 END AS b
         FROM acct a, (SELECT MIN(avg_utilization) AS lo, (MAX(avg_utilization) - MIN(avg_utilization)) / 40.0 AS w
                       FROM acct) s) t
   GROUP BY default_next_month, b
