@@ -117,3 +117,21 @@ def test_split_seed_stability(spark):
                       .select("customer_id").collect())
     assert test_ids(42) == test_ids(42)
     assert test_ids(42) != test_ids(7)
+
+
+def test_hot_keys_are_pre_aggregated_before_shuffles(spark):
+    """Per-order and per-customer sums run a partial aggregation below each
+    hash exchange (map-side combine), so a key holding a third of all rows
+    sends one partial row per map task, not its rows."""
+    from cardpanel.sources.starschema import monthly_aggregates, read_tables
+    t = read_tables(spark, SF001)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = monthly_aggregates(t["orders"], t["lineitem"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.split("\n")
+    for key in ("hashpartitioning(customer_id", "hashpartitioning(l_orderkey"):
+        i = next(i for i, l in enumerate(lines) if key in l)
+        below = " ".join(lines[i + 1:i + 3])
+        assert "HashAggregate" in below and "partial_" in below, key
