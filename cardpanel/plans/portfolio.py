@@ -94,3 +94,12 @@ def flagship(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Dat
     """Sources -> features -> tiers -> dashboard tier overview (USD, rounded)."""
     plan = PortfolioPlan(spark, sf_dir, materialize=materialize)
     return tr.portfolio_overview(plan.view, currency="USD", digits=True)
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Forget the stored tables of ``sf_dir`` for this application (after the
+    source tables changed); the next plan re-derives and stores them."""
+    key = _app_key(spark, sf_dir)
+    _INGEST.pop(key, None)
+    for k in [k for k in _FEATURES if k[:2] == key]:
+        _FEATURES.pop(k, None)
