@@ -135,3 +135,35 @@ def test_hot_keys_are_pre_aggregated_before_shuffles(spark):
         i = next(i for i, l in enumerate(lines) if key in l)
         below = " ".join(lines[i + 1:i + 3])
         assert "HashAggregate" in below and "partial_" in below, key
+
+
+def test_fixture_expectations_sf001(spark):
+    """Figures listed as expected at sf0.01 in FIXTURES.md."""
+    from cardpanel.operators import evaluation as ev
+    from cardpanel.operators.features import credit_features
+    from cardpanel.sources.starschema import sparse_panel
+    p = PortfolioPlan(spark, SF01)
+    rate = {r["risk_tier"]: r["default_rate_pct"] for r in tr.tier_default_rate(p.tiers, p.outcomes, None).collect()}
+    assert rate["Low Risk"] == pytest.approx(8.219178, abs=1e-6)
+    assert rate["Medium Risk"] == pytest.approx(20.533333, abs=1e-6)
+    assert rate["High Risk"] == pytest.approx(30.133080, abs=1e-6)
+    reasons = {r["tier_reason"]: r["count"] for r in p.tiers.filter(F.col("risk_tier") == "High Risk")
+               .groupBy("tier_reason").count().collect()}
+    assert sorted(reasons.values(), reverse=True) == [530, 515, 7]
+    bills = p.panel.agg(F.count_if(F.col("bill_amount") < 0), F.count_if(F.col("bill_amount") == 0)).first()
+    assert tuple(bills) == (412, 1754)
+    assert p.customers.filter(F.col("credit_limit") == 0).count() == 122
+    f = p.features.agg(F.max("payment_ratio"), F.min("avg_utilization"), F.max("avg_utilization")).first()
+    assert tuple(f) == (211.6957, -0.2386, 320.3512)
+    sp = sparse_panel(p.panel)
+    assert sp.count() == 7246
+    from cardpanel.operators.roll import transitions
+    assert transitions(sp).count() == 4877
+    s = p.scores.agg(F.countDistinct("risk_score"), F.min("risk_score"), F.max("risk_score")).first()
+    assert s[0] == 1363 and s[1] == pytest.approx(0.0567817, abs=1e-7) and s[2] == pytest.approx(0.9923629, abs=1e-7)
+    bins = [r["account_count"] for r in ev.score_distribution(p.scores).collect()]
+    assert sorted(bins) == sorted([2, 1, 8, 49, 85, 136, 374, 665, 145, 35])
+    assert ev.average_precision(p.scores).first()[0] == pytest.approx(0.315217, abs=1e-6)
+    c = ev.cost_curve(p.scores).filter(F.col("threshold") == 0.1).first()
+    assert (c["fn"], c["fp"]) == (0, 1098)
+    assert credit_features(p.panel, p.customers).count() == 1500
