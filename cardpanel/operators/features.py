@@ -3,9 +3,10 @@
 ``credit_features`` computes all eight features in ONE aggregation keyed by
 ``customer_id``: the customers (anchor, so every account gets a row) are
 left-joined to the statements, and the aggregation reuses the join's hash
-partitioning, so the whole table costs one shuffle of each input.  Statements
-are unique per (customer, month) and months are 1..6, so no group grows with
-the data; the streak is a bit-mask fold (``bit_or``), not a collected list.
+partitioning - at most one shuffle of each input, none when both are stored
+bucketed by customer_id (``plans.portfolio``).  Statements are unique per
+(customer, month) and months are 1..6, so no group grows with the data; the
+streak is a bit-mask fold (``bit_or``), not a collected list.
 """
 
 from __future__ import annotations
