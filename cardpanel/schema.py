@@ -109,6 +109,12 @@ class Rule:
     @property
     def name(self) -> str:
         if self.kind == "range":
+            lo_open = self.lo is None or self.lo == float("-inf")
+            hi_open = self.hi is None or self.hi == float("inf")
+            if hi_open and not lo_open:
+                return f"{self.table}.{self.column} >= {self.lo:g}"
+            if lo_open and not hi_open:
+                return f"{self.table}.{self.column} <= {self.hi:g}"
             return f"{self.table}.{self.column} between {self.lo:g} and {self.hi:g}"
         if self.kind == "domain":
             return f"{self.table}.{self.column} in ({', '.join(str(v) for v in self.values)})"
