@@ -70,6 +70,16 @@ def with_folds(df: DataFrame, label: str = "default_next_month", k: int = 3, see
     return r.withColumn("fold", (F.col("rank") % k).cast("int")).drop("__h", "__n", "rank")
 
 
+def split_and_folds(df: DataFrame, label: str = "default_next_month", test: float = 0.2, k: int = 3,
+                    seed: int = 42, key: str = "customer_id") -> DataFrame:
+    """``split`` and ``fold`` from ONE ranking (same values as
+    ``stratified_split`` and ``with_folds`` with the same seed)."""
+    r = _ranked(df, label, key, seed)
+    cut = F.round(F.lit(test) * F.col("__n"))
+    return (r.withColumn("split", F.when(F.col("rank") < cut, F.lit("test")).otherwise(F.lit("train")))
+            .withColumn("fold", (F.col("rank") % k).cast("int")).drop("__h", "__n", "rank"))
+
+
 def sample_n(df: DataFrame, n: int = 2000, seed: int = 42, key: str = "customer_id") -> DataFrame:
     """Seeded sample of min(n, rows) rows: the n smallest hash values (a
     top-n, not a global sort)."""
@@ -139,9 +149,7 @@ class Trained:
 def training_frame(features: DataFrame, outcomes: DataFrame, label: str = "default_next_month",
                    names=FEATURES, test: float = 0.2, seed: int = 42, folds: int = 3) -> DataFrame:
     """features + label + split + fold, checkpointed once for all fits."""
-    d = features.join(outcomes, "customer_id")
-    d = stratified_split(d, label, test, seed)
-    d = with_folds(d, label, folds, seed)
+    d = split_and_folds(features.join(outcomes, "customer_id"), label, test, folds, seed)
     return cut_lineage(d)
 
 

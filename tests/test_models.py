@@ -129,3 +129,12 @@ def test_tree_attributions_log_odds(spark, small_gbt):
     prob = prob.set_index("customer_id").sort_index()["p"].to_numpy()
     logit = np.log(prob / (1 - prob))
     assert np.allclose(a["base_value"] + a[NAMES].sum(axis=1), logit, atol=1e-8)
+
+
+def test_split_and_folds_one_ranking_equals_separate(spark):
+    p = PortfolioPlan(spark, "/root/testdata/sf0.001")
+    lab = p.features.join(p.outcomes, "customer_id")
+    both = {r["customer_id"]: (r["split"], r["fold"]) for r in md.split_and_folds(lab).collect()}
+    s = {r["customer_id"]: r["split"] for r in md.stratified_split(lab).collect()}
+    f = {r["customer_id"]: r["fold"] for r in md.with_folds(lab).collect()}
+    assert both == {c: (s[c], f[c]) for c in s}
