@@ -70,22 +70,14 @@ def credit_features(panel: DataFrame, customers: DataFrame, semantics: str = "pa
     x = F.col("month_number").cast("double")
     status = F.col("payment_status")
 
-    if semantics == "panel":
-        util = safe_divide(bill, limit)
-        xu = F.when(util.isNotNull(), x)
-        n, sx, sy = F.count(util), F.sum(xu), F.sum(util)
-        sxy, sxx = F.sum(xu * util), F.sum(xu * xu)
-        avg_util = F.avg(util)
-        ratio = F.avg(F.when(bill > 0, safe_divide(pay, bill)))
-    else:
-        util = F.coalesce(F.when(limit != 0, bill / limit), F.lit(0.0))
-        n = F.lit(float(months))
-        sx = F.lit(months * (months + 1) / 2.0)
-        sxx = F.lit(months * (months + 1) * (2 * months + 1) / 6.0)
-        sy = F.coalesce(F.sum(util), F.lit(0.0))
-        sxy = F.coalesce(F.sum(x * util), F.lit(0.0))
-        avg_util = sy / F.lit(float(months))
-        ratio = F.coalesce(F.sum(guarded_ratio(pay, bill)), F.lit(0.0)) / F.lit(float(months))
+    if semantics == "wide":
+        return _wide_features(base, months, round_)
+    util = safe_divide(bill, limit)
+    xu = F.when(util.isNotNull(), x)
+    n, sx, sy = F.count(util), F.sum(xu), F.sum(util)
+    sxy, sxx = F.sum(xu * util), F.sum(xu * xu)
+    avg_util = F.avg(util)
+    ratio = F.avg(F.when(bill > 0, safe_divide(pay, bill)))
     slope_den = n * sxx - sx * sx
     slope = (n * sxy - sx * sy) / F.when(slope_den != 0, slope_den)
 
@@ -99,6 +91,10 @@ def credit_features(panel: DataFrame, customers: DataFrame, semantics: str = "pa
         ratio.alias("payment_ratio"),
         F.stddev_samp(bill).alias("balance_volatility"),
     )
+    return _finish(agg, round_)
+
+
+def _finish(agg: DataFrame, round_: bool) -> DataFrame:
     cols = [F.col("customer_id")]
     for c in FEATURES:
         if c in DOUBLE_FEATURES:
@@ -111,6 +107,59 @@ def credit_features(panel: DataFrame, customers: DataFrame, semantics: str = "pa
     return agg.select(*cols)
 
 
+def _in_order(cols):
+    """Left-to-right sum in a fixed order (month 1 first): the result does not
+    depend on the order rows reach the aggregation."""
+    total = None
+    for c in cols:
+        total = c if total is None else total + c
+    return total
+
+
+def _wide_features(base: DataFrame, months: int, round_: bool) -> DataFrame:
+    """Record rules over the six month slots of each account.
+
+    The aggregation only places each month's value in its slot (one row per
+    account and month); sums, the slope and the two-pass sample deviation are
+    then computed across the slots in month order, so every engine and every
+    partitioning gives bit-identical results."""
+    bill = F.col("bill_amount").cast("double")
+    pay = F.col("pay_amount").cast("double")
+    limit = F.col("credit_limit").cast("double")
+    m, status = F.col("month_number"), F.col("payment_status")
+    util = F.when(limit != 0, bill / limit)
+    ratio = guarded_ratio(pay, bill)
+    slots = []
+    for k in range(1, months + 1):
+        in_k = m == k
+        slots += [F.max(F.when(in_k, util)).alias(f"__u{k}"), F.max(F.when(in_k, ratio)).alias(f"__r{k}"),
+                  F.max(F.when(in_k, bill)).alias(f"__b{k}")]
+    agg = base.groupBy("customer_id").agg(
+        *slots,
+        F.count_if(status <= 0).alias("on_time_months"),
+        F.max(status).alias("max_delinquency"),
+        (F.max(status) - F.min(status)).alias("delinquency_drift"),
+        longest_run(delay_mask(months=months), months).alias("consecutive_delays"))
+    ks = range(1, months + 1)
+    u = [F.coalesce(F.col(f"__u{k}"), F.lit(0.0)) for k in ks]
+    r = [F.coalesce(F.col(f"__r{k}"), F.lit(0.0)) for k in ks]
+    b = [F.col(f"__b{k}") for k in ks]
+    n = float(months)
+    sx, sxx = months * (months + 1) / 2.0, months * (months + 1) * (2 * months + 1) / 6.0
+    su, sxu = _in_order(u), _in_order([F.lit(float(k)) * u[k - 1] for k in ks])
+    nb = _in_order([F.when(bk.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for bk in b])
+    mean = F.when(nb > 0, _in_order([F.coalesce(bk, F.lit(0.0)) for bk in b]) / nb)
+    ss = _in_order([F.when(bk.isNotNull(), (bk - mean) * (bk - mean)).otherwise(F.lit(0.0)) for bk in b])
+    out = agg.select(
+        "customer_id",
+        (su / F.lit(n)).alias("avg_utilization"),
+        ((F.lit(n) * sxu - F.lit(sx) * su) / F.lit(n * sxx - sx * sx)).alias("utilization_trend"),
+        "on_time_months", "max_delinquency", "delinquency_drift", "consecutive_delays",
+        (_in_order(r) / F.lit(n)).alias("payment_ratio"),
+        F.when(nb > 1, F.sqrt(ss / (nb - 1))).alias("balance_volatility"))
+    return _finish(out, round_)
+
+
 def delayed_sequence(panel: DataFrame) -> DataFrame:
     """ROW_NUMBER of each delayed month (status >= 1) within its account."""
     w = Window.partitionBy("customer_id").orderBy("month_number")

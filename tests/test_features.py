@@ -80,8 +80,9 @@ def test_single_month_slope_and_volatility_zero(spark):
 def test_account_without_statements_gets_zero_row(spark):
     panel = panel_rows(spark, dense(1, [100] * 6, [0] * 6, [0] * 6))
     cust = customer_rows(spark, [(1, 1000), (2, 1000)])
-    f = _by_id(feat.credit_features(panel, cust))
-    assert all(f[2][c] == 0 for c in FEATURES)
+    for sem in ("panel", "wide"):
+        f = _by_id(feat.credit_features(panel, cust, sem))
+        assert all(f[2][c] == 0 for c in FEATURES)
 
 
 def test_trend_equals_least_squares(spark):
