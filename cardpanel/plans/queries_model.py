@@ -198,3 +198,12 @@ def q_train_gbt_smote(spark, sf_dir):
     p, d, t = _gbt(spark, sf_dir, resample="smote")
     rows = [(int(g["maxDepth"]), float(g["stepSize"]), int(g["maxIter"]), m) for g, m in t.cv_metrics]
     return spark.createDataFrame(rows, "max_depth int, step_size double, max_iter int, cv_average_precision double")
+
+
+@register("train_gbt_smote_in_folds", group="model")
+def q_train_gbt_smote_in_folds(spark, sf_dir):
+    """Grid search with SMOTE applied to each fold's training part only
+    (validation on untouched original rows): the leak-free variant."""
+    p, d, t = _gbt(spark, sf_dir, resample="smote_in_folds")
+    rows = [(int(g["maxDepth"]), float(g["stepSize"]), int(g["maxIter"]), m) for g, m in t.cv_metrics]
+    return spark.createDataFrame(rows, "max_depth int, step_size double, max_iter int, cv_average_precision double")
