@@ -86,10 +86,11 @@ def sample_n(df: DataFrame, n: int = 2000, seed: int = 42, key: str = "customer_
     return (df.withColumn("__h", seeded_hash(key, seed)).orderBy("__h", key).limit(n).drop("__h"))
 
 
-def standardize(df: DataFrame, names=FEATURES, population: bool = True) -> DataFrame:
-    """(x - mean) / std per feature; a constant column maps to 0."""
+def standardize(df: DataFrame, names=FEATURES, population: bool = True, ref: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / std per feature, with the statistics of ``ref`` (default:
+    ``df`` itself, e.g. the training rows); a constant column maps to 0."""
     std = F.stddev_pop if population else F.stddev_samp
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in names],
+    stats = (ref if ref is not None else df).agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in names],
                    *[std(F.col(c).cast("double")).alias(f"s_{c}") for c in names])
     out = df
     for c in names:
@@ -211,24 +212,13 @@ def score_portfolio(trained: Trained, df: DataFrame, names=FEATURES, label: str
     """P(default) for every account; the score is published under two names."""
     d = df
     if trained.kind == "logistic":
-        d = _standardize_with(standardize_like if standardize_like is not None else df, d, names)
+        d = standardize(d, names, ref=standardize_like if standardize_like is not None else df)
     d = assemble(d, names)
     p = positive_probability(trained.model.transform(d))
     return p.select("customer_id", "risk_score", F.col("risk_score").alias("fraud_risk_score"),
                     *[c for c in df.columns if c not in ("customer_id", *names)])
 
 
-def _standardize_with(ref: DataFrame, df: DataFrame, names) -> DataFrame:
-    """Scale df with the statistics of ref (the training rows)."""
-    stats = ref.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in names],
-                    *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in names])
-    out = df
-    for c in names:
-        m, s = stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar()
-        out = out.withColumn(c, F.when(s > 0, (F.col(c).cast("double") - m) / s).otherwise(F.lit(0.0)))
-    return out
-
-
 def logistic_coefficients(trained: Trained, names=FEATURES) -> dict[str, float]:
     coefs = trained.model.coefficients.toArray().tolist()
     return dict(zip(names, coefs))
