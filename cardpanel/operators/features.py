@@ -182,21 +182,20 @@ def melt_features(features: DataFrame, names=FEATURES) -> DataFrame:
         "customer_id", list(names), "feature_name", "feature_value")
 
 
-def _corr(a: str, b: str):
-    """Correlation guarded against constant columns (NULL, not an error)."""
-    den = F.stddev_pop(a) * F.stddev_pop(b)
-    return F.covar_pop(a, b) / F.when(den != 0, den)
-
-
 def feature_correlations(features: DataFrame, names=FEATURES, digits: int | None = 4) -> DataFrame:
-    """All unordered feature pairs (a < b by name) in ONE aggregation pass,
-    unpivoted to (feature_a, feature_b, correlation)."""
+    """All unordered feature pairs (a < b by name) in ONE aggregation pass -
+    28 covariances and 8 standard deviations, each computed once - unpivoted
+    to (feature_a, feature_b, correlation).  A constant feature gives NULL."""
     pairs = sorted((a, b) for a in names for b in names if a < b)
     d = features.select(*[F.col(c).cast("double").alias(c) for c in names])
-    aggs = [_corr(a, b).alias(f"{a}|{b}") for a, b in pairs]
-    wide = d.agg(*aggs)
+    wide = d.agg(*[F.covar_pop(a, b).alias(f"{a}|{b}") for a, b in pairs],
+                 *[F.stddev_pop(c).alias(f"sd|{c}") for c in names])
+
+    def corr(a, b):
+        den = F.col(f"`sd|{a}`") * F.col(f"`sd|{b}`")
+        return F.col(f"`{a}|{b}`") / F.when(den != 0, den)
     stacked = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"`{a}|{b}`").alias("correlation"))
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), corr(a, b).alias("correlation"))
         for a, b in pairs])).alias("p")).select("p.*")
     if digits is not None:
         stacked = stacked.withColumn("correlation", F.round("correlation", digits))
