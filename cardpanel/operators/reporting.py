@@ -28,9 +28,8 @@ def utilization_histogram(view: DataFrame, value: str = "avg_utilization", label
     """Common equal-width bins over the full range; each class normalised to
     density 1 (count / (class size x bin width)).  The range and class sizes
     are scalar subqueries: computed once, no join with the rows."""
-    stats = view.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    rng = view.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()  # one subquery
+    lo, hi = rng["lo"], rng["hi"]
     width = (hi - lo) / F.lit(float(bins))
     v = F.col(value).cast("double")
     # first guess, then corrected against the edge values lo + i*w themselves
