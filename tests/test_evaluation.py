@@ -109,3 +109,25 @@ def test_metrics_without_positives_are_null_not_errors(spark):
     assert ev.average_precision(s).first()[0] is None
     assert all(r["recall"] is None for r in ev.pr_curve(s).collect())
     assert ev.cost_curve(s).count() == 81
+
+
+def test_running_sums_across_small_arrow_batches(spark):
+    """Carry of running totals from one Arrow batch to the next, with groups
+    that start, span and end inside batches."""
+    rnd = random.Random(11)
+    rows = [(rnd.randint(0, 3), float(rnd.randint(0, 60)), rnd.randint(0, 2)) for _ in range(700)]
+    df = spark.createDataFrame(rows, "g int, v double, y int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        r = running_sums(df, "v", {"n": F.lit(1), "y": F.col("y")}, group_cols=["g"], descending=True,
+                         rows_per_block=50).collect()
+        ranks = exact_ranks(df.withColumn("id", F.monotonically_increasing_id()), ["v", "id"], ["g"],
+                            rows_per_block=40).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for row in r:
+        assert row["n_cum"] == sum(1 for g, v, _ in rows if g == row["g"] and v >= row["v"])
+        assert row["y_cum"] == sum(y for g, v, y in rows if g == row["g"] and v >= row["v"])
+    for g in range(4):
+        got = sorted(x["rank"] for x in ranks if x["g"] == g)
+        assert got == list(range(len(got)))
