@@ -25,15 +25,15 @@ def to_panel(wide: DataFrame, months: int = MONTHS, status_columns=STATUS_COLUMN
                      F.col(f"pay_amt{m}").cast(MONEY).alias("pay_amount"),
                      F.col(status_columns[m - 1]).cast("int").alias("payment_status"))
             for m in range(1, months + 1)]
-    return wide.select(F.col("id").alias("customer_id"), F.inline(F.array(*rows)))
+    return wide.select(F.col("id").cast("long").alias("customer_id"), F.inline(F.array(*rows)))
 
 
 def split_accounts(wide: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(customers, outcomes, panel) from the wide record: projections only."""
-    customers = wide.select(F.col("id").alias("customer_id"), F.col("limit_bal").cast(MONEY).alias("credit_limit"),
+    customers = wide.select(F.col("id").cast("long").alias("customer_id"), F.col("limit_bal").cast(MONEY).alias("credit_limit"),
                             F.col("sex").cast("short").alias("sex"), F.col("education").cast("short").alias("education"),
                             F.col("marriage").cast("short").alias("marriage"), F.col("age").cast("int").alias("age"))
-    outcomes = wide.select(F.col("id").alias("customer_id"),
+    outcomes = wide.select(F.col("id").cast("long").alias("customer_id"),
                            F.col("default_payment_next_month").cast("int").alias("default_next_month"))
     return customers, outcomes, to_panel(wide)
 
