@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decontaminate, mixing, revisits, sql, url_rules
+from cardpanel.llm import decontaminate, mixing, near_dedup, revisits, sql, url_rules
 from cardpanel.llm.tables import read
 
 
@@ -18,6 +18,11 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", lines)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=4, threshold=0.8)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(read(spark, sf_dir, "pages"))
 
@@ -31,11 +36,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_revisits, op4_url_rules, op5_mixing, op9_decontamination)
+    f.__name__: f for f in (op1_revisits, op3_near_dedup, op4_url_rules, op5_mixing, op9_decontamination)
 }
 
 SQL: dict[str, str] = {
     "op1_revisits": sql.REVISITS,
+    "op3_near_dedup": sql.NEAR_DEDUP,
     "op4_url_rules": sql.URL_RULES,
     "op9_decontamination": sql.DECONTAMINATION,
 }

@@ -144,3 +144,23 @@ SELECT record_id, url_key, status, CASE WHEN status = 'matched' THEN response_id
          || chr(10) || 'last-modified: ' || coalesce(changed, old_changed) END AS headers
 FROM judged
 """
+
+NEAR_DEDUP = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, least(4, len(w)) AS k, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (shingle)
+        WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
