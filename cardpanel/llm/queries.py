@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decontaminate, mixing, near_dedup, revisits, sql, url_rules
+from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, revisits, sql, url_rules
 from cardpanel.llm.tables import read
 
 
@@ -31,12 +31,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return decision_list.judged(documents, decision_list.fit(documents, read(spark, sf_dir, "labels")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_revisits, op3_near_dedup, op4_url_rules, op5_mixing, op9_decontamination)
+    f.__name__: f for f in (op1_revisits, op3_near_dedup, op4_url_rules, op5_mixing, op7_quality_rules, op9_decontamination)
 }
 
 SQL: dict[str, str] = {
