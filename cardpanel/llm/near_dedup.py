@@ -34,15 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardpanel.llm.filters import bits_of, passes
 from cardpanel.llm.graph import components
 from cardpanel.llm.tables import stored
 from cardpanel.llm.tokens import LOWER, mix, windows, word_slices
 
 ROWS, BANDS, STEP, MISS, BLOCK = 6, 42, 32, 1e-6, 256
 HASHES = ROWS * BANDS
-#: Bits of the filter that names the texts to be verified; its size is fixed, and
-#: what it lets through in excess is removed by a join.
-FILTER_BITS = 1 << 24
 U = np.uint64
 
 _rng = np.random.default_rng(20240602)
@@ -165,17 +163,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
 
 def _sets(documents: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """(cid, shingles) of the texts whose row hash is in ``rows`` (and of few others)."""
-    words = rows.selectExpr(f"cast(pmod(row, {FILTER_BITS}) div 64 as int) as w", "shiftleft(1L, cast(pmod(row, 64) as int)) as m")
-    table = words.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()  # FILTER_BITS / 64 rows at most
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[table["w"].to_numpy()] = table["m"].to_numpy()
-    shared = documents.sparkSession.sparkContext.broadcast(bits)
+    shared = documents.sparkSession.sparkContext.broadcast(bits_of(rows, "row"))
 
     def run(batches):
-        wanted = shared.value.view(U)
+        wanted = shared.value
         for batch in batches:
-            place = batch.column(0).to_numpy() % FILTER_BITS
-            batch = batch.filter(pa.array((wanted[place // 64] >> (place % 64).astype(U)) & U(1) == U(1)))
+            batch = batch.filter(pa.array(passes(wanted, batch.column(0).to_numpy())))
             for _, _, w in word_slices(batch.column(1), fold=LOWER):
                 sets = [s for i in range(w.n) if len(s := shingles(w.hash[w.first[i] : w.first[i + 1]], k))]
                 if sets:

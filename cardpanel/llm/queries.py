@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, revisits, sql, url_rules
+from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, revisits, sanitise, sql, url_rules
 from cardpanel.llm.tables import read
 
 
@@ -18,6 +18,10 @@ def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", lines)
 
 
+def op2_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.detected(read(spark, sf_dir, "documents"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=4, threshold=0.8)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -41,7 +45,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_revisits, op3_near_dedup, op4_url_rules, op5_mixing, op7_quality_rules, op9_decontamination)
+    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op7_quality_rules, op9_decontamination)
 }
 
 SQL: dict[str, str] = {
