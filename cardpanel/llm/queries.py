@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, revisits, sanitise, sql, url_rules
+from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules
 from cardpanel.llm.tables import read
 
 
@@ -40,12 +40,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judged(documents, decision_list.fit(documents, read(spark, sf_dir, "labels")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op7_quality_rules, op9_decontamination)
+    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op7_quality_rules, op8_toxicity, op9_decontamination)
 }
 
 SQL: dict[str, str] = {
