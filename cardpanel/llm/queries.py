@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules
+from cardpanel.llm import decision_list, decontaminate, gru_lm, language, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules
 from cardpanel.llm.tables import read
 
 
@@ -35,6 +35,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     return decision_list.judged(documents, decision_list.fit(documents, read(spark, sf_dir, "labels")))
@@ -48,8 +52,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.document_scores(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op7_quality_rules, op8_toxicity, op9_decontamination)
+    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op6_language, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_scoring)
 }
 
 SQL: dict[str, str] = {

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +45,16 @@ def fold_of(col: str, mod: int) -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string")) % mod, F.lit(-1)).cast("int")
 
 
+
+
+def in_task(spark: SparkSession, work: Callable[[Any], Any], data: Any) -> Any:
+    """``work(data)`` in one task (numpy is single-threaded there, and the driver
+    stays free).  For fits on samples of a bounded size."""
+    shared = spark.sparkContext.broadcast(data)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(work(shared.value))], pa.binary())], ["out"])
+
+    return pickle.loads(spark.range(0, 1, 1, 1).mapInArrow(run, "out binary").first()["out"])
