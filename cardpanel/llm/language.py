@@ -125,7 +125,7 @@ class Tagger:
         for lo in range(0, len(doc), LANES):
             d, at = doc[lo : lo + LANES], start[lo : lo + LANES] + around
             inside = (at >= offsets[d]) & (at < offsets[d + 1])
-            ids = np.where(inside, data[np.clip(at, 0, len(data) - 1)], PAD).astype(np.intp)
+            ids = np.where(inside, data[np.clip(at, 0, len(data) - 1)].astype(np.intp), np.intp(PAD))
             own = slice(MARGIN, MARGIN + SPAN)
             weight = inside[own] & LETTER[np.minimum(ids[own], 255)]
             total = np.einsum("tnl,tn->nl", self.positions(ids), weight.astype(F32), optimize=False)
