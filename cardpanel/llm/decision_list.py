@@ -36,7 +36,7 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["n_words", "mean_word_chars", "symbols_per_word", "dup_line_share", "repeat_share", "upper_share", "digit_share",
             "pipe_share", "bang_share", "distinct_share", "words_per_line"]
 #: Names of the statistics columns among a document's own.
-PREFIX = "_q_"
+PREFIX = "_llm_"
 
 # The symbol characters.
 SYMBOLS = np.zeros(256, bool)
@@ -97,7 +97,7 @@ def statistics(col: pa.Array) -> dict[str, np.ndarray]:
 
 
 def with_statistics(documents: DataFrame) -> DataFrame:
-    """``documents`` with its statistics in ``_q_`` columns; adds no shuffle."""
+    """``documents`` with its statistics in ``_llm_`` columns; adds no shuffle."""
     names = documents.columns
     types = ", ".join(f"{PREFIX}{k} {'bigint' if k in BASE else 'double'}" for k in [*BASE, *FEATURES[1:]])
     at = names.index("text")

@@ -102,12 +102,12 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str |
 
 
 def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``documents`` with ``_words`` (number of words), ``_hits`` (first and
-    end word of each merged hit range, flat) and ``_items`` (sorted item ids
+    """``documents`` with ``_llm_words`` (number of words), ``_llm_hits`` (first and
+    end word of each merged hit range, flat) and ``_llm_items`` (sorted item ids
     with occurring windows).  Adds no shuffle; one scan per benchmark block."""
     names = documents.columns
-    out = documents.selectExpr(*[f"`{c}`" for c in names], "0L as _words", "cast(array() as array<bigint>) as _hits",
-                               "cast(array() as array<string>) as _items")
+    out = documents.selectExpr(*[f"`{c}`" for c in names], "0L as _llm_words", "cast(array() as array<bigint>) as _llm_hits",
+                               "cast(array() as array<string>) as _llm_items")
     sc = documents.sparkSession.sparkContext
     for block in _blocks(benchmark, block_words):
         out = out.mapInArrow(_scan(sc.broadcast(block), window, names.index("text"), len(names)), out.schema)
@@ -140,17 +140,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     contaminated (a hit, and at least a twentieth of the words hit)."""
     found = hits(documents.select("doc_id", "text"), benchmark, window)
     return _judged(found).select(
-        "doc_id", F.col("_words").alias("n_words"), "n_hit", F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"), "contaminated")
+        "doc_id", F.col("_llm_words").alias("n_words"), F.col("_llm_hit").alias("n_hit"), F.size("_llm_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_llm_items", ","), 256).alias("items_sha256"), F.col("_llm_bad").alias("contaminated"))
 
 
 def _judged(found: DataFrame) -> DataFrame:
-    total = F.expr("aggregate(transform(_hits, (x, i) -> if(i % 2 = 0, -x, x)), 0L, (a, x) -> a + x)")
-    return found.withColumn("n_hit", total).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("_words")))
+    total = F.expr("aggregate(transform(_llm_hits, (x, i) -> if(i % 2 = 0, -x, x)), 0L, (a, x) -> a + x)")
+    return found.withColumn("_llm_hit", total).withColumn(
+        "_llm_bad", (F.col("_llm_hit") > 0) & (20 * F.col("_llm_hit") >= F.col("_llm_words")))
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``documents`` without the contaminated ones, all columns kept."""
     found = _judged(hits(documents, benchmark, window))
-    return found.filter(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return found.filter(~F.col("_llm_bad")).select(*[F.col(f"`{c}`") for c in documents.columns])
 

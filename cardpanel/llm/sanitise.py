@@ -230,7 +230,8 @@ def sanitised(documents: DataFrame, generalise: float = GENERALISE, remove: floa
 
         return pd.Series([t if s is None or t is None else replaced(t, [(x["start"], x["kind"], x["end"]) for x in s]) for t, s in zip(text, items, strict=True)])
 
-    rows = documents.withColumn("_row", F.xxhash64("doc_id", "text")).withColumn("_maybe", maybe("_row"))
-    met = rows.filter("_maybe").join(all_spans.toDF("_row", "_spans"), "_row", "left").withColumn("text", new(F.col("text").cast("string"), "_spans"))
+    rows = documents.withColumn("_llm_row", F.xxhash64("doc_id", "text")).withColumn("_llm_maybe", maybe("_llm_row"))
+    met = rows.filter("_llm_maybe").join(all_spans.toDF("_llm_row", "_llm_spans"), "_llm_row", "left")
+    met = met.withColumn("text", new(F.col("text").cast("string"), "_llm_spans"))
     quoted = [F.col(f"`{c}`") for c in names]
-    return rows.filter("not _maybe").select(*quoted).unionByName(met.select(*quoted))
+    return rows.filter("not _llm_maybe").select(*quoted).unionByName(met.select(*quoted))
