@@ -80,7 +80,7 @@ def threshold_summary(curve: DataFrame, reference: float = 0.5, test_share: floa
     best = optimal_threshold(curve).select(F.col("threshold").alias("optimal_threshold"),
                                            F.col("total_cost").alias("cost_opt"))
     ref = cost_at(curve, reference).select("total_cost").scalar()
-    scale = round(1.0 / test_share) * months
+    scale = round(months / test_share)
     saving = F.col("cost_ref") - F.col("cost_opt")
     return best.withColumn("cost_ref", ref).select(
         "optimal_threshold", "cost_ref", "cost_opt", saving.alias("test_period_cost_saving"),

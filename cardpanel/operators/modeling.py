@@ -103,12 +103,14 @@ def assemble(df: DataFrame, names=FEATURES, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol=out).transform(df)
 
 
-def with_weights(df: DataFrame, label: str = "default_next_month", mode: str = "balanced") -> DataFrame:
+def with_weights(df: DataFrame, label: str = "default_next_month", mode: str = "balanced",
+                 counted: DataFrame | None = None) -> DataFrame:
     """weight column: balanced n / (2 n_class), or 'pos_ratio' (positives get
-    n0 / n1, negatives 1), or 'none'."""
+    n0 / n1, negatives 1), or 'none'.  The classes are counted in ``counted``
+    (default: ``df`` itself), e.g. the rows before resampling."""
     if mode == "none":
         return df.withColumn("weight", F.lit(1.0))
-    w = class_weights(df, label)
+    w = class_weights(counted if counted is not None else df, label)
     if mode == "balanced":
         w = w.select(label, "weight")
     elif mode == "pos_ratio":
@@ -179,18 +181,21 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
 
     ``resample="smote"`` oversamples the minority class first and assigns the
     folds on the resampled rows - the reference order (synthetic rows can
-    then inform the validation folds), kept for faithfulness; the class
-    weights are computed after resampling, as there.
+    then inform the validation folds), kept for faithfulness; the class ratio
+    of the weights is that of the original training rows, as there.
     ``resample="smote_in_folds"`` resamples only each fold's training part
-    and validates on the untouched original rows of the held-out fold."""
+    and validates on the untouched original rows of the held-out fold; its
+    weights follow the resampled classes."""
     grid = grid or DEFAULT_GRID
     if resample == "smote_in_folds":
         return _train_gbt_resampled_folds(train, label, names, grid, folds, seed, weight_mode)
     if resample == "smote":
         from cardpanel.operators.neighbors import smote
         res = smote(train.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
-        train = cut_lineage(with_folds(res, label, folds, seed))
-    d = with_weights(train, label, weight_mode)
+        resampled = cut_lineage(with_folds(res, label, folds, seed))
+        d = with_weights(resampled, label, weight_mode, counted=train)
+    else:
+        d = with_weights(train, label, weight_mode)
     d = assemble(d, names)
     d = d.withColumn(label, F.col(label).cast("double"))
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardpanel.schema import Rule
+from cardpanel.schema import Rule, number_text
 
 
 def rule_sql(rule: Rule, quote: str = "`") -> str:
@@ -23,15 +23,18 @@ def rule_sql(rule: Rule, quote: str = "`") -> str:
     if rule.kind == "range":
         parts = []
         if rule.lo is not None and rule.lo != float("-inf"):
-            parts.append(f"{c} >= {rule.lo:g}")
+            parts.append(f"{c} >= {number_text(rule.lo)}")
         if rule.hi is not None and rule.hi != float("inf"):
-            parts.append(f"{c} <= {rule.hi:g}")
+            parts.append(f"{c} <= {number_text(rule.hi)}")
         return " AND ".join(parts) or "TRUE"
     if rule.kind == "domain":
         vals = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in rule.values)
         return f"{c} IN ({vals})"
     if rule.kind == "scale":
-        return f"({c} IS NULL OR TRY_CAST({c} AS DECIMAL({rule.precision},{rule.scale})) IS NOT NULL)"
+        # the value must equal itself at the declared precision: no digit is rounded away
+        text = f"CAST({c} AS STRING)"
+        fits = f"TRY_CAST({text} AS DECIMAL({rule.precision},{rule.scale})) = TRY_CAST({text} AS DECIMAL(38,18))"
+        return f"({c} IS NULL OR COALESCE({fits}, FALSE))"
     raise ValueError(f"unknown rule kind {rule.kind}")
 
 

@@ -15,6 +15,7 @@ after a lost executor starts at the stored table, not at the raw scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,18 +23,38 @@ from pyspark.sql import DataFrame, SparkSession
 from cardpanel.functions.columns import heuristic_probability
 from cardpanel.operators import features as feat
 from cardpanel.operators import tiers as tr
-from cardpanel.session import store_table
+from cardpanel.operators.panel import split_accounts
+from cardpanel.session import drop_table, partitions_for, store_table
+from cardpanel.sources.files import load_accounts, read_accounts, split_records
 from cardpanel.sources.starschema import (Portfolio, customers_from_star, outcomes_from_panel, panel_from_star,
                                           read_tables, star_portfolio)
+from cardpanel.sources.upsert import check_unique_source
 
 _INGEST: dict[tuple[str, str], Portfolio] = {}
 _FEATURES: dict[tuple[str, str, str], DataFrame] = {}
+#: Forgets what else was derived from a data folder (models); ``refresh`` calls each with its key.
+_ON_REFRESH: list[Callable[[tuple[str, str]], None]] = []
 
 
 def _app_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return spark.sparkContext.applicationId, sf_dir.rstrip("/")
 
 
+def _stored(customers: DataFrame, panel_of: Callable[[DataFrame], DataFrame], paths: list[str],
+            outcomes_of: Callable[[DataFrame], DataFrame], hashed: bool) -> Portfolio:
+    """Customers and panel in tables bucketed by customer_id, as many buckets as
+    the input's size asks for; rows are dealt to the buckets first, so each bucket
+    is one file (``hashed``: the panel leaves its aggregation dealt by customer)."""
+    spark = customers.sparkSession
+    buckets = partitions_for(spark, paths)
+    customers = store_table(customers.repartition(buckets, "customer_id"), "customers", ["customer_id"], ["customer_id"], buckets)
+    panel = panel_of(customers)
+    if not hashed or int(spark.conf.get("spark.sql.shuffle.partitions")) != buckets:
+        panel = panel.repartition(buckets, "customer_id")
+    panel = store_table(panel, "monthly_payments", ["customer_id"], ["customer_id", "month_number"], buckets)
+    return Portfolio(customers, panel, outcomes_of(panel))
+
+
 def ingest(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Portfolio:
     """customers / panel / outcomes.  Customers and the panel (the expensive
     derivation from orders and line items) are stored once per application,
@@ -44,21 +65,48 @@ def ingest(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Portfo
     key = _app_key(spark, sf_dir)
     if key not in _INGEST:
         t = read_tables(spark, sf_dir)
-        customers = store_table(customers_from_star(t["customer"]), "customers", ["customer_id"], ["customer_id"])
-        panel = store_table(panel_from_star(customers, t["orders"], t["lineitem"]), "monthly_payments",
-                            ["customer_id"], ["customer_id", "month_number"])
-        _INGEST[key] = Portfolio(customers, panel, outcomes_from_panel(panel))
+        paths = [f"{sf_dir}/{name}.parquet" for name in t]
+        _INGEST[key] = _stored(customers_from_star(t["customer"]), lambda c: panel_from_star(c, t["orders"], t["lineitem"]),
+                               paths, outcomes_from_panel, hashed=True)
     return _INGEST[key]
 
 
+def ingest_accounts(spark: SparkSession, path: str) -> tuple[Portfolio, DataFrame]:
+    """(portfolio, rejected records) of a card file (CSV, bound by position).
+    Records that break a type or a rule are rejected as a whole, and a file with
+    two good records of one account is refused."""
+    key = _app_key(spark, path)
+    good, rejected = split_records(load_accounts(read_accounts(spark, path)))
+    if key not in _INGEST:
+        check_unique_source(good, ["id"])
+        customers, outcomes, panel = split_accounts(good)
+        outcomes = store_table(outcomes, "outcomes")
+        _INGEST[key] = _stored(customers, lambda _: panel, [path], lambda _: outcomes, hashed=False)
+    return _INGEST[key], rejected
+
+
 class PortfolioPlan:
-    def __init__(self, spark: SparkSession, sf_dir: str, semantics: str = "panel", materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, semantics: str = "panel", materialize: bool = True,
+                 portfolio: Portfolio | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.semantics = semantics
         self.materialize = materialize
-        p = ingest(spark, sf_dir, materialize)
+        p = portfolio or ingest(spark, sf_dir, materialize)
         self.customers, self.panel, self.outcomes = p.customers, p.panel, p.outcomes
+        self.rejected: DataFrame | None = None
+
+    @classmethod
+    def from_accounts(cls, spark: SparkSession, path: str, semantics: str = "panel") -> PortfolioPlan:
+        """The plan over a card file; ``rejected`` has the records left out."""
+        portfolio, rejected = ingest_accounts(spark, path)
+        plan = cls(spark, path, semantics, portfolio=portfolio)
+        plan.rejected = rejected
+        return plan
+
+    def with_semantics(self, semantics: str) -> PortfolioPlan:
+        """The same tables under the other line's rounding rules."""
+        return PortfolioPlan(self.spark, self.sf_dir, semantics, self.materialize, Portfolio(self.customers, self.panel, self.outcomes))
 
     @cached_property
     def features(self) -> DataFrame:
@@ -83,6 +131,12 @@ class PortfolioPlan:
         """The account view with the heuristic score as a column (no re-join)."""
         return self.view.withColumn("risk_score", heuristic_probability())
 
+    @cached_property
+    def test_scores(self) -> DataFrame:
+        """The scores of the test split: what model figures are taken from."""
+        from cardpanel.operators.modeling import stratified_split
+        return stratified_split(self.scores).filter("split = 'test'").drop("split")
+
     @cached_property
     def scores(self) -> DataFrame:
         """Deterministic heuristic probability per account with its label."""
@@ -97,9 +151,14 @@ def flagship(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Dat
 
 
 def refresh(spark: SparkSession, sf_dir: str) -> None:
-    """Forget the stored tables of ``sf_dir`` for this application (after the
-    source tables changed); the next plan re-derives and stores them."""
+    """Forget and drop the stored tables of ``sf_dir`` for this application (after
+    the source tables changed), and the models trained on them; the next plan
+    re-derives and stores them."""
     key = _app_key(spark, sf_dir)
-    _INGEST.pop(key, None)
-    for k in [k for k in _FEATURES if k[:2] == key]:
-        _FEATURES.pop(k, None)
+    old = _INGEST.pop(key, None)
+    frames = [old.customers, old.panel, old.outcomes] if old else []
+    frames += [_FEATURES.pop(k) for k in [k for k in _FEATURES if k[:2] == key]]
+    for df in frames:
+        drop_table(df)
+    for forget in _ON_REFRESH:
+        forget(key)

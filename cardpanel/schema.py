@@ -88,6 +88,11 @@ def with_comments(df, schema: T.StructType):
     return df
 
 
+def number_text(x: float) -> str:
+    """A bound in full: integers without a point, others as they are."""
+    return str(int(x)) if float(x).is_integer() else repr(float(x))
+
+
 @dataclass(frozen=True)
 class Rule:
     """One declarative constraint.
@@ -112,10 +117,10 @@ class Rule:
             lo_open = self.lo is None or self.lo == float("-inf")
             hi_open = self.hi is None or self.hi == float("inf")
             if hi_open and not lo_open:
-                return f"{self.table}.{self.column} >= {self.lo:g}"
+                return f"{self.table}.{self.column} >= {number_text(self.lo)}"
             if lo_open and not hi_open:
-                return f"{self.table}.{self.column} <= {self.hi:g}"
-            return f"{self.table}.{self.column} between {self.lo:g} and {self.hi:g}"
+                return f"{self.table}.{self.column} <= {number_text(self.hi)}"
+            return f"{self.table}.{self.column} between {number_text(self.lo)} and {number_text(self.hi)}"
         if self.kind == "domain":
             return f"{self.table}.{self.column} in ({', '.join(str(v) for v in self.values)})"
         if self.kind == "scale":
@@ -152,3 +157,16 @@ TIER_RULES = [
     Rule("risk_tiers", "risk_tier", "domain", values=(TIER_HIGH, TIER_MEDIUM, TIER_LOW)),
     Rule("risk_tiers", "tier_reason", "not_null"),
 ]
+#: The same constraints on the wide source record.
+ACCOUNT_RULES = [
+    Rule("accounts", "id", "not_null"),
+    Rule("accounts", "limit_bal", "not_null"),
+    Rule("accounts", "limit_bal", "range", 0, float("inf")),
+    Rule("accounts", "sex", "domain", values=(1, 2)),
+    Rule("accounts", "education", "range", 0, 6),
+    Rule("accounts", "marriage", "range", 0, 3),
+    Rule("accounts", "age", "range", 18, 100),
+    *[Rule("accounts", c, "range", -2, 9) for c in STATUS_COLUMNS],
+    Rule("accounts", "default_payment_next_month", "not_null"),
+    Rule("accounts", "default_payment_next_month", "domain", values=(0, 1)),
+]

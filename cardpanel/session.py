@@ -65,6 +65,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet into the shared folder and read back."""
+    import uuid
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/rows/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -109,7 +118,19 @@ def store_table(df: DataFrame, name: str, bucket_by: list[str] | None = None, so
         if sort_by:
             writer = writer.sortBy(*sort_by)
     writer.saveAsTable(table)
-    return spark.table(table)
+    out = spark.table(table)
+    out._cardpanel_table = (table, f"{base}/tables/{table}")
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Drop a table made by ``store_table`` and its files (other frames: nothing)."""
+    table, path = getattr(df, "_cardpanel_table", (None, None))
+    if table:
+        spark = df.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 # Target bytes per task for scans and shuffles.
@@ -129,18 +150,19 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
-def size_for_input(spark: SparkSession, paths: list[str], target: int = TARGET_PARTITION_BYTES,
-                   max_partitions: int = 100_000) -> dict[str, str]:
+def partitions_for(spark: SparkSession, paths: list[str], target: int = TARGET_PARTITION_BYTES) -> int:
+    """Partitions of about ``target`` bytes of the input, never fewer than cores."""
+    return max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, paths) // target))
+
+
+def size_for_input(spark: SparkSession, paths: list[str], target: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
     """Scan split size and shuffle partition count for the input size: about
     ``target`` bytes per task (partitions fit executor memory, spills stay
     small), never fewer partitions than cores.  AQE still coalesces small
     shuffles and splits skewed ones at run time.  Returns the settings applied."""
-    n = input_bytes(spark, paths)
-    cores = spark.sparkContext.defaultParallelism
-    parts = max(cores, min(max_partitions, -(-n // target)))
     settings = {
         "spark.sql.files.maxPartitionBytes": str(target),
-        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.shuffle.partitions": str(partitions_for(spark, paths, target)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
     }
     for k, v in settings.items():

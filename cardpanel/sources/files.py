@@ -2,34 +2,64 @@
 
 * ``read_accounts``: CSV with a header line that is skipped; columns are bound
   by POSITION to the declared wide schema (header names are ignored, as a
-  COPY into a typed staging table does).  Malformed rows are kept with a
-  ``_corrupt_record`` text instead of failing the load.
+  COPY into a typed staging table does), as text.  ``load_accounts`` types them
+  and decides once per record whether it is good; ``split_records`` splits.
 * ``write_table``: Parquet by default; CSV with a header for exports.
   Only ``small=True`` exports are written as one file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardpanel.schema import WIDE_SCHEMA
+from cardpanel.operators.quality import violated
+from cardpanel.schema import ACCOUNT_RULES, WIDE_SCHEMA, Rule
 
 # Raw header names that get a new name on load.
 RAW_RENAMES = {"default payment next month": "default.payment.next.month"}
 
 
-def read_accounts(spark: SparkSession, path: str, schema: T.StructType = WIDE_SCHEMA,
-                  keep_corrupt: bool = True) -> DataFrame:
-    fields = list(schema.fields)
-    if keep_corrupt:
-        fields.append(T.StructField("_corrupt_record", T.StringType(), True))
-    reader = (spark.read.schema(T.StructType(fields)).option("header", True).option("enforceSchema", True)
-              .option("mode", "PERMISSIVE"))
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
-    return reader.csv(path)
+EXTRA = "_extra"
+#: Name of the column with the reasons for which a record is rejected.
+REASONS = "reasons"
+
+
+def read_accounts(spark: SparkSession, path: str, schema: T.StructType = WIDE_SCHEMA) -> DataFrame:
+    """The file's fields as text, bound by position, with whatever follows the
+    last declared field in ``_extra``."""
+    fields = [T.StructField(f.name, T.StringType(), True) for f in schema.fields] + [T.StructField(EXTRA, T.StringType(), True)]
+    return (spark.read.schema(T.StructType(fields)).option("header", True).option("enforceSchema", True)
+            .option("mode", "PERMISSIVE").csv(path))
+
+
+def _typed(name: str, dtype: T.DataType) -> tuple[Column, Column]:
+    """(the field at its declared type, whether the text says something else).
+    Digits that the type would round away count as something else."""
+    text = F.trim(F.col(name))
+    value = text.try_cast(dtype)
+    exact = F.coalesce(text.try_cast("decimal(38,18)") == value.cast("decimal(38,18)"), F.lit(False))
+    return value, text.isNotNull() & ~exact
+
+
+def load_accounts(raw: DataFrame, schema: T.StructType = WIDE_SCHEMA, rules: list[Rule] = ACCOUNT_RULES) -> DataFrame:
+    """One decision per record: ``reasons`` lists every field whose text is not of
+    its type, every broken rule, and surplus fields; it is empty for good records."""
+    values, wrong = {}, []
+    for f in schema.fields:
+        value, bad = _typed(f.name, f.dataType)
+        values[f.name] = value
+        wrong.append(F.when(bad, F.lit(f"{f.name} is not {f.dataType.simpleString()}")))
+    names = [f.name for f in schema.fields]
+    typed = raw.select(*[values[n].alias(n) for n in names], F.array(*wrong, F.when(F.col(EXTRA).isNotNull(), F.lit("surplus fields"))).alias("_wrong"))
+    broken = F.array(*[F.when(violated(r), F.lit(r.name)) for r in rules])
+    return typed.select(*names, F.array_compact(F.concat("_wrong", broken)).alias(REASONS))
+
+
+def split_records(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good records, rejected records with their reasons)."""
+    return loaded.filter(F.size(REASONS) == 0).drop(REASONS), loaded.filter(F.size(REASONS) > 0)
 
 
 def normalise_columns(df: DataFrame, renames: dict[str, str] = RAW_RENAMES) -> DataFrame:

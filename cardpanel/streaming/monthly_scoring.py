@@ -30,7 +30,7 @@ from cardpanel.operators.tiers import assign_tiers
 from cardpanel.schema import PANEL_SCHEMA
 from cardpanel.session import checkpoint_dir
 from cardpanel.sources.files import path_exists
-from cardpanel.sources.upsert import upsert
+from cardpanel.sources.upsert import check_unique_source, upsert
 
 KEYS = ["customer_id", "month_number"]
 UPDATE = ["bill_amount", "pay_amount", "payment_status"]
@@ -64,7 +64,8 @@ def score_batch(batch: DataFrame, epoch: int, customers: DataFrame, panel_root:
     """Version ``epoch`` of the panel = previous version upserted with the
     batch; a replayed epoch rebuilds the same version from the same inputs."""
     spark = batch.sparkSession
-    batch = batch.dropDuplicates(KEYS)
+    batch = batch.distinct()  # the same statement delivered twice is one; differing ones raise
+    check_unique_source(batch, KEYS)
     merged = upsert(current_panel(spark, panel_root, before=epoch), batch.select(*PANEL_SCHEMA.fieldNames()),
                     KEYS, UPDATE, validate=False)
     version = f"{panel_root}/v={epoch}"

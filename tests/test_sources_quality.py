@@ -50,6 +50,31 @@ def test_rules_null_passes_and_one_breach_per_rule(spark):
     assert qa.good(e).count() == 2 and qa.rejected(e).count() == 1
 
 
+def test_load_rejects_scale_surplus_and_range(spark):
+    d = tempfile.mkdtemp(prefix="cardpanel-csv-")
+    base = ["1", "20000", "2", "2", "1", "24", "2", "2", "-1", "-1", "-2", "-2"] + ["3913.50"] * 6 + ["0"] * 6 + ["1"]
+    with open(os.path.join(d, "raw.csv"), "w") as fh:
+        rows = [base, ["2", "20000.001", *base[2:]], ["3", *base[1:], "9"], ["4", *base[1:5], "17", *base[6:]], ["5", *base[1:6], "x", *base[7:]],
+                ["6", "99999999999999", *base[2:]], ["7", "", *base[2:]]]
+        fh.write("\n".join([",".join("c" * 25), *map(",".join, rows)]) + "\n")
+    kept, rejected = files.split_records(files.load_accounts(files.read_accounts(spark, d)))
+    assert [r["id"] for r in kept.collect()] == [1]
+    why = {r["id"]: r["reasons"][0] for r in rejected.collect()}
+    assert why == {2: "limit_bal is not decimal(12,2)", 3: "surplus fields", 4: "accounts.age between 18 and 100", 5: "pay_0 is not smallint",
+                   6: "limit_bal is not decimal(12,2)", 7: "accounts.limit_bal not null"}
+
+
+def test_long_bounds_keep_their_digits(spark):
+    df = spark.createDataFrame([(1234567,), (1234568,), (1234570,)], "x long")
+    r = Rule("t", "x", "range", 0, 1234567)
+    assert qa.check(df, [r]).first()["violations"] == 2 and r.name == "t.x between 0 and 1234567"
+
+
+def test_scale_rule_on_text(spark):
+    df = spark.createDataFrame([("1.239",), ("1.23",), ("1.230",), (None,), ("abc",)], "x string")
+    assert qa.check(df, [Rule("t", "x", "scale", precision=12, scale=2)]).first()["violations"] == 2
+
+
 def test_scale_rule(spark):
     df = spark.createDataFrame([(1, 123456789012.5), (2, 12.5)], "id long, x double")
     r = Rule("t", "x", "scale", precision=12, scale=2)
@@ -87,10 +112,16 @@ def test_csv_positional_binding_and_corrupt_rows(spark):
     bad = good.replace("20000", "abc", 1).replace("1,", "3,", 1)
     with open(path, "w") as fh:
         fh.write("\n".join([header, good, short, bad]) + "\n")
-    df = files.read_accounts(spark, path).cache()
-    rows = df.collect()
-    assert rows[0]["limit_bal"] == Decimal("20000.00") and rows[0]["pay_0"] == 2 and rows[0]["default_payment_next_month"] == 1
-    assert sum(1 for r in rows if r["_corrupt_record"] is not None) == 2
+    loaded = files.load_accounts(files.read_accounts(spark, path))
+    kept, rejected = files.split_records(loaded)
+    rows = kept.collect()
+    assert len(rows) == 1 and rows[0]["limit_bal"] == Decimal("20000.00") and rows[0]["pay_0"] == 2 and rows[0]["default_payment_next_month"] == 1
+    why = {r["id"]: set(r["reasons"]) for r in rejected.collect()}
+    assert why[2] == {"accounts.default_payment_next_month not null"}
+    assert why[3] == {"limit_bal is not decimal(12,2)", "accounts.limit_bal not null"}
+    # one decision per record, whatever is read of it
+    customers, outcomes, panel = pn.split_accounts(kept)
+    assert customers.count() == outcomes.count() == 1 and panel.count() == 6
     renamed = files.normalise_columns(spark.createDataFrame([(1, 0)], "`ID ` long, `default payment next month` int"))
     assert renamed.columns == ["ID", "default.payment.next.month"]
 
