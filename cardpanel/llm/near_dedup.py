@@ -13,8 +13,9 @@
    into components.
 5. Only members of a bucket that are not yet connected can still add anything:
    those outside the bucket's largest component meet the rest of the bucket, block
-   by block (``BLOCK`` x ``BLOCK`` sketches in a task, survivors alone leave it).
-   Then 4 again.  No pair inside a connected group is ever formed.
+   by block (about ``BLOCK`` x ``BLOCK`` members in a task): the same sequential test,
+   then the full sets.  Only links leave the task, one for each member and component
+   it reaches; no pair inside a connected group is ever formed.
 
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and are their own component; a document of fewer words than a shingle is
@@ -40,6 +41,8 @@ from cardpanel.llm.tables import stored
 from cardpanel.llm.tokens import LOWER, mix, windows, word_slices
 
 ROWS, BANDS, STEP, MISS, BLOCK = 6, 42, 32, 1e-6, 256
+#: Shingles of a block's members, about.
+BLOCK_SHINGLES = 1 << 20
 HASHES = ROWS * BANDS
 U = np.uint64
 
@@ -181,52 +184,66 @@ def _sets(documents: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "cid long, shingles array<long>")
 
 
-def _verified(likely: DataFrame, classes: DataFrame, documents: DataFrame, k: int, threshold: float, tag: str) -> DataFrame:
+def _verified(likely: DataFrame, classes: DataFrame, documents: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
-    likely = stored(likely.distinct(), f"likely-{tag}")
     nodes = likely.select(F.col("a").alias("cid")).union(likely.select("b")).distinct()
     chosen = classes.join(nodes, "cid").select("cid", "row")
     sets = _sets(documents, chosen, k).join(chosen.select("cid"), "cid").dropDuplicates(["cid"])
-    sets = stored(sets, f"sets-{tag}")
+    sets = stored(sets, "sets")
     met = likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     met = met.withColumn("both", F.size(F.array_intersect("sa", "sb")))
     percent = round(100 * threshold)
-    return stored(met.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), f"links-{tag}")
+    return stored(met.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), "links")
 
 
-def _unresolved(buckets: DataFrame, leaders: DataFrame, roots: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs of a bucket that the leaders' links have not connected."""
+def _unresolved(buckets: DataFrame, leaders: DataFrame, roots: DataFrame, classes: DataFrame, documents: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Links within buckets that the leaders' links have not connected."""
     members = buckets.join(leaders.filter("n > 2").select("bucket", "leader"), "bucket").filter("cid != leader")
-    members = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-    members = members.select("bucket", "cid", F.coalesce("root", "cid").alias("comp"))
-    groups = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    groups = groups.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
-    groups = groups.filter("total > top.n").select("bucket", F.col("top.comp").alias("main"), "total", (F.col("total") - F.col("top.n")).alias("out"))
-    members = members.join(groups, "bucket").withColumn("is_out", F.col("comp") != F.col("main"))
-    deal = lambda n, seed: F.pmod(F.xxhash64("cid", F.lit(seed)), F.ceil(n / BLOCK))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(n / BLOCK) - 1))
-    left = members.filter("is_out").withColumn("i", deal(F.col("out"), 1)).withColumn("j", every(F.col("total")))
-    right = members.withColumn("j", deal(F.col("total"), 2)).withColumn("i", every(F.col("out")))
-    shared = [F.col(c) for c in ("bucket", "i", "j", "cid", "comp")]
-    both = left.select(*shared, F.lit(True).alias("asks"), "is_out").union(right.select(*shared, F.lit(False), "is_out"))
-    both = both.join(classes.select("cid", "sig", "n_shingles"), "cid")
-    need = least_agreements(threshold)
+    members = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").join(classes.select("cid", "n_shingles"), "cid")
+    members = members.select("bucket", "cid", "n_shingles", F.coalesce("root", "cid").alias("comp"))
+    groups = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    groups = groups.groupBy("bucket").agg(F.max(F.struct("n", "comp", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s")).filter("n > top.n")
+    blocks = lambda n, s: F.ceil(F.greatest(n / BLOCK, s / BLOCK_SHINGLES))
+    groups = groups.select("bucket", F.col("top.comp").alias("main"), blocks(F.col("n"), F.col("s")).alias("nj"),
+                           blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("ni"))
+    members = stored(members.join(groups, "bucket").withColumn("is_out", F.col("comp") != F.col("main")), "unresolved")
+    deal = lambda n, seed: F.pmod(F.xxhash64("cid", F.lit(seed)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = members.filter("is_out").withColumn("i", deal("ni", 1)).withColumn("j", every("nj"))
+    right = members.withColumn("j", deal("nj", 2)).withColumn("i", every("ni"))
+    shared = [F.col(c) for c in ("bucket", "i", "j", "cid", "comp", "n_shingles", "is_out")]
+    both = left.select(*shared, F.lit(True).alias("asks")).union(right.select(*shared, F.lit(False)))
+    chosen = members.select("cid").distinct().join(classes.select("cid", "row", "sig"), "cid")
+    chosen = stored(chosen, "unresolved-classes")
+    sets = _sets(documents, chosen, k).join(chosen.select("cid", "sig"), "cid").dropDuplicates(["cid"])
+    both = both.join(sets, "cid")
+    need, percent = least_agreements(threshold), round(100 * threshold)
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         l, r = block[block["asks"]], block[~block["asks"]]
         lc, rc, ln, rn = l["cid"].to_numpy(), r["cid"].to_numpy(), l["n_shingles"].to_numpy(), r["n_shingles"].to_numpy()
-        apart = l["comp"].to_numpy()[:, None] != r["comp"].to_numpy()[None, :]
+        comp = r["comp"].to_numpy()
+        apart = l["comp"].to_numpy()[:, None] != comp[None, :]
         apart &= ~r["is_out"].to_numpy()[None, :] | (lc[:, None] < rc[None, :])
         apart &= np.minimum(ln[:, None], rn[None, :]) >= threshold * np.maximum(ln[:, None], rn[None, :]) - 1e-6
         li, ri = np.nonzero(apart)
-        if not len(li):
-            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        sig = [np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(-1, HASHES) for x in (l, r)]
-        stay = alive(*sig, li, ri, need)
-        a, b = lc[li[stay]], rc[ri[stay]]
+        found = []
+        if len(li):
+            sig = [np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(-1, HASHES) for x in (l, r)]
+            stay = alive(*sig, li, ri, need)
+            li, ri = li[stay], ri[stay]
+            names, at = np.unique(np.concatenate([np.empty(0, np.int64), *r["shingles"]]), return_inverse=True)
+            edges = np.concatenate([[0], np.cumsum(rn)[:-1]])
+            for i in np.unique(li):
+                mine = np.isin(names, l["shingles"].iloc[i])
+                common = np.add.reduceat(mine[at], edges, dtype=np.int64)
+                on = ri[li == i]
+                on = on[100 * common[on] >= percent * (ln[i] + rn[on] - common[on])]
+                found += [(lc[i], rc[on[x]]) for x in np.unique(comp[on], return_index=True)[1]]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return both.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+    return stored(both.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct(), "links-rest")
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -244,9 +261,9 @@ def near_duplicates(documents: DataFrame, k: int = 5, threshold: float = 0.8) ->
     buckets = stored(buckets.select("bucket", "cid").join(leaders.select("bucket"), "bucket"), "buckets")
     met = buckets.join(leaders, "bucket").filter("cid != leader")
     pairs = met.select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
-    links = _verified(_likely(pairs, classes, threshold), classes, documents, k, threshold, "led")
-    more = _unresolved(buckets, leaders, components(links), classes, threshold)
-    links = links.union(_verified(more, classes, documents, k, threshold, "rest"))
+    likely = stored(_likely(pairs, classes, threshold), "likely")
+    links = _verified(likely, classes, documents, k, threshold)
+    links = links.union(_unresolved(buckets, leaders, components(links), classes, documents, k, threshold))
     named = classes.select("cid", "first_id", "head").join(components(links).withColumnRenamed("node", "cid"), "cid", "left")
     named = named.withColumn("root", F.coalesce("root", "cid"))
     heads = named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.min("head").alias("head"))
@@ -260,6 +277,6 @@ def one_of_each(documents: DataFrame, k: int = 5, threshold: float = 0.8) -> Dat
     """``documents`` with one row of each group of near duplicates (documents
     without words all stay, but for repeated rows), all columns kept."""
     found = near_duplicates(documents, k, threshold)
-    first = found.filter("row = first_row").select(F.col("row").alias("_row")).distinct()
-    rows = documents.withColumn("_row", F.xxhash64("doc_id", "text"))
-    return rows.join(first, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    first = found.filter("row = first_row").select(F.col("row").alias("_llm_row")).distinct()
+    rows = documents.withColumn("_llm_row", F.xxhash64("doc_id", "text"))
+    return rows.join(first, "_llm_row", "left_semi").dropDuplicates(["_llm_row"]).drop("_llm_row")
