@@ -7,7 +7,7 @@
 * ``standardize``: population mean / std (the scaler convention of the
   reference) as column arithmetic; the statistics are one aggregation.
 * ``train_logistic`` / ``train_gbt``: Spark ML estimators with class weights;
-  grid search by ``CrossValidator`` on a fold column, scored by average
+  grid search over a fold column, several fits at a time, scored by average
   precision computed as a distributed aggregate.
 * Training frames are cut from their lineage with a reliable checkpoint
   (shared checkpoint folder), so iterations re-read materialised data and a
@@ -16,14 +16,16 @@
 
 from __future__ import annotations
 
+import itertools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,7 +176,7 @@ DEFAULT_GRID = {"maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1], "maxIter": [100,
 
 
 def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURES, grid: dict | None = None,
-              folds: int = 3, seed: int = 42, weight_mode: str = "pos_ratio", parallelism: int = 1,
+              folds: int = 3, seed: int = 42, weight_mode: str = "pos_ratio", parallelism: int = 6,
               resample: str | None = None) -> Trained:
     """Boosted trees, grid-searched by k-fold CV on the ``fold`` column with
     average precision; the best grid point is refit on all training rows.
@@ -188,7 +190,7 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
     weights follow the resampled classes."""
     grid = grid or DEFAULT_GRID
     if resample == "smote_in_folds":
-        return _train_gbt_resampled_folds(train, label, names, grid, folds, seed, weight_mode)
+        return _train_gbt_resampled_folds(train, label, names, grid, folds, seed, weight_mode, parallelism)
     if resample == "smote":
         from cardpanel.operators.neighbors import smote
         res = smote(train.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
@@ -196,20 +198,56 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
         d = with_weights(resampled, label, weight_mode, counted=train)
     else:
         d = with_weights(train, label, weight_mode)
-    d = assemble(d, names)
-    d = d.withColumn(label, F.col(label).cast("double"))
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed)
-    pg = ParamGridBuilder()
-    for k, vals in grid.items():
-        pg = pg.addGrid(gbt.getParam(k), vals)
-    maps = pg.build()
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps, evaluator=AveragePrecisionEvaluator(label),
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    m = cv.fit(d)
-    best_i = max(range(len(m.avgMetrics)), key=lambda i: m.avgMetrics[i])
-    best = {p.name: v for p, v in maps[best_i].items()}
-    metrics = [({p.name: v for p, v in pm.items()}, float(a)) for pm, a in zip(maps, m.avgMetrics)]
-    return Trained(m.bestModel, "gbt", best, metrics)
+    d = _sized(assemble(d, names).withColumn(label, F.col(label).cast("double")))
+    pairs = [(d.filter(F.col("fold") != k), d.filter(F.col("fold") == k)) for k in range(folds)]
+    return _searched(pairs, d, label, grid, seed, parallelism)
+
+
+#: Rows of a training partition: small tables are one task, so the many short jobs of boosting stay short.
+ROWS_PER_TASK = 100_000
+
+
+def _sized(d: DataFrame) -> DataFrame:
+    d = cut_lineage(d)
+    return d.coalesce(max(1, -(-d.count() // ROWS_PER_TASK)))
+
+
+def _first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model after its first ``rounds`` trees: what a shorter run with the same
+    depth, rate and seed would have trained."""
+    jvm, j = SparkContext._active_spark_context._jvm, model._java_obj
+    copy = jvm.java.util.Arrays.copyOf
+    out = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{model.uid}_{rounds}", copy(j.trees(), rounds), copy(j.treeWeights(), rounds)))
+    return out
+
+
+def _searched(pairs: list[tuple[DataFrame, DataFrame]], rows: DataFrame, label: str, grid: dict, seed: int, parallelism: int) -> Trained:
+    """Average precision of every grid point over (fit rows, held-out rows) pairs,
+    and the best point refit on ``rows``.  Each depth and rate is trained once per
+    pair, to the largest number of rounds; fewer rounds are its first trees."""
+    rounds = sorted(grid["maxIter"])
+    shapes = [dict(zip(("maxDepth", "stepSize"), x)) for x in itertools.product(grid["maxDepth"], grid["stepSize"])]
+    evaluator = AveragePrecisionEvaluator(label)
+
+    def trained(shape: dict, n: int, fit_rows: DataFrame) -> GBTClassificationModel:
+        return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed, maxIter=n, **shape).fit(fit_rows)
+
+    def scores(job):
+        shape, (fit_rows, held_out) = job
+        model = trained(shape, rounds[-1], fit_rows)
+        return [evaluator.evaluate(_first_rounds(model, n).transform(held_out)) for n in rounds]
+
+    jobs = [(s, p) for s in shapes for p in pairs]
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(scores, jobs))
+    metrics = []
+    for a, shape in enumerate(shapes):
+        of_shape = found[a * len(pairs) : (a + 1) * len(pairs)]
+        metrics += [({**shape, "maxIter": n}, sum(x[i] for x in of_shape) / len(of_shape)) for i, n in enumerate(rounds)]
+    best = max(metrics, key=lambda m: m[1])[0]
+    model = trained({k: best[k] for k in ("maxDepth", "stepSize")}, best["maxIter"], rows)
+    return Trained(model, "gbt", best, metrics)
 
 
 def score_portfolio(trained: Trained, df: DataFrame, names=FEATURES, label: str = "default_next_month",
@@ -230,29 +268,13 @@ def logistic_coefficients(trained: Trained, names=FEATURES) -> dict[str, float]:
 
 
 def _train_gbt_resampled_folds(train: DataFrame, label: str, names, grid: dict, folds: int, seed: int,
-                               weight_mode: str) -> Trained:
+                               weight_mode: str, parallelism: int) -> Trained:
     from cardpanel.operators.neighbors import smote
 
     def prepared(rows: DataFrame) -> DataFrame:
         res = smote(rows.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
         d = assemble(with_weights(res, label, weight_mode), names)
-        return cut_lineage(d.withColumn(label, F.col(label).cast("double")))
+        return _sized(d.withColumn(label, F.col(label).cast("double")))
 
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed)
-    pg = ParamGridBuilder()
-    for k, vals in grid.items():
-        pg = pg.addGrid(gbt.getParam(k), vals)
-    maps = pg.build()
-    evaluator = AveragePrecisionEvaluator(label)
-    fold_data = []
-    for k in range(folds):
-        fit_rows = prepared(train.filter(F.col("fold") != k))
-        held_out = assemble(train.filter(F.col("fold") == k), names)
-        fold_data.append((fit_rows, held_out))
-    metrics = []
-    for pm in maps:
-        scores = [evaluator.evaluate(gbt.copy(pm).fit(f).transform(h)) for f, h in fold_data]
-        metrics.append(({p.name: v for p, v in pm.items()}, sum(scores) / len(scores)))
-    best_i = max(range(len(maps)), key=lambda i: metrics[i][1])
-    model = gbt.copy(maps[best_i]).fit(prepared(train))
-    return Trained(model, "gbt", metrics[best_i][0], metrics)
+    pairs = [(prepared(train.filter(F.col("fold") != k)), assemble(train.filter(F.col("fold") == k), names)) for k in range(folds)]
+    return _searched(pairs, prepared(train), label, grid, seed, parallelism)

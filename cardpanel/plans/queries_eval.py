@@ -58,15 +58,6 @@ def q_cost_at_reference(spark, sf_dir):
     return ev.cost_at(ev.cost_curve(_scores(spark, sf_dir)), 0.5)
 
 
-@register("threshold_summary", """
-SELECT b.threshold AS optimal_threshold, r.total_cost AS cost_ref, b.total_cost AS cost_opt,
-       r.total_cost - b.total_cost AS test_period_cost_saving, (r.total_cost - b.total_cost) * 60 AS annualized_cost_saving
-FROM (SELECT * FROM cost ORDER BY total_cost, threshold LIMIT 1) b,
-     (SELECT * FROM cost ORDER BY ABS(threshold - 0.5), threshold LIMIT 1) r""", CURVE_SQL, group="evaluation")
-def q_threshold_summary(spark, sf_dir):
-    return ev.threshold_summary(ev.cost_curve(_scores(spark, sf_dir)))
-
-
 @register("average_precision", """
 SELECT ROUND(SUM(CAST(tp AS DOUBLE) * CAST(tp_cum AS DOUBLE) / CAST(n_cum AS DOUBLE)) / SUM(tp), 10) AS average_precision
 FROM run""", RUN_SQL, group="evaluation")

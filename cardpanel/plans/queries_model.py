@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from cardpanel.operators import evaluation as ev
 from cardpanel.operators import explain as ex
 from cardpanel.operators import modeling as md
+from cardpanel.operators.treeshap import tree_attributions
+from cardpanel.session import cut_lineage
+from cardpanel.operators.features import clean_features
 from cardpanel.plans.catalog import _plan, register
+from cardpanel.plans.portfolio import _ON_REFRESH
 
 _H1 = "(((customer_id % 2147483647) * 1103515245 + 42 * 16807) % 2147483647)"
 HASH = f"((xor({_H1}, {_H1} >> 15) * 48271) % 2147483647)"
@@ -20,10 +24,6 @@ ranked AS (
   FROM credit_features JOIN outcomes USING (customer_id)
 )
 """
-# The small grid used by the registered (checked) model queries.
-CHECK_GRID = {"maxDepth": [3], "stepSize": [0.1], "maxIter": [20]}
-
-
 def _labelled(p):
     return p.features.join(p.outcomes, "customer_id")
 
@@ -62,26 +62,65 @@ def q_top_test_accounts(spark, sf_dir):
             .orderBy(F.col("risk_score").desc(), F.col("customer_id")).limit(20))
 
 
+TEST_COST_SQL = RANK_SQL + """, thresholds AS (SELECT CAST(i AS DOUBLE) / 100.0 AS threshold FROM range(10, 91) g(i)),
+test_scores AS (
+  SELECT s.risk_score, s.default_next_month AS y FROM scores s JOIN ranked r USING (customer_id) WHERE r.rk < ROUND(0.2 * r.n)
+),
+cost AS (
+  SELECT threshold, SUM(CASE WHEN y = 1 AND risk_score < threshold THEN 150 WHEN y = 0 AND risk_score >= threshold THEN 10 ELSE 0 END) AS total
+  FROM thresholds, test_scores GROUP BY threshold
+)
+"""
+
+
+@register("threshold_summary", """
+SELECT opt.threshold AS optimal_threshold, CAST(ref.total AS BIGINT) AS cost_ref, CAST(opt.total AS BIGINT) AS cost_opt,
+       CAST(ref.total - opt.total AS BIGINT) AS test_period_cost_saving, CAST((ref.total - opt.total) / 0.2 * 12 AS BIGINT) AS annualized_cost_saving
+FROM (SELECT threshold, total FROM cost ORDER BY total, threshold LIMIT 1) opt, (SELECT total FROM cost WHERE threshold = 0.5) ref""",
+          TEST_COST_SQL, group="model")
+def q_threshold_summary(spark, sf_dir):
+    """Costs of the test split alone; the annualised saving scales them to the portfolio and a year."""
+    return ev.threshold_summary(ev.cost_curve(_plan(spark, sf_dir).test_scores))
+
+
 _FRAMES: dict = {}
 _MODELS: dict = {}
 
 
-def _frame(spark, sf_dir):
-    """Features + label + split + folds, checkpointed once per application."""
-    p = _plan(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _forget(key) -> None:
+    for store in (_FRAMES, _MODELS):
+        for k in [k for k in store if k[:2] == key]:
+            store.pop(k)
+
+
+_ON_REFRESH.append(_forget)
+
+
+def frame_of(plan):
+    """Cleaned features + label + split + folds, checkpointed once per application."""
+    key = (plan.spark.sparkContext.applicationId, plan.sf_dir.rstrip("/"))
     if key not in _FRAMES:
-        _FRAMES[key] = md.training_frame(p.features, p.outcomes)
-    return p, _FRAMES[key]
+        _FRAMES[key] = md.training_frame(clean_features(plan.features), plan.outcomes)
+    return _FRAMES[key]
 
 
-def _gbt(spark, sf_dir, resample=None):
-    """The grid-searched boosted model, trained once per application."""
-    p, d = _frame(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, resample)
+def model_of(plan, resample="smote"):
+    """(frame, grid-searched boosted model), trained once per application."""
+    d = frame_of(plan)
+    key = (plan.spark.sparkContext.applicationId, plan.sf_dir.rstrip("/"), resample)
     if key not in _MODELS:
-        _MODELS[key] = md.train_gbt(d.filter(F.col("split") == "train"), grid=CHECK_GRID, resample=resample)
-    return p, d, _MODELS[key]
+        _MODELS[key] = md.train_gbt(d.filter(F.col("split") == "train"), resample=resample)
+    return d, _MODELS[key]
+
+
+def _frame(spark, sf_dir):
+    p = _plan(spark, sf_dir)
+    return p, frame_of(p)
+
+
+def _gbt(spark, sf_dir, resample="smote"):
+    p = _plan(spark, sf_dir)
+    return (p, *model_of(p, resample))
 
 
 def _test_metrics(scored, name):
@@ -116,8 +155,9 @@ def q_logistic_attributions(spark, sf_dir):
 
 @register("train_gbt", group="model")
 def q_train_gbt(spark, sf_dir):
-    """Grid search (3 stratified folds, AP) of boosted trees: one row per grid point."""
-    p, d, t = _gbt(spark, sf_dir)
+    """Grid search (3 stratified folds, AP) of boosted trees without resampling:
+    one row per grid point."""
+    p, d, t = _gbt(spark, sf_dir, resample=None)
     rows = [(int(g["maxDepth"]), float(g["stepSize"]), int(g["maxIter"]), m) for g, m in t.cv_metrics]
     return spark.createDataFrame(rows, "max_depth int, step_size double, max_iter int, cv_average_precision double")
 
@@ -132,54 +172,59 @@ def q_score_portfolio(spark, sf_dir):
 
 @register("model_metrics", group="model")
 def q_model_metrics(spark, sf_dir):
-    """Headline record: test AP, optimum threshold by cost, F2 there, cost at
-    0.50 and at the optimum, saving and annualised saving, top-3 features by
-    mean |attribution| (seeded sample of at most 2000 test accounts)."""
-    return model_metrics(spark, sf_dir)
+    """The metrics record of a run, one row; see ``model_metrics``."""
+    return model_metrics(_plan(spark, sf_dir))
 
 
-def model_metrics(spark, sf_dir):
-    from cardpanel.operators.treeshap import tree_attributions
-    p, d, t = _gbt(spark, sf_dir)
-    test = d.filter(F.col("split") == "test")
-    scored = md.score_portfolio(t, test.select("customer_id", "default_next_month", *md.FEATURES))
-    s = scored.select("risk_score", "default_next_month")
+def _confusion(scored, threshold, name):
+    c = ev.confusion(scored, threshold)
+    return c.select(F.array("tn", "fp", "fn", "tp").alias(name)).scalar()
+
+
+def model_metrics(plan):
+    """Accounts and default rate; on the test split: average precision of the
+    boosted and the logistic model, optimum threshold by cost, F2 there, costs and
+    savings, confusion (tn, fp, fn, tp) at 0.50 and at the optimum of either; the
+    best grid point; the three features of highest mean |attribution|."""
+    d, t = model_of(plan)
+    train, test = (d.filter(F.col("split") == x) for x in ("train", "test"))
+    s = cut_lineage(md.score_portfolio(t, test.select("customer_id", "default_next_month", *md.FEATURES)).select("risk_score", "default_next_month"))
+    base = md.score_portfolio(md.train_logistic(train), test, standardize_like=train).select("risk_score", "default_next_month")
     curve = ev.cost_curve(s)
-    summary = ev.threshold_summary(curve)
     best_t = float(ev.optimal_threshold(curve).select("threshold").first()[0])
     f2 = ev.fbeta(ev.confusion(s, best_t), 2.0).select(F.col("fbeta").alias("f2_at_optimum"))
-    ap = ev.average_precision(s)
-    imp = ex.attribution_importance(tree_attributions(md.sample_n(test, 2000), t.model))
-    top = imp.filter(F.col("rank") <= 3).agg(F.array_join(F.sort_array(F.collect_list(
-        F.struct("rank", "feature_name"))).getField("feature_name"), ",").alias("top_features"))
-    return (summary.withColumn("f2_at_optimum", f2.scalar()).withColumn("average_precision", ap.scalar())
-            .withColumn("top_features", top.scalar()))
-
-
-def _gbt_test_attributions(spark, sf_dir):
-    from cardpanel.operators.treeshap import tree_attributions
-    p, d, t = _gbt(spark, sf_dir)
-    test = d.filter(F.col("split") == "test")
-    return t, test, tree_attributions(md.sample_n(test, 2000), t.model)
+    top = ex.attribution_importance(tree_attributions(test, t.model)).filter(F.col("rank") <= 3).agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("rank", "feature_name"))).getField("feature_name"), ",").alias("top_features"))
+    labels = d.agg(F.count(F.lit(1)).alias("accounts"), (100 * F.avg("default_next_month")).alias("overall_default_rate"))
+    return (ev.threshold_summary(curve).withColumns({
+        "accounts": labels.select("accounts").scalar(), "overall_default_rate": labels.select("overall_default_rate").scalar(),
+        "f2_at_optimum": f2.scalar(), "average_precision": ev.average_precision(s).scalar(),
+        "logistic_average_precision": ev.average_precision(base).scalar(), "logistic_confusion_at_050": _confusion(base, 0.5, "c"),
+        "confusion_at_050": _confusion(s, 0.5, "c"), "confusion_at_optimum": _confusion(s, best_t, "c"),
+        "best_max_depth": F.lit(int(t.params["maxDepth"])), "best_step_size": F.lit(float(t.params["stepSize"])),
+        "best_max_iter": F.lit(int(t.params["maxIter"])), "top_features": top.scalar()}))
 
 
 @register("tree_attributions", group="model")
 def q_tree_attributions(spark, sf_dir):
-    """Mean |Shapley value| per feature (margin scale) over a seeded sample of
-    at most 2000 test accounts, ranked."""
-    _, _, attr = _gbt_test_attributions(spark, sf_dir)
-    return ex.attribution_importance(attr)
+    """Mean |Shapley value| per feature (margin scale) over the whole test split, ranked."""
+    _, d, t = _gbt(spark, sf_dir)
+    return ex.attribution_importance(tree_attributions(d.filter(F.col("split") == "test"), t.model))
 
 
 @register("tree_top_drivers", group="model")
 def q_tree_top_drivers(spark, sf_dir):
     """Top 20 test accounts by model score with their three largest drivers."""
-    from cardpanel.operators.treeshap import tree_attributions
-    t, test, _ = _gbt_test_attributions(spark, sf_dir)
+    return tree_top_drivers(_plan(spark, sf_dir))
+
+
+def tree_top_drivers(plan, n=20):
+    d, t = model_of(plan)
+    test = d.filter(F.col("split") == "test")
     scored = md.score_portfolio(t, test.select("customer_id", "default_next_month", *md.FEATURES))
-    top = scored.orderBy(F.col("risk_score").desc(), F.col("customer_id")).limit(20)
+    top = scored.orderBy(F.col("risk_score").desc(), F.col("customer_id")).limit(n)
     attr = tree_attributions(top.join(test.select("customer_id", *md.FEATURES), "customer_id"), t.model)
-    return ex.top_drivers(top, attr, 20)
+    return ex.top_drivers(top, attr, n)
 
 
 @register("smote", group="model")
@@ -195,7 +240,7 @@ def q_smote(spark, sf_dir):
 @register("train_gbt_smote", group="model")
 def q_train_gbt_smote(spark, sf_dir):
     """Grid search on the SMOTE-resampled training split (reference order)."""
-    p, d, t = _gbt(spark, sf_dir, resample="smote")
+    p, d, t = _gbt(spark, sf_dir)
     rows = [(int(g["maxDepth"]), float(g["stepSize"]), int(g["maxIter"]), m) for g, m in t.cv_metrics]
     return spark.createDataFrame(rows, "max_depth int, step_size double, max_iter int, cv_average_precision double")
 

@@ -292,21 +292,162 @@ def q_upsert_limits(spark, sf_dir):
     return _small_ints(_money_to_double(out))
 
 
+# ------------------------------------------------- rows that break the rules
+# The derived portfolio satisfies every rule, so the same queries also run on a
+# copy of it that is broken by arithmetic on the account key: nulls, values out of
+# range or domain, repeated keys, and rows without a customer.
+
+
+def _broken(p):
+    key = F.col("customer_id")
+    own = p.customers.select(
+        "customer_id", F.when(key % 11 == 0, None).when(key % 13 == 0, -F.col("credit_limit") - 1).otherwise(F.col("credit_limit"))
+        .cast("decimal(12,2)").alias("credit_limit"),
+        F.when(key % 17 == 0, 3).otherwise(F.col("sex")).alias("sex"), F.when(key % 19 == 0, 9).otherwise(F.col("education")).alias("education"),
+        F.when(key % 7 == 3, None).otherwise(F.col("marriage")).alias("marriage"), F.when(key % 23 == 0, 17).otherwise(F.col("age")).alias("age"))
+    customers = own.union(own.filter(key % 29 == 0)).union(own.filter(key % 58 == 0))
+    panel = p.panel.select(
+        F.when((key % 31 == 0) & (F.col("month_number") == 6), -key).otherwise(key).alias("customer_id"),
+        F.when((key % 37 == 0) & (F.col("month_number") == 6), 7).otherwise(F.col("month_number")).alias("month_number"), "bill_amount", "pay_amount",
+        F.when(key % 41 == 0, 10).otherwise(F.col("payment_status")).alias("payment_status"))
+    outcomes = p.outcomes.select("customer_id", F.when(key % 43 == 0, 2).when(key % 47 == 0, None).otherwise(F.col("default_next_month"))
+                                 .alias("default_next_month"))
+    return {"customers": customers, "monthly_payments": panel, "outcomes": outcomes}
+
+
+BROKEN_SQL = """
+own AS (
+  SELECT customer_id, CASE WHEN customer_id % 11 = 0 THEN NULL WHEN customer_id % 13 = 0 THEN -credit_limit - 1 ELSE credit_limit END AS credit_limit,
+         CASE WHEN customer_id % 17 = 0 THEN 3 ELSE sex END AS sex, CASE WHEN customer_id % 19 = 0 THEN 9 ELSE education END AS education,
+         CASE WHEN customer_id % 7 <> 3 THEN marriage END AS marriage, CASE WHEN customer_id % 23 = 0 THEN 17 ELSE age END AS age
+  FROM customers
+),
+b_customers AS (
+  SELECT * FROM own UNION ALL SELECT * FROM own WHERE customer_id % 29 = 0 UNION ALL SELECT * FROM own WHERE customer_id % 58 = 0
+),
+b_payments AS (
+  SELECT CASE WHEN customer_id % 31 = 0 AND month_number = 6 THEN -customer_id ELSE customer_id END AS customer_id,
+         CASE WHEN customer_id % 37 = 0 AND month_number = 6 THEN 7 ELSE month_number END AS month_number,
+         CASE WHEN customer_id % 41 = 0 THEN 10 ELSE payment_status END AS payment_status
+  FROM monthly_payments
+),
+b_outcomes AS (
+  SELECT customer_id, CASE WHEN customer_id % 43 = 0 THEN 2 WHEN customer_id % 47 <> 0 THEN default_next_month END AS default_next_month FROM outcomes
+)
+"""
+# Predicates of broken rows, written from the rule definitions.
+BROKEN_RULES = [
+    ("customers", "b_customers", "customers.customer_id not null", "customer_id IS NULL"),
+    ("customers", "b_customers", "customers.credit_limit not null", "credit_limit IS NULL"),
+    ("customers", "b_customers", "customers.credit_limit >= 0", "credit_limit < 0"),
+    ("customers", "b_customers", "customers.credit_limit fits decimal(12,2)", "abs(credit_limit) >= 10000000000 OR credit_limit * 100 <> round(credit_limit * 100)"),
+    ("customers", "b_customers", "customers.sex in (1, 2)", "sex < 1 OR sex > 2"),
+    ("customers", "b_customers", "customers.education between 0 and 6", "education < 0 OR education > 6"),
+    ("customers", "b_customers", "customers.marriage between 0 and 3", "marriage < 0 OR marriage > 3"),
+    ("customers", "b_customers", "customers.age between 18 and 100", "age < 18 OR age > 100"),
+    ("monthly_payments", "b_payments", "monthly_payments.customer_id not null", "customer_id IS NULL"),
+    ("monthly_payments", "b_payments", "monthly_payments.month_number not null", "month_number IS NULL"),
+    ("monthly_payments", "b_payments", "monthly_payments.month_number between 1 and 6", "month_number < 1 OR month_number > 6"),
+    ("monthly_payments", "b_payments", "monthly_payments.payment_status between -2 and 9", "payment_status < -2 OR payment_status > 9"),
+    ("outcomes", "b_outcomes", "outcomes.customer_id not null", "customer_id IS NULL"),
+    ("outcomes", "b_outcomes", "outcomes.default_next_month not null", "default_next_month IS NULL"),
+    ("outcomes", "b_outcomes", "outcomes.default_next_month in (0, 1)", "default_next_month < 0 OR default_next_month > 1"),
+]
+BROKEN_SETS = [("customers", CUSTOMER_RULES), ("monthly_payments", [r for r in PANEL_RULES if r.kind != "scale"]), ("outcomes", OUTCOME_RULES)]
+
+
+def _all(frames):
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@register("check_rules_broken", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{name}' AS rule, COUNT(*) FILTER (WHERE {bad}) AS violations FROM {source}" for t, source, name, bad in BROKEN_RULES),
+    BROKEN_SQL, group="quality")
+def q_check_rules_broken(spark, sf_dir):
+    t = _broken(_plan(spark, sf_dir))
+    return _all(qa.check(t[name], rules) for name, rules in BROKEN_SETS)
+
+
+@register("enforce_summary_broken", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) - COUNT(*) FILTER (WHERE {bad}) AS good_rows, COUNT(*) FILTER (WHERE {bad}) AS rejected_rows FROM {source}"
+    for t, source, bad in [(t, s, " OR ".join(f"({b})" for x, _, _, b in BROKEN_RULES if x == t))
+                           for t, s in (("customers", "b_customers"), ("monthly_payments", "b_payments"), ("outcomes", "b_outcomes"))]),
+    BROKEN_SQL, group="quality")
+def q_enforce_summary_broken(spark, sf_dir):
+    t = _broken(_plan(spark, sf_dir))
+    return _all(qa.enforce_summary(t[name], rules, name) for name, rules in BROKEN_SETS)
+
+
+@register("duplicate_keys_broken", """
+SELECT 'customers' AS table_name, 'customer_id' AS key_columns, COUNT(DISTINCT customer_id) AS duplicate_keys,
+       CAST(COUNT(*) - COUNT(DISTINCT customer_id) AS BIGINT) AS excess_rows
+FROM b_customers WHERE customer_id % 29 = 0""", BROKEN_SQL, group="quality")
+def q_duplicate_keys_broken(spark, sf_dir):
+    return qa.duplicate_summary(_broken(_plan(spark, sf_dir))["customers"], ["customer_id"], "customers")
+
+
+@register("orphan_rows_broken", "SELECT 'monthly_payments' AS table_name, COUNT(*) AS orphan_rows FROM b_payments WHERE customer_id < 0",
+          BROKEN_SQL, group="quality")
+def q_orphan_rows_broken(spark, sf_dir):
+    t = _broken(_plan(spark, sf_dir))
+    return qa.orphan_summary(t["monthly_payments"], t["customers"], "customer_id", "monthly_payments")
+
+
+@register("null_profile_broken", """
+SELECT 0 AS customer_id_nulls, COUNT(*) - COUNT(credit_limit) AS credit_limit_nulls, COUNT(*) - COUNT(sex) AS sex_nulls,
+       COUNT(*) - COUNT(education) AS education_nulls, COUNT(*) - COUNT(marriage) AS marriage_nulls, COUNT(*) - COUNT(age) AS age_nulls
+FROM b_customers""", BROKEN_SQL, group="quality")
+def q_null_profile_broken(spark, sf_dir):
+    return qa.null_profile(_broken(_plan(spark, sf_dir))["customers"])
+
+
+# ------------------------------------------------------------- the card file
+
+
+def _card_file(spark, wide):
+    """``wide`` as a CSV of the shared folder; names differ: binding is by position."""
+    import os
+    import uuid
+
+    from cardpanel.session import checkpoint_dir
+    from cardpanel.sources.files import write_table
+    path = os.path.join(checkpoint_dir(spark), f"cards-{uuid.uuid4().hex[:12]}")
+    write_table(wide.toDF(*[f"COL_{i}" for i in range(len(wide.columns))]), path, fmt="csv")
+    return path
+
+
+@register("card_file_records", """
+SELECT COALESCE(why, 'good') AS outcome, COUNT(*) AS records
+FROM (SELECT CASE WHEN id % 13 = 0 THEN 'limit_bal is not decimal(12,2),accounts.limit_bal not null'
+                  WHEN id % 17 = 0 THEN 'bill_amt3 is not decimal(12,2)'
+                  WHEN id % 19 = 0 THEN 'accounts.age between 18 and 100'
+                  WHEN id % 23 = 0 THEN 'accounts.default_payment_next_month in (0, 1)' END AS why FROM wide)
+GROUP BY 1""", WIDE_SQL, group="reshape")
+def q_card_file_records(spark, sf_dir):
+    """The card file with records broken by rule: a limit that is no number, a
+    bill with a third decimal, an age under 18, a label of 2.  One decision per
+    record, with its reasons."""
+    from cardpanel.sources.files import load_accounts, read_accounts
+    wide, key = _wide(spark, sf_dir), F.col("id")
+    text = {c: F.col(c).cast("string") for c in wide.columns}
+    text["limit_bal"] = F.when(key % 13 == 0, "n/a").otherwise(text["limit_bal"])
+    text["bill_amt3"] = F.when((key % 13 != 0) & (key % 17 == 0), "1.239").otherwise(text["bill_amt3"])
+    first = (key % 13 != 0) & (key % 17 != 0)
+    text["age"] = F.when(first & (key % 19 == 0), "17").otherwise(text["age"])
+    text["default_payment_next_month"] = F.when(first & (key % 19 != 0) & (key % 23 == 0), "2").otherwise(text["default_payment_next_month"])
+    loaded = load_accounts(read_accounts(spark, _card_file(spark, wide.select(*[v.alias(c) for c, v in text.items()]))))
+    reasons = F.array_join("reasons", ",")
+    return loaded.groupBy(F.when(reasons == "", "good").otherwise(reasons).alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
+
+
 @register("csv_ingest_features", f"SELECT {FEATURE_SELECT} FROM credit_features", group="reshape")
 def q_csv_ingest_features(spark, sf_dir):
     """The source-file path end to end: the wide 25-column record is written
     as CSV with a header (S6), read back with columns bound by position (S1),
     split into customers / outcomes / panel (P1, P2) and turned into features
     - equal to the features built directly from the tables."""
-    import os
-    import uuid
-
-    from cardpanel.session import checkpoint_dir
-    from cardpanel.sources.files import read_accounts, write_table
-    wide = _wide(spark, sf_dir)
-    header_names = [f"COL_{i}" for i in range(len(wide.columns))]  # names differ: binding is by position
-    path = os.path.join(checkpoint_dir(spark), f"wide-{uuid.uuid4().hex[:12]}")
-    write_table(wide.toDF(*header_names), path, fmt="csv")
-    raw = read_accounts(spark, path)
-    customers, _, panel = pn.split_accounts(raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
-    return credit_features(panel, customers)
+    from cardpanel.plans.portfolio import PortfolioPlan
+    return PortfolioPlan.from_accounts(spark, _card_file(spark, _wide(spark, sf_dir))).features

@@ -90,7 +90,7 @@ def test_export_all(spark):
     import tempfile
     from cardpanel.plans.exports import export_all
     out = tempfile.mkdtemp(prefix="cardpanel-export-")
-    written = export_all(spark, SF001, out)
+    written = export_all(PortfolioPlan(spark, SF001), out)
     assert spark.read.parquet(written["monthly_payments"]).count() == 900
     assert spark.read.parquet(written["roll_rate_matrix"]).groupBy("month_pair").count().count() == 5
     ov = spark.read.option("header", True).csv(written["dashboard/portfolio_overview"])
