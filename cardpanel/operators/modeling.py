@@ -215,11 +215,13 @@ def _sized(d: DataFrame) -> DataFrame:
 def _first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
     """The model after its first ``rounds`` trees: what a shorter run with the same
     depth, rate and seed would have trained."""
-    jvm, j = SparkContext._active_spark_context._jvm, model._java_obj
-    copy = jvm.java.util.Arrays.copyOf
-    out = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        f"{model.uid}_{rounds}", copy(j.trees(), rounds), copy(j.treeWeights(), rounds)))
-    return out
+    sc, j = SparkContext._active_spark_context, model._java_obj
+    ml = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(j.trees()[:rounds], j.treeWeights()[:rounds], strict=True)):
+        trees[i], weights[i] = tree, weight
+    return GBTClassificationModel(ml.classification.GBTClassificationModel(f"{model.uid}_{rounds}", trees, weights))
 
 
 def _searched(pairs: list[tuple[DataFrame, DataFrame]], rows: DataFrame, label: str, grid: dict, seed: int, parallelism: int) -> Trained:

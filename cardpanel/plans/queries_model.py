@@ -104,12 +104,18 @@ def frame_of(plan):
     return _FRAMES[key]
 
 
+# The grid of the registered variants (no resampling, resampling inside
+# folds).  The build and every other query search the full grid.
+VARIANT_GRID = {"maxDepth": [3, 5], "stepSize": [0.1], "maxIter": [10, 30]}
+
+
 def model_of(plan, resample="smote"):
     """(frame, grid-searched boosted model), trained once per application."""
     d = frame_of(plan)
     key = (plan.spark.sparkContext.applicationId, plan.sf_dir.rstrip("/"), resample)
     if key not in _MODELS:
-        _MODELS[key] = md.train_gbt(d.filter(F.col("split") == "train"), resample=resample)
+        grid = md.DEFAULT_GRID if resample == "smote" else VARIANT_GRID
+        _MODELS[key] = md.train_gbt(d.filter(F.col("split") == "train"), grid=grid, resample=resample)
     return d, _MODELS[key]
 
 

@@ -138,3 +138,35 @@ def test_split_and_folds_one_ranking_equals_separate(spark):
     s = {r["customer_id"]: r["split"] for r in md.stratified_split(lab).collect()}
     f = {r["customer_id"]: r["fold"] for r in md.with_folds(lab).collect()}
     assert both == {c: (s[c], f[c]) for c in s}
+
+
+def test_weights_come_from_the_rows_before_resampling(spark):
+    rows = [(i, float(i), int(i % 5 == 0)) for i in range(100)]
+    original = spark.createDataFrame(rows, "customer_id long, a double, default_next_month int")
+    resampled = original.union(original.filter("default_next_month = 1")).union(original.filter("default_next_month = 1"))
+    weight = {r["default_next_month"]: r["weight"] for r in md.with_weights(resampled, mode="pos_ratio", counted=original).collect()}
+    assert weight == {0: 1.0, 1: 4.0}
+    assert {r["weight"] for r in md.with_weights(resampled, mode="pos_ratio").filter("default_next_month = 1").collect()} == {80 / 60}
+
+
+def test_first_rounds_equal_a_shorter_run(spark, small_gbt):
+    df, d, model = small_gbt
+    short = GBTClassifier(labelCol="y", maxIter=2, maxDepth=3, seed=1).fit(d)
+    assert md._first_rounds(model, 2).transform(d).select("probability").collect() == short.transform(d).select("probability").collect()
+
+
+def test_search_scores_every_grid_point(spark):
+    p = PortfolioPlan(spark, "/root/testdata/sf0.001")
+    d = md.training_frame(p.features, p.outcomes)
+    t = md.train_gbt(d.filter(F.col("split") == "train"), grid={"maxDepth": [2, 3], "stepSize": [0.1, 0.3], "maxIter": [2, 4]}, resample="smote")
+    assert len(t.cv_metrics) == 8 and t.params == max(t.cv_metrics, key=lambda m: m[1])[0]
+    assert t.model.getNumTrees == t.params["maxIter"]
+
+
+def test_smote_refuses_what_it_cannot_do(spark):
+    from cardpanel.operators.neighbors import smote
+    few = spark.createDataFrame([(i, 0.1 * i, int(i < 3)) for i in range(30)], "customer_id long, a double, y int")
+    with pytest.raises(ValueError):
+        smote(few, ["a"], label="y", k=5)
+    with pytest.raises(ValueError):
+        smote(few.filter("y = 0"), ["a"], label="y")
