@@ -235,8 +235,10 @@ def _unresolved(buckets: DataFrame, leaders: DataFrame, roots: DataFrame, classe
             names, at = np.unique(np.concatenate([np.empty(0, np.int64), *r["shingles"]]), return_inverse=True)
             edges = np.concatenate([[0], np.cumsum(rn)[:-1]])
             for i in np.unique(li):
-                mine = np.isin(names, l["shingles"].iloc[i])
-                common = np.add.reduceat(mine[at], edges, dtype=np.int64)
+                mine, own = np.zeros(len(names), np.int32), l["shingles"].iloc[i]
+                to = np.minimum(np.searchsorted(names, own), len(names) - 1)
+                mine[to[names[to] == own]] = 1
+                common = np.add.reduceat(mine[at], edges)
                 on = ri[li == i]
                 on = on[100 * common[on] >= percent * (ln[i] + rn[on] - common[on])]
                 found += [(lc[i], rc[on[x]]) for x in np.unique(comp[on], return_index=True)[1]]
