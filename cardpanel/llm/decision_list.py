@@ -4,10 +4,10 @@ Statistics of every whole text come from one pass over its words and bytes.
 Sequential covering learns rules for rejected documents from labelled
 statistics: a rule is grown condition by condition (the threshold of highest
 information gain on the growing rows), pruned from its end on held-back rows, and
-accepted if it is precise enough there; rows it covers leave, and the next rule is
+accepted if it covers ``SUPPORT`` rows (a third of them held back) and is precise enough on those held back; rows it covers leave, and the next rule is
 grown.  The list becomes one ordered Spark CASE expression; the default keeps.
 
-Only the fit is bounded: ``SAMPLE`` labelled documents, those of smallest id hash.
+Only the fit is bounded: about ``SAMPLE`` labelled documents, drawn by id hash.
 
 Defined results: null reads as empty; a document with fewer than 20 words, or with
 more than 30 % of its words in repeated 8-word windows, fails the base rule and is
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cardpanel.llm.tables import about
 from cardpanel.llm.tokens import SPACES, windows, word_slices
 
 SAMPLE, QUANTILES, CONDITIONS, RULES = 20_000, 64, 4, 12
@@ -195,17 +196,18 @@ def learned(x: np.ndarray, rejected: np.ndarray, precision: float = PRECISION, s
         if not rule.conditions:
             break
         rule, exact, n = _prune(rule, x[left & back], rejected[left & back])
-        if exact < precision or n < support:
+        on = left & rule.covers(x)
+        if exact < precision or n < support // 3 or on.sum() < support:
             break
         rules.append(rule)
-        left &= ~rule.covers(x)
+        left &= ~on
     return rules
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
-    """Rules learned from the statistics of ``sample`` labelled documents at most."""
+    """Rules learned from the statistics of about ``sample`` labelled documents."""
     chosen = labels.filter("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), "quality")
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample)
+    chosen = about(chosen, "_id", sample, "quality")
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
     rows = with_statistics(texts).select("doc_id", "quality", *[PREFIX + f for f in FEATURES]).toArrow()
     x = np.column_stack([rows[PREFIX + f].to_numpy().astype(float) for f in FEATURES]) if rows.num_rows else np.empty((0, len(FEATURES)))

@@ -12,10 +12,10 @@ scoring carries the state through whole documents, one document after another in
 each lane of a batch, so no text is cut.
 
 Counts cover all training documents.  Words travel as 64-bit hashes.  The counts of
-the ``HEAD`` most frequent words are broadcast (fixed size); other words leave the
+the most frequent words (``HEAD`` at most) are broadcast; other words leave the
 documents as (hash, occurrences) and meet their counts in a join, so no frequent
-word is ever shuffled.  Only the fit is bounded: ``SAMPLE`` training documents
-(smallest id hash), of a longer one ``CUT`` words at a place given by its hash.
+word is ever shuffled.  Only the fit is bounded: about ``SAMPLE`` training documents
+(by id hash), of a longer one ``CUT`` words at a place given by its hash.
 
 Defined results: null reads as empty and has one token, the end; a null doc_id is
 a training row; repeated rows each count and are each scored; without training
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cardpanel.llm import gru
 from cardpanel.llm.filters import BITS, passes
-from cardpanel.llm.tables import fold_of, in_task, stored
+from cardpanel.llm.tables import about, fold_of, in_task, stored
 from cardpanel.llm.tokens import LOWER, word_slices
 
 VOCABULARY, CLASSES, HIDDEN, HEAD = 4094, 64, 24, 1 << 18
@@ -216,11 +216,25 @@ def laid(docs: list[np.ndarray], start: int, lanes: int) -> tuple[np.ndarray, np
     return inp, out, owner
 
 
+def _frequent(word_counts: DataFrame) -> pa.Table:
+    """(key, c) of the most frequent words, ``HEAD`` at most: all above a count that
+    a histogram of magnitudes gives (none where more words share the top one)."""
+    magnitude = F.floor(F.log2("c") * 8).cast("int")
+    sizes = word_counts.groupBy(magnitude.alias("m")).agg(F.count("*").alias("n")).orderBy(F.desc("m")).collect()  # 512 rows at most
+    least, total = None, 0
+    for r in sizes:
+        total += r.n
+        if total > HEAD:
+            break
+        least = r.m
+    return word_counts.filter(magnitude >= least if least is not None else F.lit(False)).select("key", "c").toArrow()
+
+
 # -- fitting and scoring ----------------------------------------------------------------------
 
 
 def _sample(documents: DataFrame, vocabulary: Vocabulary, sample: int) -> list[np.ndarray]:
-    chosen = documents.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = about(documents.select("doc_id").filter("doc_id is not null"), "doc_id", sample, "lm")
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").select("doc_id", F.abs(F.hash("doc_id")).alias("at"), F.col("text").cast("string"))
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary.by_frequency)
 
@@ -237,7 +251,7 @@ def _sample(documents: DataFrame, vocabulary: Vocabulary, sample: int) -> list[n
                 yield pa.RecordBatch.from_arrays([pa.array(at[lo : lo + w.n], pa.int64()), pa.array(out, pa.list_(pa.int32()))], ["at", "ids"])
 
     rows = texts.mapInArrow(run, "at long, ids array<int>").toArrow()
-    docs = sorted(zip(rows["at"].to_pylist(), rows["ids"].to_pylist(), strict=True))[: 2 * sample]
+    docs = sorted(zip(rows["at"].to_pylist(), rows["ids"].to_pylist(), strict=True))
     return [np.array(ids, np.int32) for _, ids in docs]
 
 
@@ -251,7 +265,7 @@ def scores(documents: DataFrame, held_out: Column) -> DataFrame:
     by_kind = {(r.kind, r.key): r.c for r in all_counts.filter(F.col("kind") != WORD).collect()}
     n_docs, n_words = by_kind.get((DOCUMENTS, 0), 0), by_kind.get((WORDS, 0), 0)
     total, kinds = n_words + n_docs, word_counts.count() + (1 if n_docs else 0)
-    head = word_counts.orderBy(F.desc("c"), "key").limit(HEAD).select("key", "c").toArrow()
+    head = _frequent(word_counts).sort_by([("c", "descending"), ("key", "ascending")])
     head_hash, head_count = head["key"].to_numpy().view(U), head["c"].to_numpy()
     once = word_counts.filter("c = 1").count()
     unknown = max(n_words - int(head_count[:VOCABULARY].sum()), 0)  # occurrences outside the vocabulary

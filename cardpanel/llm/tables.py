@@ -47,6 +47,14 @@ def fold_of(col: str, mod: int) -> Column:
 
 
 
+def about(df: DataFrame, key: str, n: int, salt: str) -> DataFrame:
+    """About ``n`` rows of ``df``: those whose hashed key falls into a share of
+    n / rows (all rows where there are no more).  No sort, and equal keys stay
+    together, so a rerun draws the same rows."""
+    share = int(min(1.0, n / max(df.count(), 1)) * (1 << 30))
+    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1 << 30)) < share)
+
+
 def in_task(spark: SparkSession, work: Callable[[Any], Any], data: Any) -> Any:
     """``work(data)`` in one task (numpy is single-threaded there, and the driver
     stays free).  For fits on samples of a bounded size."""

@@ -13,7 +13,7 @@
 4. A logistic classifier over lexicon entries and densities is trained on the
    model's posterior labels and scores every whole text.
 
-Only the fit is bounded: ``SAMPLE`` labelled documents (smallest id hash, equal
+Only the fit is bounded: about ``SAMPLE`` labelled documents (by id hash, equal
 texts once) and ``ENTRIES`` lexicon entries.  Labels come from training rows only;
 a score sees nothing but the text.
 
@@ -33,11 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardpanel.llm.filters import BITS, passes
-from cardpanel.llm.tables import fold_of, stored
+from cardpanel.llm.tables import about, fold_of, stored
 from cardpanel.llm.tokens import LOWER, NON_ALNUM, Words, hashes, word_slices, words
 
 SAMPLE, ENTRIES, STEMS, SLICES = 20_000, 4096, (3, 4, 5, 6), 6
 LEAST, G2, ABOVE = 3, 13.0, 0.3
+#: Correlations below this are taken for chance.
+CORRELATED = 0.25
 KINDS = 1 + len(STEMS)  # whole words and stems
 U = np.uint64
 
@@ -107,7 +109,7 @@ class Lexicon:
 
 def _sample(documents: DataFrame, labels: DataFrame, train: Column, sample: int) -> DataFrame:
     chosen = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(train).select(F.col("doc_id").alias("_id"), "toxic")
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(sample)
+    chosen = about(chosen, "_id", sample, "toxic")
     texts = documents.filter(train).select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     texts = texts.groupBy(F.xxhash64("text").alias("_t"), (F.col("toxic") == 1).alias("y")).agg(F.min("_id").alias("id"), F.first("text").alias("text"))
     return stored(texts.select("id", "y", "text"), "toxic-sample")
@@ -208,7 +210,8 @@ def fit_label_model(v: np.ndarray, start: np.ndarray, rounds: int = 25) -> Label
         rest = v - (expected[:, :, 2] - expected[:, :, 0])
         spread = np.sqrt((rest**2).mean(0)) + 1e-6
         correlation = (rest.T @ rest) / len(v) / np.outer(spread, spread)
-        weight = 1 / np.maximum(1.0, np.abs(correlation).sum(1))
+        strong = np.where(np.abs(correlation) >= CORRELATED, np.abs(correlation), 0.0)
+        weight = 1 / np.maximum(1.0, strong.sum(1))
         model = LabelModel(prior, chance, weight)
         new = model.posterior(v)
         if np.abs(new - p).max() < 1e-4:
