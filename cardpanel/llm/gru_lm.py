@@ -25,6 +25,8 @@ documents c, N and V are 0 and the network is its untrained start.
 from __future__ import annotations
 
 import heapq
+import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -149,27 +151,30 @@ class Network:
         return float(loss / n), dh, out
 
     def train(self, docs: list[np.ndarray], updates: int = UPDATES, lanes: int = TRAIN_LANES) -> list[float]:
-        """Truncated backpropagation: windows follow each other with the state carried on."""
+        """Whole passes over ``docs`` in their order, as many as ``updates`` updates take, at least one."""
+        tokens = sum(len(d) + 1 for d in docs)
         if not docs:
             return []
-        inp, out, _ = laid(docs, self.size, lanes)
-        full = int((inp >= 0).all(1).sum()) or len(inp)
-        inp, out = inp[:full], out[:full]
-        reset, known = inp == self.size, inp >= 0
-        adam, losses, at, h = gru.Adam(self.p, RATE), [], 0, np.zeros((inp.shape[1], self.hidden), F32)
-        for u in range(updates):
-            if at >= len(inp):
-                at, h = 0, np.zeros_like(h)
-            w = slice(at, at + WINDOW)
-            states, cache = gru.forward(self.p, np.maximum(inp[w], 0), h, reset[w])
-            flat, on = states.reshape(-1, self.hidden), known[w].ravel()
-            loss, dflat, grads = self.gradients(flat[on], out[w].ravel()[on])
+        passes = max(1, -(-updates * lanes * WINDOW // tokens))
+        return self.learn(itertools.chain.from_iterable(itertools.repeat(docs, passes)), lanes, gru.Adam(self.p, RATE), passes * tokens // (2 * lanes * WINDOW))
+
+    def learn(self, docs: Iterable[np.ndarray], lanes: int, adam: gru.Adam, late: int) -> list[float]:
+        """Truncated backpropagation over every window of ``docs``, the state carried on
+        within a text.  A window's gradient counts by its share of known places; from
+        update ``late`` on steps are smaller."""
+        losses, h = [], np.zeros((lanes, self.hidden), F32)
+        for u, (inp, out, live) in enumerate(streamed(docs, self.size, lanes)):
+            h, reset, known = h[live], inp == self.size, inp >= 0
+            states, cache = gru.forward(self.p, np.maximum(inp, 0), h, reset)
+            flat, on = states.reshape(-1, self.hidden), known.ravel()
+            loss, dflat, grads = self.gradients(flat[on], out.ravel()[on])
             dstates = np.zeros_like(flat)
             dstates[on] = dflat
-            grads |= gru.backward(self.p, np.maximum(inp[w], 0), cache, dstates.reshape(states.shape), reset[w])
-            adam.update(grads, 1.0 if u < updates // 2 else 0.3)
+            grads |= gru.backward(self.p, np.maximum(inp, 0), cache, dstates.reshape(states.shape), reset)
+            share = F32(on.sum() / (lanes * WINDOW))
+            adam.update({k: g * share for k, g in grads.items()}, 1.0 if u < late else 0.3)
             losses.append(loss)
-            h, at = states[-1], at + WINDOW
+            h = states[-1]
         return losses
 
     def document_scores(self, docs: list[np.ndarray]) -> np.ndarray:
@@ -192,6 +197,32 @@ class Network:
         return scores
 
 
+def streamed(docs: Iterable[np.ndarray], start: int, lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(inputs, outputs, lanes kept since the window before) of windows as (time,
+    lane): a lane takes the next document where its last one ends, so no more than
+    one document a lane is held; -1 beyond the last, and lanes that are through leave."""
+    docs, none = iter(docs), np.empty(0, np.int32)
+    held = [(none, none)] * lanes
+    while held:
+        inp, out = (np.full((len(held), WINDOW), -1, np.int32) for _ in range(2))
+        for i, (a, b) in enumerate(held):
+            at = 0
+            while at < WINDOW:
+                if not len(a):
+                    doc = next(docs, None)
+                    if doc is None:
+                        break
+                    a, b = np.append(np.int32(start), doc), np.append(doc, np.int32(1))
+                n = min(WINDOW - at, len(a))
+                inp[i, at : at + n], out[i, at : at + n] = a[:n], b[:n]
+                a, b, at = a[n:], b[n:], at + n
+            held[i] = a, b
+        live = np.flatnonzero(inp[:, 0] >= 0)
+        if len(live):
+            yield inp[live].T, out[live].T, live
+        held = [held[i] for i in live]
+
+
 def laid(docs: list[np.ndarray], start: int, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, outputs, document of each) as (time, lane): documents one after
     another in the lane that is free first; -1 beyond a lane's end."""

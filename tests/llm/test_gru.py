@@ -94,6 +94,17 @@ def test_training_lowers_the_loss():
     assert np.mean(losses[-10:]) < 0.3 * np.mean(losses[:5])
 
 
+def test_training_reads_every_window_of_long_and_short_documents():
+    docs = [np.full(2 * G.WINDOW + 5, i, np.int32) for i in range(2, 30)] + [np.array([i], np.int32) for i in range(30, 40)]
+    net, start = G.Network(40, hidden=4, classes=4), G.Network(40, hidden=4, classes=4)
+    net.train(docs, updates=3, lanes=4)
+    assert (net.p["X"][2:] != start.p["X"][2:]).any(1).all()  # words and the start of a text, all were inputs
+    docs = [np.arange(n, dtype=np.int32) + 2 for n in (0, 1, 31, 32, 33, 100, 3)]
+    got = [list(zip(i[on], o[on], strict=True)) for i, o, _ in G.streamed(docs, 500, 3) for on in [i >= 0]]
+    want = [x for d in docs for x in zip([500, *d], [*d, 1], strict=True)]
+    assert sorted(x for w in got for x in w) == sorted(want)
+
+
 def test_base_scores_equal_brute_force(spark, monkeypatch):
     import collections
     import math
