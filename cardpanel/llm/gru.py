@@ -74,8 +74,9 @@ def forward(p: dict[str, np.ndarray], ids: np.ndarray, h: np.ndarray, reset: np.
     return states, cache
 
 
-def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: list, dstates: np.ndarray, reset: np.ndarray | None = None) -> dict[str, np.ndarray]:
-    """Gradients of the table and the recurrent weights, given those of every state."""
+def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: list, dstates: np.ndarray, reset: np.ndarray | None = None, add=np.add.at) -> dict[str, np.ndarray]:
+    """Gradients of the table and the recurrent weights, given those of every state;
+    ``add`` adds rows to the table."""
     k = p["U"].shape[0]
     du, dx, dh = np.zeros_like(p["U"]), np.empty((*ids.shape, 3 * k), F32), np.zeros((ids.shape[1], k), F32)
     for t in range(len(ids) - 1, -1, -1):
@@ -92,7 +93,7 @@ def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: list, dstates: np
         if reset is not None:
             dh = dh * ~reset[t][:, None]
     table = np.zeros_like(p["X"])
-    np.add.at(table, ids.ravel(), dx.reshape(-1, 3 * k))
+    add(table, ids.ravel(), dx.reshape(-1, 3 * k))
     return {"X": table, "U": du}
 
 

@@ -14,8 +14,11 @@ each lane of a batch, so no text is cut.
 Counts cover all training documents.  Words travel as 64-bit hashes.  The counts of
 the most frequent words (``HEAD`` at most) are broadcast; other words leave the
 documents as (hash, occurrences) and meet their counts in a join, so no frequent
-word is ever shuffled.  Only the fit is bounded: about ``SAMPLE`` training documents
-(by id hash), of a longer one ``CUT`` words at a place given by its hash.
+word is ever shuffled.  The fit reads every training document whole: ``ROUNDS``
+rounds (fewer for small tables) have a share of the documents each, by hash; the
+tasks of a round train copies on their own documents, whose parameters and moments
+are averaged by tokens for the next round.  Small tables are passed several times,
+for about ``UPDATES`` updates.
 
 Defined results: null reads as empty and has one token, the end; a null doc_id is
 a training row; repeated rows each count and are each scored; without training
@@ -30,16 +33,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardpanel.llm import gru
 from cardpanel.llm.filters import BITS, passes
-from cardpanel.llm.tables import about, fold_of, in_task, stored
+from cardpanel.llm.tables import fold_of, stored
 from cardpanel.llm.tokens import LOWER, word_slices
 
 VOCABULARY, CLASSES, HIDDEN, HEAD = 4094, 64, 24, 1 << 18
-SAMPLE, CUT = 2000, 2000
+ROUNDS, PIECE = 8, 1 << 14
 LANES, WINDOW = 512, 32
 TRAIN_LANES, UPDATES, RATE = 64, 500, 0.01
 U, F32 = np.uint64, np.float32
@@ -138,8 +142,10 @@ class Network:
         d /= n
         out = {"C": h.T @ d, "c": d.sum(0), "W": np.zeros_like(self.p["W"]), "w": np.zeros_like(self.p["w"])}
         dh = d @ self.p["C"].T
-        for c in np.unique(k):
-            on = np.flatnonzero(k == c)
+        order = np.argsort(k, kind="stable")
+        edges = np.searchsorted(k[order], np.arange(self.classes + 1))
+        for c in np.flatnonzero(np.diff(edges)):
+            on = order[edges[c] : edges[c + 1]]
             logw = self._log_softmax(self._word_logits(h[on], c))
             at = ids[on] - c * self.each
             loss -= logw[np.arange(len(on)), at].sum()
@@ -170,7 +176,7 @@ class Network:
             loss, dflat, grads = self.gradients(flat[on], out.ravel()[on])
             dstates = np.zeros_like(flat)
             dstates[on] = dflat
-            grads |= gru.backward(self.p, np.maximum(inp, 0), cache, dstates.reshape(states.shape), reset)
+            grads |= gru.backward(self.p, np.maximum(inp, 0), cache, dstates.reshape(states.shape), reset, added)
             share = F32(on.sum() / (lanes * WINDOW))
             adam.update({k: g * share for k, g in grads.items()}, 1.0 if u < late else 0.3)
             losses.append(loss)
@@ -197,6 +203,13 @@ class Network:
         return scores
 
 
+def added(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each of ``rows`` to its row of ``table`` (numpy's add.at, by sorting)."""
+    order = np.argsort(at, kind="stable")
+    to, first = np.unique(at[order], return_index=True)
+    table[to] += np.add.reduceat(rows[order], first)
+
+
 def streamed(docs: Iterable[np.ndarray], start: int, lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(inputs, outputs, lanes kept since the window before) of windows as (time,
     lane): a lane takes the next document where its last one ends, so no more than
@@ -264,26 +277,90 @@ def _frequent(word_counts: DataFrame) -> pa.Table:
 # -- fitting and scoring ----------------------------------------------------------------------
 
 
-def _sample(documents: DataFrame, vocabulary: Vocabulary, sample: int) -> list[np.ndarray]:
-    chosen = about(documents.select("doc_id").filter("doc_id is not null"), "doc_id", sample, "lm")
-    texts = documents.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").select("doc_id", F.abs(F.hash("doc_id")).alias("at"), F.col("text").cast("string"))
+def _texts(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(at, ids) of every document: a hash and the ids of its words, two bytes each."""
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary.by_frequency)
 
     def run(batches):
         v = Vocabulary(shared.value)
         for batch in batches:
-            at = batch.column(1).to_pylist()
-            for lo, _, w in word_slices(batch.column(2), fold=LOWER):
-                ids, out = v.ids(w.hash), []
-                for i in range(w.n):
-                    doc = ids[w.first[i] : w.first[i + 1]]
-                    begin = at[lo + i] % (len(doc) - CUT + 1) if len(doc) > CUT else 0
-                    out.append(doc[begin : begin + CUT])
-                yield pa.RecordBatch.from_arrays([pa.array(at[lo : lo + w.n], pa.int64()), pa.array(out, pa.list_(pa.int32()))], ["at", "ids"])
-
-    rows = texts.mapInArrow(run, "at long, ids array<int>").toArrow()
-    docs = sorted(zip(rows["at"].to_pylist(), rows["ids"].to_pylist(), strict=True))
-    return [np.array(ids, np.int32) for _, ids in docs]
+            for lo, hi, w in word_slices(batch.column(1), fold=LOWER):
+                ids = v.ids(w.hash).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([ids[w.first[i] : w.first[i + 1]].tobytes() for i in range(w.n)], pa.binary())], ["at", "ids"])
+
+    return documents.select(F.xxhash64("doc_id", "text", F.lit("lm")), F.col("text").cast("string")).mapInArrow(run, "at long, ids binary")
+
+
+def _flat(parts: list[dict[str, np.ndarray]]) -> np.ndarray:
+    return np.concatenate([d[k].ravel() for d in parts for k in sorted(d)])
+
+
+def _filled(parts: list[dict[str, np.ndarray]], values: np.ndarray) -> None:
+    """The inverse of ``_flat``, in place."""
+    at = 0
+    for d in parts:
+        for k in sorted(d):
+            d[k][...] = values[at : at + d[k].size].reshape(d[k].shape)
+            at += d[k].size
+
+
+def fitted(texts: DataFrame, tokens: int, size: int) -> tuple[dict[str, np.ndarray], int]:
+    """(parameters, tokens read) of a network trained on all ``texts`` (at, ids), about ``tokens`` with their ends."""
+    least = max(1, UPDATES * TRAIN_LANES * WINDOW)
+    rounds = min(max(tokens // least, 1), ROUNDS)
+    tasks = max(tokens // (rounds * least), 1)
+    lanes = min(max(tokens // max(1, UPDATES * WINDOW), TRAIN_LANES), LANES)
+    whole, updates, fewest = rounds == 1, UPDATES, TRAIN_LANES
+    network, read, steps = Network(size), 0, 0
+    adam = gru.Adam(network.p, RATE)
+    for r in range(rounds):
+        shared = texts.sparkSession.sparkContext.broadcast((network.p, adam.m, adam.v, steps))
+
+        def run(batches, shared=shared, late=r >= rounds / 2):
+            p, m, v, t = shared.value
+            net = Network(size, params={k: x.copy() for k, x in p.items()})
+            own = gru.Adam(net.p, RATE)
+            own.m, own.v, own.t = {k: x.copy() for k, x in m.items()}, {k: x.copy() for k, x in v.items()}, t
+            n = 0
+
+            def docs():
+                nonlocal n
+                for batch in batches:
+                    for x in batch.column(0):
+                        doc = np.frombuffer(x.as_py(), np.uint16).astype(np.int32)
+                        n += len(doc) + 1
+                        yield doc
+
+            if whole:
+                all_docs = list(docs())
+                net.train(all_docs, updates, fewest)
+                own.t = 0
+            else:
+                net.learn(docs(), lanes, own, 0 if late else 1 << 62)
+            if n:
+                values = _flat([net.p, own.m, own.v])
+                pieces = [values[i : i + PIECE].tobytes() for i in range(0, len(values), PIECE)]
+                k, task = len(pieces), TaskContext.get().partitionId()
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(np.full(k, task, np.int32)), pa.array(np.full(k, n, np.int64)),
+                                                  pa.array(np.full(k, own.t, np.int64)), pa.array(pieces, pa.binary())], ["piece", "task", "n", "t", "x"])
+
+        own = texts.filter(F.pmod("at", F.lit(rounds)) == r).coalesce(tasks).sortWithinPartitions("at").select("ids")
+        rows = own.mapInArrow(run, "piece int, task int, n long, t long, x binary").groupBy("piece").applyInArrow(_averaged, "piece int, n long, t long, x binary")
+        pieces = sorted(rows.collect(), key=lambda x: x.piece)  # a row for each PIECE values of the network
+        if pieces:
+            _filled([network.p, adam.m, adam.v], np.concatenate([np.frombuffer(x.x, F32) for x in pieces]))
+            read, steps = read + pieces[0].n, pieces[0].t
+        shared.unpersist()
+    return network.p, read
+
+
+def _averaged(rows: pa.Table) -> pa.Table:
+    """The mean of a piece over the tasks, weighted by tokens."""
+    rows = rows.sort_by("task")
+    n = rows["n"].to_numpy()
+    total = sum(w * np.frombuffer(x.as_py(), F32).astype(float) for w, x in zip(n, rows["x"], strict=True))
+    return pa.table({"piece": rows["piece"].slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()), "t": pa.array([int(rows["t"].to_numpy().max())], pa.int64()),
+                     "x": pa.array([(total / n.sum()).astype(F32).tobytes()], pa.binary())})
 
 
 def scores(documents: DataFrame, held_out: Column) -> DataFrame:
@@ -304,12 +381,7 @@ def scores(documents: DataFrame, held_out: Column) -> DataFrame:
     vocabulary = Vocabulary(head_hash[:VOCABULARY])
     size = vocabulary.size
 
-    def trained(docs):
-        network = Network(size)
-        network.train(docs)
-        return network.p
-
-    network = Network(size, params=in_task(documents.sparkSession, trained, _sample(train, vocabulary, SAMPLE)))
+    network = Network(size, params=fitted(stored(_texts(train, vocabulary), "lm-texts"), total, size)[0])
     scored = stored(_scored(rows, vocabulary, network, head_hash, head_count, n_docs, total + kinds + 1, np.log10((1 - unseen) / max(unknown, 1))).withColumn("rid", F.monotonically_increasing_id()), "lm-scored")
     rare = scored.select("rid", F.explode("rare").alias("x")).select("rid", F.col("x.key").alias("key"), F.col("x.n").alias("n"))
     met = rare.join(word_counts.select("key", "c"), "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))

@@ -131,6 +131,20 @@ def test_base_scores_equal_brute_force(spark, monkeypatch):
     assert {str(r.doc_id) for r in held} == {str(r.doc_id) for r in rows if not train(r.doc_id)}
 
 
+def test_network_learns_from_every_document_and_all_of_long_ones(spark, monkeypatch):
+    long = " ".join([*(f"y{i}" for i in range(800)), *["the"] * 1500, *(f"z{i}" for i in range(800))])
+    docs = spark.createDataFrame([(i, f"w{i} w{i}") for i in range(2400)] + [(9000, long), (9001, None)], "doc_id long, text string").repartition(4)
+    found, real = [], G._scored
+    monkeypatch.setattr(G, "_scored", lambda rows, vocabulary, network, *rest: found.append(network) or real(rows, vocabulary, network, *rest))
+    for updates, lanes in ((500, 64), (1, 16)):  # one task; eight rounds of several tasks
+        monkeypatch.setattr(G, "UPDATES", updates)
+        monkeypatch.setattr(G, "TRAIN_LANES", lanes)
+        assert G.scores(docs, G.F.lit(False)).filter("score < 0").count() == 2402
+        net = found.pop()
+        assert net.size == 4003
+        assert (net.p["X"][2:] != G.Network(net.size).p["X"][2:]).any(1).all()
+
+
 def test_scores_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert G.document_scores(docs).count() == 0
