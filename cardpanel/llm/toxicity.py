@@ -13,8 +13,9 @@
 4. A logistic classifier over lexicon entries and densities is trained on the
    model's posterior labels and scores every whole text.
 
-Only the fit is bounded: about ``SAMPLE`` labelled documents (by id hash, equal
-texts once) and ``ENTRIES`` lexicon entries.  Labels come from training rows only;
+The lexicons come from all labelled training documents (equal texts once); only
+the label model and the classifier are fitted on about ``SAMPLE`` of them (by id
+hash), on ``ENTRIES`` lexicon entries.  Insults are one more feature.  Labels come from training rows only;
 a score sees nothing but the text.
 
 Defined results: null and empty texts are scored by the classifier's intercept;
@@ -107,15 +108,15 @@ class Lexicon:
         return both // len(self.hash), both % len(self.hash), n
 
 
-def _sample(documents: DataFrame, labels: DataFrame, train: Column, sample: int) -> DataFrame:
+def _labelled(documents: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
+    """(id, y, text) of all labelled training documents, equal texts once."""
     chosen = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(train).select(F.col("doc_id").alias("_id"), "toxic")
-    chosen = about(chosen, "_id", sample, "toxic")
-    texts = documents.filter(train).select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    texts = documents.filter(train).select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
     texts = texts.groupBy(F.xxhash64("text").alias("_t"), (F.col("toxic") == 1).alias("y")).agg(F.min("_id").alias("id"), F.first("text").alias("text"))
-    return stored(texts.select("id", "y", "text"), "toxic-sample")
+    return stored(texts.select("id", "y", "text"), "toxic-labelled")
 
 
-def _mined(sample: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _mined(labelled: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, kind) of the entries that speak most for the label, by document frequency."""
 
     def run(batches):
@@ -132,8 +133,8 @@ def _mined(sample: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), kind, np.int32)), pa.array(bad.astype(np.int64)), pa.array(n.astype(np.int64))],
                                                      ["h", "kind", "bad", "n"])
 
-    total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("y").cast("long")), F.lit(0)).alias("bad")).first()
-    rows = sample.select("y", "text").mapInArrow(run, "h long, kind int, bad long, n long").groupBy("h", "kind").agg(F.sum("bad").alias("a"), F.sum("n").alias("n"))
+    total = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("y").cast("long")), F.lit(0)).alias("bad")).first()
+    rows = labelled.select("y", "text").mapInArrow(run, "h long, kind int, bad long, n long").groupBy("h", "kind").agg(F.sum("bad").alias("a"), F.sum("n").alias("n"))
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     share = total["bad"] / max(total["n"], 1)
     a, n = F.col("a"), F.col("n")
@@ -152,7 +153,7 @@ def _hits_of(sample: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarra
             for lo, hi, w in word_slices(batch.column(2), NON_ALNUM, LOWER):
                 text, entry, n = lex.hits(w)
                 ends = np.searchsorted(text, np.arange(w.n + 1)).astype(np.int32)
-                insults = np.bincount(w.doc()[np.isin(w.hash, INSULT_HASHES)], minlength=w.n)
+                insults = insults_of(w)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(list(_shape(w)), pa.list_(pa.float64())),
                      pa.ListArray.from_arrays(ends, pa.array(entry.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32))),
@@ -222,7 +223,7 @@ def fit_label_model(v: np.ndarray, start: np.ndarray, rounds: int = 25) -> Label
 
 @dataclass
 class Classifier:
-    """Weights of the lexicon's entries and of four densities, and an intercept."""
+    """Weights of the lexicon's entries, of four densities and of insults, and an intercept."""
 
     lexicon: Lexicon
     entry: np.ndarray
@@ -233,21 +234,26 @@ class Classifier:
         text, entry, n = self.lexicon.hits(w)
         out = np.full(w.n, self.intercept)
         out += np.bincount(text, self.entry[entry], minlength=w.n) if len(text) else 0
-        out += densities(text, n, w.counts()) @ self.dense
+        out += densities(text, n, w.counts(), insults_of(w)) @ self.dense
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def densities(text: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
+def insults_of(w: Words) -> np.ndarray:
+    """Occurrences of listed insults in each text."""
+    return np.bincount(w.doc()[np.isin(w.hash, INSULT_HASHES)], minlength=w.n)
+
+
+def densities(text: np.ndarray, n: np.ndarray, size: np.ndarray, insults: np.ndarray) -> np.ndarray:
     different = np.bincount(text, minlength=len(size))
     every = np.bincount(text, n, minlength=len(size))
-    return np.column_stack([np.log1p(different), np.minimum(different, 3), np.log1p(100 * every / np.maximum(size, 1)), different == 0]).astype(float)
+    return np.column_stack([np.log1p(different), np.minimum(different, 3), np.log1p(100 * every / np.maximum(size, 1)), different == 0, np.minimum(insults, 3)]).astype(float)
 
 
-def train(entry: list[np.ndarray], n: list[np.ndarray], size: np.ndarray, target: np.ndarray, lexicon: Lexicon, rounds: int = 400) -> Classifier:
+def train(entry: list[np.ndarray], n: list[np.ndarray], size: np.ndarray, target: np.ndarray, lexicon: Lexicon, insults: np.ndarray, rounds: int = 400) -> Classifier:
     """Logistic regression on soft targets by gradient descent with momentum."""
     text = np.repeat(np.arange(len(entry)), [len(e) for e in entry])
     at, times = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (entry, n))
-    dense = densities(text, times, size)
+    dense = densities(text, times, size, insults)
     w, d, b = np.zeros(len(lexicon.hash)), np.zeros(dense.shape[1]), 0.0
     mw, md, mb, rate = 0 * w, 0 * d, 0.0, 0.5
     for _ in range(rounds):
@@ -261,17 +267,17 @@ def train(entry: list[np.ndarray], n: list[np.ndarray], size: np.ndarray, target
 
 
 def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, sample: int = SAMPLE) -> Classifier:
-    texts = _sample(documents, labels, train_rows, sample)
+    texts = _labelled(documents, labels, train_rows)
     lexicon = Lexicon.of(*_mined(texts, ENTRIES))
-    y, shape, entry, n, insults = _hits_of(texts, lexicon)
+    y, shape, entry, n, insults = _hits_of(about(texts, "id", sample, "toxic"), lexicon)
     if not len(y) or y.all() or not y.any():
         share = float(y.mean()) if len(y) else 0.0
-        return Classifier(Lexicon.of(np.empty(0, U), np.empty(0, np.int64)), np.empty(0), np.zeros(4), 30.0 if share else -30.0)
+        return Classifier(Lexicon.of(np.empty(0, U), np.empty(0, np.int64)), np.empty(0), np.zeros(5), 30.0 if share else -30.0)
     v = votes(shape, entry, n, insults, lexicon)
     # the given label is one more voter, of an accuracy to be estimated, and the start
     v = np.column_stack([v, np.where(y, 1, -1)])
     posterior = fit_label_model(v, np.where(y, 0.95, 0.05)).posterior(v)
-    return train(entry, n, shape[:, 0], posterior, lexicon)
+    return train(entry, n, shape[:, 0], posterior, lexicon, insults)
 
 
 def scored(documents: DataFrame, classifier: Classifier) -> DataFrame:

@@ -55,3 +55,20 @@ def test_odd_documents(spark):
     for none in (labels.limit(0), labels.filter("toxic = 0")):
         assert {r.predicted for r in X.toxicity(docs, none).collect()} == {0}
     assert X.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_lexicons_come_from_all_labelled_rows_and_insults_count(spark):
+    n = 1200
+    bad = lambda i: i % 10 == 0
+    rows = [(i, f"text number n{i} of words " + (f"zork{'abcdefghij'[i // 10 % 10]} blah" if bad(i) else "is fine")) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(bad(i))) for i in range(n)], "doc_id long, toxic int")
+    for sample in (n, 300):
+        model = X.fit(docs, labels, X.F.lit(True), sample)
+        words = X.words(np.frombuffer(b"zorka zorkj", np.uint8), np.array([0, 11]), X.NON_ALNUM, X.LOWER).hash
+        assert np.isin(words, model.lexicon.hash).all()
+    calm, rude = (b"you are a fine one", b"you are a fine idiot")
+    model.dense[4] = 2.0
+    text = np.frombuffer(calm + rude, np.uint8)
+    scores = model.scores(X.words(text, np.array([0, len(calm), len(text)]), X.NON_ALNUM, X.LOWER))
+    assert scores[1] > scores[0]
