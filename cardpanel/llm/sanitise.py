@@ -59,7 +59,7 @@ def luhn(digits: bytes) -> bool:
 
 
 def values(text: bytes) -> list[tuple[int, int, int, bytes]]:
-    """(start, end, kind number, normalised value) by byte offsets, in order."""
+    """(start, end, kind number, normalised value) by byte offsets, by start, kind and end."""
     out, end = [], 0
     for m in _DOMAIN.finditer(text):
         at = m.start()
@@ -77,7 +77,7 @@ def values(text: bytes) -> list[tuple[int, int, int, bytes]]:
             digits = m.group().translate(None, _NOT_DIGITS)
             if least <= len(digits) <= most and (kind == 3 or luhn(digits)):
                 out.append((*m.span(), kind, digits))
-    return sorted(out)
+    return sorted(out, key=lambda x: (x[0], x[2], x[1]))
 
 
 def contexts(text: np.ndarray, found: list[tuple[int, int, int, bytes]], size: int = CONTEXT) -> tuple[list, ...]:

@@ -40,6 +40,12 @@ def test_patterns(text):
     assert got == brute(text)
 
 
+def test_values_that_begin_together_are_in_order_of_kind():
+    for text in ("4111111111111111@mail.com", "x +4915112345678@sms.de"):
+        got = [(s, k, e) for s, e, k, _ in S.values(text.encode())]
+        assert got == brute(text) and len(got) == 2
+
+
 def test_patterns_are_linear_on_long_runs():
     for text in (b"a" * 300_000, b"1" * 300_000, b"1." * 150_000, b"@" * 200_000, b"+1 " * 100_000, b"a@" * 100_000, b"1 " * 200_000):
         S.values(text)
