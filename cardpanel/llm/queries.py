@@ -1,4 +1,4 @@
-"""The registered queries ``op1_`` to ``op10_``: each applies its operator with
+"""The registered queries ``op1_`` to ``op13_``: each applies its operator with
 production parameters to its whole table and returns the full result."""
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decision_list, decontaminate, gru_lm, language, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules
+from cardpanel.llm import decision_list, decontaminate, gru_lm, language, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules, whitening
 from cardpanel.llm.tables import read
 
 
@@ -56,8 +56,13 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.document_scores(read(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op6_language, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_scoring)
+    f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op6_language, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_scoring,
+        op12_whitening)
 }
 
 SQL: dict[str, str] = {
