@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import decision_list, decontaminate, gru_lm, language, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules, whitening
+from cardpanel.llm import cover_tree, decision_list, decontaminate, gru_lm, language, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules, whitening
 from cardpanel.llm.tables import read
 
 
@@ -60,9 +60,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read(spark, sf_dir, "embeddings"))
 
 
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op6_language, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_scoring,
-        op12_whitening)
+        op12_whitening, op13_near_vectors)
 }
 
 SQL: dict[str, str] = {
@@ -70,4 +74,5 @@ SQL: dict[str, str] = {
     "op3_near_dedup": sql.NEAR_DEDUP,
     "op4_url_rules": sql.URL_RULES,
     "op9_decontamination": sql.DECONTAMINATION,
+    "op13_near_vectors": sql.NEAR_VECTORS,
 }

@@ -164,3 +164,22 @@ reach AS (
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+NEAR_VECTORS = r"""
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT * FROM e
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(v, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT x.rid AS a, y.rid AS b, y.vec_id AS to_id
+  FROM usable x JOIN usable y ON x.label = y.label AND len(x.v) = len(y.v) AND x.rid <> y.rid
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+reach AS (
+  SELECT rid AS a, rid AS b FROM e
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN (SELECT a AS rid, min(vec_id) AS component_id FROM reach JOIN e ON e.rid = reach.b GROUP BY a) USING (rid)
+LEFT JOIN (SELECT a AS rid, count(*) AS n FROM links GROUP BY a) USING (rid)
+"""
