@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardpanel.llm import cover_tree, decision_list, decontaminate, gru_lm, language, mixing, near_dedup, revisits, sanitise, sql, toxicity, url_rules, whitening
+from cardpanel.llm import cover_tree, decision_list, decontaminate, gru_lm, language, mixing, near_dedup, ranked_search, revisits, sanitise, sql, toxicity, url_rules, whitening
 from cardpanel.llm.tables import read
 
 
@@ -56,6 +56,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.document_scores(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read(spark, sf_dir, "embeddings"))
 
@@ -66,7 +70,7 @@ def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_revisits, op2_sanitisation, op3_near_dedup, op4_url_rules, op5_mixing, op6_language, op7_quality_rules, op8_toxicity, op9_decontamination, op10_lm_scoring,
-        op12_whitening, op13_near_vectors)
+        op11_ranked_search, op12_whitening, op13_near_vectors)
 }
 
 SQL: dict[str, str] = {
@@ -74,5 +78,6 @@ SQL: dict[str, str] = {
     "op3_near_dedup": sql.NEAR_DEDUP,
     "op4_url_rules": sql.URL_RULES,
     "op9_decontamination": sql.DECONTAMINATION,
+    "op11_ranked_search": sql.RANKED_SEARCH,
     "op13_near_vectors": sql.NEAR_VECTORS,
 }

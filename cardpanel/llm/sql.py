@@ -183,3 +183,25 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id IS NOT DISTIN
 FROM e JOIN (SELECT a AS rid, min(vec_id) AS component_id FROM reach JOIN e ON e.rid = reach.b GROUP BY a) USING (rid)
 LEFT JOIN (SELECT a AS rid, count(*) AS n FROM links GROUP BY a) USING (rid)
 """
+
+_TERMS = rf"""regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+sizes AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS length FROM sizes),
+tfs AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, total GROUP BY term),
+items AS (SELECT row_number() OVER () AS qid, item_id, {_TERMS} AS w FROM benchmark),
+wanted AS (SELECT DISTINCT qid, item_id, unnest(w) AS term FROM items),
+scored AS (
+  SELECT qid, item_id, doc_id, rid,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // length))))) AS BIGINT) AS score
+  FROM wanted JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (rid), total
+  GROUP BY qid, item_id, doc_id, rid),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 50
+"""
