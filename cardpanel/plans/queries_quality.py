@@ -231,7 +231,7 @@ line AS (
 sparse_features AS (
   -- a month of an inactive account ends a run as a paid one does: one letter per month, the longest run of L
   SELECT customer_id, ROUND(COALESCE(AVG(used) FILTER (active), 0), 4) AS avg_utilization,
-         ROUND(COALESCE(REGR_SLOPE(used, m) FILTER (active), 0), 4) AS utilization_trend,
+         ROUND(CASE WHEN COUNT(used) FILTER (active) > 1 THEN REGR_SLOPE(used, m) FILTER (active) ELSE 0 END, 4) AS utilization_trend,
          CAST(COUNT(*) FILTER (active AND st <= 0) AS INTEGER) AS on_time_months,
          CAST(COALESCE(MAX(st) FILTER (active), 0) AS INTEGER) AS max_delinquency,
          CAST(COALESCE(MAX(st) FILTER (active) - MIN(st) FILTER (active), 0) AS INTEGER) AS delinquency_drift,
