@@ -17,6 +17,8 @@
 from __future__ import annotations
 
 import itertools
+import random
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -26,24 +28,25 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, Log
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardpanel.operators.evaluation import average_precision, class_weights
 from cardpanel.operators.ordered import exact_ranks
 from cardpanel.schema import FEATURES
 from cardpanel.session import cut_lineage
+from cardpanel.sources.models import ModelStore
 
 # Hash constants (prime modulus 2^31 - 1, a linear congruential
 # multiplier, the minimal-standard multiplier, seed multiplier, shift).
 HASH_MOD, HASH_LCG, HASH_MUL, HASH_SEED_MUL, HASH_SHIFT = 2147483647, 1103515245, 48271, 16807, 15
 
 
-def seeded_hash(key: str = "customer_id", seed: int = 42):
+def seeded_hash(key: str | Column = "customer_id", seed: int = 42) -> Column:
     """Deterministic pseudo-random order key in [0, 2^31 - 1), reproducible
     in any SQL engine: an LCG step on the key, an xor-shift, a second
     multiplicative step.  All products stay below 2^63 for any long key."""
-    h = ((F.col(key) % HASH_MOD) * HASH_LCG + F.lit(seed * HASH_SEED_MUL)) % HASH_MOD
+    h = (((F.col(key) if isinstance(key, str) else key) % HASH_MOD) * HASH_LCG + F.lit(seed * HASH_SEED_MUL)) % HASH_MOD
     h = h.bitwiseXOR(F.shiftright(h, HASH_SHIFT))
     return (h * HASH_MUL) % HASH_MOD
 
@@ -101,6 +104,18 @@ def standardize(df: DataFrame, names=FEATURES, population: bool = True, ref: Dat
     return out
 
 
+def scaler_of(df: DataFrame, names=FEATURES) -> dict[str, list[float]]:
+    """Mean and population deviation of each feature: two numbers each."""
+    stats = [f(F.col(c).cast("double")).alias(f"{k}_{c}") for c in names for k, f in (("m", F.avg), ("s", F.stddev_pop))]
+    row = df.agg(*stats).first()
+    return {c: [row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 0.0] for c in names}
+
+
+def scaled(df: DataFrame, scaler: dict[str, list[float]]) -> DataFrame:
+    """``standardize`` with statistics taken before."""
+    return df.withColumns({c: (F.col(c).cast("double") - m) / s if s > 0 else F.lit(0.0) for c, (m, s) in scaler.items()})
+
+
 def assemble(df: DataFrame, names=FEATURES, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol=out).transform(df)
 
@@ -149,6 +164,20 @@ class Trained:
     kind: str
     params: dict = field(default_factory=dict)
     cv_metrics: list = field(default_factory=list)
+    scaler: dict[str, list[float]] = field(default_factory=dict)  # mean and deviation of each input, where it was scaled
+
+    @classmethod
+    def stored(cls, store: ModelStore | None) -> Trained | None:
+        """The model of a finished store."""
+        if store is None or (found := store.load()) is None:
+            return None
+        model, record = found
+        return cls(model, record["kind"], record["params"], [tuple(m) for m in record["cv_metrics"]], record["scaler"])
+
+    def save(self, store: ModelStore | None) -> Trained:
+        if store is not None:
+            store.save(self.model, self.kind, params=self.params, cv_metrics=self.cv_metrics, scaler=self.scaler)
+        return self
 
 
 def training_frame(features: DataFrame, outcomes: DataFrame, label: str = "default_next_month",
@@ -159,16 +188,19 @@ def training_frame(features: DataFrame, outcomes: DataFrame, label: str = "defau
 
 
 def train_logistic(train: DataFrame, label: str = "default_next_month", names=FEATURES,
-                   max_iter: int = 1000, c: float = 1.0) -> Trained:
+                   max_iter: int = 1000, c: float = 1.0, store: ModelStore | None = None) -> Trained:
     """Balanced-weight logistic regression on population-standardised
     features; regParam = 1 / (C x sum of weights) matches an L2 penalty
-    0.5 ||b||^2 + C x weighted log-loss."""
-    d = with_weights(standardize(train, names), label, "balanced")
+    0.5 ||b||^2 + C x weighted log-loss.  The scaler goes with the model."""
+    if done := Trained.stored(store):
+        return done
+    scaler = scaler_of(train, names)
+    d = with_weights(scaled(train, scaler), label, "balanced")
     d = assemble(d, names)
     total_w = d.agg(F.sum("weight")).first()[0]
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter,
                             regParam=1.0 / (c * total_w), elasticNetParam=0.0, standardization=False, tol=1e-8)
-    return Trained(lr.fit(d), "logistic", {"regParam": 1.0 / (c * total_w)})
+    return Trained(lr.fit(d), "logistic", {"regParam": 1.0 / (c * total_w)}, scaler=scaler).save(store)
 
 
 # The boosted-tree search grid.
@@ -176,8 +208,8 @@ DEFAULT_GRID = {"maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1], "maxIter": [100,
 
 
 def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURES, grid: dict | None = None,
-              folds: int = 3, seed: int = 42, weight_mode: str = "pos_ratio", parallelism: int = 6,
-              resample: str | None = None) -> Trained:
+              folds: int = 3, seed: int = 42, weight_mode: str = "pos_ratio", parallelism: int | None = None,
+              resample: str | None = None, store: ModelStore | None = None) -> Trained:
     """Boosted trees, grid-searched by k-fold CV on the ``fold`` column with
     average precision; the best grid point is refit on all training rows.
 
@@ -187,10 +219,16 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
     of the weights is that of the original training rows, as there.
     ``resample="smote_in_folds"`` resamples only each fold's training part
     and validates on the untouched original rows of the held-out fold; its
-    weights follow the resampled classes."""
+    weights follow the resampled classes.
+
+    With a ``store`` every score is written as it is found and the model at the
+    end: a search that was stopped goes on where it was, and a finished one
+    trains nothing."""
     grid = grid or DEFAULT_GRID
+    if done := Trained.stored(store):
+        return done
     if resample == "smote_in_folds":
-        return _train_gbt_resampled_folds(train, label, names, grid, folds, seed, weight_mode, parallelism)
+        return _train_gbt_resampled_folds(train, label, names, grid, folds, seed, weight_mode, parallelism, store)
     if resample == "smote":
         from cardpanel.operators.neighbors import smote
         res = smote(train.select("customer_id", *names, label), list(names), label, k=5, seed=seed)
@@ -200,7 +238,7 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
         d = with_weights(train, label, weight_mode)
     d = _sized(assemble(d, names).withColumn(label, F.col(label).cast("double")))
     pairs = [(d.filter(F.col("fold") != k), d.filter(F.col("fold") == k)) for k in range(folds)]
-    return _searched(pairs, d, label, grid, seed, parallelism)
+    return _searched(pairs, d, label, grid, seed, parallelism, store)
 
 
 #: Rows of a training partition: small tables are one task, so the many short jobs of boosting stay short.
@@ -224,7 +262,8 @@ def _first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificati
     return GBTClassificationModel(ml.classification.GBTClassificationModel(f"{model.uid}_{rounds}", trees, weights))
 
 
-def _searched(pairs: list[tuple[DataFrame, DataFrame]], rows: DataFrame, label: str, grid: dict, seed: int, parallelism: int) -> Trained:
+def _searched(pairs: list[tuple[DataFrame, DataFrame]], rows: DataFrame, label: str, grid: dict, seed: int, parallelism: int | None,
+              store: ModelStore | None) -> Trained:
     """Average precision of every grid point over (fit rows, held-out rows) pairs,
     and the best point refit on ``rows``.  Each depth and rate is trained once per
     pair, to the largest number of rounds; fewer rounds are its first trees."""
@@ -235,30 +274,34 @@ def _searched(pairs: list[tuple[DataFrame, DataFrame]], rows: DataFrame, label:
     def trained(shape: dict, n: int, fit_rows: DataFrame) -> GBTClassificationModel:
         return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed, maxIter=n, **shape).fit(fit_rows)
 
-    def scores(job):
-        shape, (fit_rows, held_out) = job
+    def scores(job: tuple[int, int]) -> dict[str, float]:
+        shape, (fit_rows, held_out) = shapes[job[0]], pairs[job[1]]
+        name = f"scores/depth-{shape['maxDepth']}-rate-{shape['stepSize']}-fold-{job[1]}.json"
+        if store is not None and (found := store.read(name)) is not None:
+            return found
+        began = time.monotonic()
         model = trained(shape, rounds[-1], fit_rows)
-        return [evaluator.evaluate(_first_rounds(model, n).transform(held_out)) for n in rounds]
-
-    jobs = [(s, p) for s in shapes for p in pairs]
-    with ThreadPoolExecutor(parallelism) as pool:
-        found = list(pool.map(scores, jobs))
-    metrics = []
-    for a, shape in enumerate(shapes):
-        of_shape = found[a * len(pairs) : (a + 1) * len(pairs)]
-        metrics += [({**shape, "maxIter": n}, sum(x[i] for x in of_shape) / len(of_shape)) for i, n in enumerate(rounds)]
+        found = {str(n): evaluator.evaluate(_first_rounds(model, n).transform(held_out)) for n in rounds}
+        if store is not None:
+            store.write(name, found | {"seconds": round(time.monotonic() - began, 1)})
+        return found
+
+    # in random order, so that applications which search at the same time seldom do the same part
+    jobs = [(a, k) for a in range(len(shapes)) for k in range(len(pairs))]
+    random.SystemRandom().shuffle(jobs)
+    with ThreadPoolExecutor(parallelism or max(4, rows.sparkSession.sparkContext.defaultParallelism)) as pool:
+        found = dict(zip(jobs, pool.map(scores, jobs)))
+    metrics = [({**shape, "maxIter": n}, sum(found[a, k][str(n)] for k in range(len(pairs))) / len(pairs))
+               for a, shape in enumerate(shapes) for n in rounds]
     best = max(metrics, key=lambda m: m[1])[0]
     model = trained({k: best[k] for k in ("maxDepth", "stepSize")}, best["maxIter"], rows)
-    return Trained(model, "gbt", best, metrics)
+    return Trained(model, "gbt", best, metrics).save(store)
 
 
-def score_portfolio(trained: Trained, df: DataFrame, names=FEATURES, label: str = "default_next_month",
-                    standardize_like: DataFrame | None = None) -> DataFrame:
-    """P(default) for every account; the score is published under two names."""
-    d = df
-    if trained.kind == "logistic":
-        d = standardize(d, names, ref=standardize_like if standardize_like is not None else df)
-    d = assemble(d, names)
+def score_portfolio(trained: Trained, df: DataFrame, names=FEATURES) -> DataFrame:
+    """P(default) for every account, by a model just trained or a stored one (its
+    own scaler, where it has one); the score is published under two names."""
+    d = assemble(scaled(df, trained.scaler), names)
     p = positive_probability(trained.model.transform(d))
     return p.select("customer_id", "risk_score", F.col("risk_score").alias("fraud_risk_score"),
                     *[c for c in df.columns if c not in ("customer_id", *names)])
@@ -270,7 +313,7 @@ def logistic_coefficients(trained: Trained, names=FEATURES) -> dict[str, float]:
 
 
 def _train_gbt_resampled_folds(train: DataFrame, label: str, names, grid: dict, folds: int, seed: int,
-                               weight_mode: str, parallelism: int) -> Trained:
+                               weight_mode: str, parallelism: int | None, store: ModelStore | None) -> Trained:
     from cardpanel.operators.neighbors import smote
 
     def prepared(rows: DataFrame) -> DataFrame:
@@ -279,4 +322,4 @@ def _train_gbt_resampled_folds(train: DataFrame, label: str, names, grid: dict,
         return _sized(d.withColumn(label, F.col(label).cast("double")))
 
     pairs = [(prepared(train.filter(F.col("fold") != k)), assemble(train.filter(F.col("fold") == k), names)) for k in range(folds)]
-    return _searched(pairs, prepared(train), label, grid, seed, parallelism)
+    return _searched(pairs, prepared(train), label, grid, seed, parallelism, store)

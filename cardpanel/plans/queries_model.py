@@ -10,6 +10,7 @@ from cardpanel.operators import explain as ex
 from cardpanel.operators import modeling as md
 from cardpanel.operators.treeshap import tree_attributions
 from cardpanel.session import cut_lineage
+from cardpanel.sources.models import ModelStore, fingerprint
 from cardpanel.operators.features import clean_features
 from cardpanel.plans.catalog import _plan, register
 from cardpanel.plans.portfolio import _ON_REFRESH
@@ -104,21 +105,30 @@ def frame_of(plan):
     return _FRAMES[key]
 
 
-# The grid of the registered variants (no resampling, resampling inside
-# folds).  The build and every other query search the full grid.
-VARIANT_GRID = {"maxDepth": [3, 5], "stepSize": [0.1], "maxIter": [10, 30]}
+def store_of(plan, name, **settings):
+    """The store of a model of this portfolio: named by its training rows and settings."""
+    d = frame_of(plan)
+    train = d.filter(F.col("split") == "train")
+    columns = ["customer_id", *md.FEATURES, "default_next_month", "fold"]
+    return ModelStore(plan.spark, fingerprint(train, columns, {"model": name, "version": 1, **settings}))
 
 
 def model_of(plan, resample="smote"):
-    """(frame, grid-searched boosted model), trained once per application."""
+    """(frame, grid-searched boosted model): loaded from the store, or searched and stored."""
     d = frame_of(plan)
     key = (plan.spark.sparkContext.applicationId, plan.sf_dir.rstrip("/"), resample)
     if key not in _MODELS:
-        grid = md.DEFAULT_GRID if resample == "smote" else VARIANT_GRID
-        _MODELS[key] = md.train_gbt(d.filter(F.col("split") == "train"), grid=grid, resample=resample)
+        store = store_of(plan, "gbt", grid=md.DEFAULT_GRID, resample=resample)
+        _MODELS[key] = md.train_gbt(d.filter(F.col("split") == "train"), resample=resample, store=store)
     return d, _MODELS[key]
 
 
+def logistic_of(plan):
+    """(frame, logistic model), loaded or trained and stored."""
+    d = frame_of(plan)
+    return d, md.train_logistic(d.filter(F.col("split") == "train"), store=store_of(plan, "logistic"))
+
+
 def _frame(spark, sf_dir):
     p = _plan(spark, sf_dir)
     return p, frame_of(p)
@@ -139,11 +149,8 @@ def _test_metrics(scored, name):
 @register("train_logistic", group="model")
 def q_train_logistic(spark, sf_dir):
     """Balanced logistic baseline: test-set AP and confusion at 0.5, one row."""
-    p, d = _frame(spark, sf_dir)
-    train = d.filter(F.col("split") == "train")
-    test = d.filter(F.col("split") == "test")
-    t = md.train_logistic(train)
-    scored = md.score_portfolio(t, test, standardize_like=train)
+    d, t = logistic_of(_plan(spark, sf_dir))
+    scored = md.score_portfolio(t, d.filter(F.col("split") == "test"))
     name, ap, c = _test_metrics(scored, "logistic")
     return spark.createDataFrame([(name, ap, c.tn, c.fp, c.fn, c.tp)],
                                  "model string, average_precision double, tn long, fp long, fn long, tp long")
@@ -152,10 +159,8 @@ def q_train_logistic(spark, sf_dir):
 @register("logistic_attributions", group="model")
 def q_logistic_attributions(spark, sf_dir):
     """Exact linear attributions of the logistic model (standardised inputs)."""
-    p, d = _frame(spark, sf_dir)
-    train = d.filter(F.col("split") == "train")
-    t = md.train_logistic(train)
-    z = md.standardize(train)
+    d, t = logistic_of(_plan(spark, sf_dir))
+    z = md.scaled(d.filter(F.col("split") == "train"), t.scaler)
     return ex.attribution_importance(ex.linear_attributions(z, md.logistic_coefficients(t)))
 
 
@@ -193,9 +198,9 @@ def model_metrics(plan):
     savings, confusion (tn, fp, fn, tp) at 0.50 and at the optimum of either; the
     best grid point; the three features of highest mean |attribution|."""
     d, t = model_of(plan)
-    train, test = (d.filter(F.col("split") == x) for x in ("train", "test"))
+    test = d.filter(F.col("split") == "test")
     s = cut_lineage(md.score_portfolio(t, test.select("customer_id", "default_next_month", *md.FEATURES)).select("risk_score", "default_next_month"))
-    base = md.score_portfolio(md.train_logistic(train), test, standardize_like=train).select("risk_score", "default_next_month")
+    base = md.score_portfolio(logistic_of(plan)[1], test).select("risk_score", "default_next_month")
     curve = ev.cost_curve(s)
     best_t = float(ev.optimal_threshold(curve).select("threshold").first()[0])
     f2 = ev.fbeta(ev.confusion(s, best_t), 2.0).select(F.col("fbeta").alias("f2_at_optimum"))
@@ -233,13 +238,42 @@ def tree_top_drivers(plan, n=20):
     return ex.top_drivers(top, attr, n)
 
 
-@register("smote", group="model")
+def _hash_sql(x: str, seed: str) -> str:
+    h = f"((({x}) % {md.HASH_MOD} * {md.HASH_LCG} + ({seed}) * {md.HASH_SEED_MUL}) % {md.HASH_MOD})"
+    return f"((xor({h}, {h} >> {md.HASH_SHIFT}) * {md.HASH_MUL}) % {md.HASH_MOD})"
+
+
+_X = [f"CAST({c} AS DOUBLE) AS {c}" for c in md.FEATURES]
+_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in md.FEATURES)
+_DRAWS = ", ".join(f"{_hash_sql(_hash_sql('j', str(42 + s)), '42')} AS h{s}" for s in (1, 2, 3))
+SMOTE_SQL = RANK_SQL + f""", train AS (
+  SELECT customer_id, {", ".join(_X)}, default_next_month FROM credit_features JOIN ranked USING (customer_id) WHERE rk >= ROUND(0.2 * n)
+),
+classes AS (SELECT default_next_month AS y, COUNT(*) AS n FROM train GROUP BY 1),
+minority AS (SELECT * FROM train WHERE default_next_month = (SELECT y FROM classes ORDER BY n, y LIMIT 1)),
+near AS (
+  SELECT a.customer_id AS pid, b.customer_id AS nid, ROW_NUMBER() OVER (PARTITION BY a.customer_id ORDER BY SQRT({_D2}), b.customer_id) - 1 AS slot
+  FROM minority a JOIN minority b ON a.customer_id <> b.customer_id
+),
+numbered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {_hash_sql("customer_id", "42")}, customer_id) - 1 AS i FROM minority),
+draws AS (
+  SELECT j, {_DRAWS} FROM (SELECT UNNEST(RANGE((SELECT MAX(n) - MIN(n) FROM classes))) AS j)
+)
+"""
+
+
+@register("smote", f"""
+SELECT customer_id, {", ".join(md.FEATURES)}, default_next_month, FALSE AS synthetic FROM train
+UNION ALL
+SELECT -(j + 1), {", ".join(f"a.{c} + h3 / {md.HASH_MOD}.0::DOUBLE * (b.{c} - a.{c})" for c in md.FEATURES)}, a.default_next_month, TRUE
+FROM draws JOIN numbered a ON a.i = h1 % (SELECT MIN(n) FROM classes)
+JOIN near ON near.pid = a.customer_id AND near.slot = h2 % 5 JOIN minority b ON b.customer_id = near.nid""", SMOTE_SQL, group="model")
 def q_smote(spark, sf_dir):
     """Training split oversampled to class parity (exact 5-nearest minority
     neighbours, seeded interpolation); originals kept, synthetic rows flagged."""
     from cardpanel.operators.neighbors import smote
     p, d = _frame(spark, sf_dir)
-    train = d.filter(F.col("split") == "train").select("customer_id", *md.FEATURES, "default_next_month")
+    train = d.filter(F.col("split") == "train").select("customer_id", *[F.col(c).cast("double").alias(c) for c in md.FEATURES], "default_next_month")
     return smote(train, list(md.FEATURES))
 
 

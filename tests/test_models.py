@@ -5,6 +5,7 @@ import random
 from math import factorial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -96,6 +97,58 @@ def test_exact_knn_matches_brute_force(spark):
         assert np.allclose(mine, exp), i
 
 
+def _frame_of(spark, x):
+    names = [f"f{i}" for i in range(x.shape[1])]
+    return spark.createDataFrame(pd.DataFrame(x, columns=names).assign(id=np.arange(len(x)) * 3)), names
+
+
+def _clouds():
+    rng = np.random.default_rng(8)
+    heavy = np.column_stack([rng.lognormal(8, 2, 3000), rng.normal(0, 1, (3000, 4)), rng.integers(0, 7, (3000, 3))])
+    ties = np.vstack([np.ones((1000, 4)), rng.normal(0, 1, (2000, 4))])
+    return {"even": rng.normal(0, 1, (4000, 8)), "heavy": heavy, "ties": ties}
+
+
+@pytest.mark.parametrize("name", ["even", "heavy", "ties"])
+def test_bucket_knn_recall(spark, name):
+    """At least 0.9 of the true neighbours, and the exact search finds all of them."""
+    from cardpanel.operators import neighbors as nb
+    x = _clouds()[name]
+    df, names = _frame_of(spark, x)
+    d = np.zeros((len(x), len(x)))
+    for f in range(x.shape[1]):
+        d += (x[:, f, None] - x[None, :, f]) ** 2
+    np.fill_diagonal(d, np.inf)
+    truth = np.sqrt(np.sort(d, axis=1)[:, :5])
+    exact = nb.exact_knn(df, "id", names, 5, block_size=128)
+    got = exact.toPandas().sort_values(["pid", "slot"])
+    assert np.array_equal(got["distance"].to_numpy().reshape(len(x), 5), truth)
+    found = nb.bucket_knn(df, "id", names, 5)
+    assert found.groupBy("pid").count().filter("count = 5").count() == len(x)
+    assert nb.recall(found, exact) >= 0.9
+
+
+def test_box_tree_finds_what_all_boxes_do():
+    from cardpanel.operators import neighbors as nb
+    rng = np.random.default_rng(2)
+    lo = rng.random((3000, 3))
+    hi = lo + rng.random((3000, 3)) * 0.05
+    x, r = rng.random((200, 3)), rng.random(200) * 0.1
+    gap = np.maximum(np.maximum(lo - x[:, None], 0), x[:, None] - hi)
+    want = np.sqrt((gap ** 2).sum(2)) <= r[:, None]
+    row, box = nb._closer(nb._box_levels(lo, hi), x, r)
+    assert sorted(zip(row, box)) == sorted(zip(*np.nonzero(want)))
+
+
+def test_smote_by_buckets(spark):
+    from cardpanel.operators.neighbors import smote
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (900, 3))
+    df = spark.createDataFrame([(i, *map(float, r), int(i % 3 == 0)) for i, r in enumerate(x)], "customer_id long, a double, b double, c double, y int")
+    out = smote(df, NAMES, label="y", exact=False).toPandas()
+    assert out.groupby("y").size().to_dict() == {0: 600, 1: 600}
+
+
 def test_smote_balances_and_interpolates(spark):
     from cardpanel.operators.neighbors import smote
     rng = np.random.default_rng(4)
