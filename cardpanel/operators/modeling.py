@@ -241,6 +241,8 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
     return _searched(pairs, d, label, grid, seed, parallelism, store)
 
 
+#: Boosting rounds between two checkpoints of the predictions.
+CHECKPOINT = 40
 #: Rows of a training partition: small tables are one task, so the many short jobs of boosting stay short.
 ROWS_PER_TASK = 100_000
 
@@ -272,7 +274,8 @@ def _searched(pairs: list[tuple[DataFrame, DataFrame]], rows: DataFrame, label:
     evaluator = AveragePrecisionEvaluator(label)
 
     def trained(shape: dict, n: int, fit_rows: DataFrame) -> GBTClassificationModel:
-        return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed, maxIter=n, **shape).fit(fit_rows)
+        return GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed, maxIter=n,
+                             checkpointInterval=CHECKPOINT, **shape).fit(fit_rows)
 
     def scores(job: tuple[int, int]) -> dict[str, float]:
         shape, (fit_rows, held_out) = shapes[job[0]], pairs[job[1]]

@@ -223,3 +223,63 @@ def test_smote_refuses_what_it_cannot_do(spark):
         smote(few, ["a"], label="y", k=5)
     with pytest.raises(ValueError):
         smote(few.filter("y = 0"), ["a"], label="y")
+
+
+@pytest.fixture
+def search(spark):
+    """(train, grid, store) of a search of two shapes over three folds."""
+    import uuid
+
+    from cardpanel.sources.models import ModelStore
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (240, 3))
+    rows = [(i, *map(float, r), int(r[0] + r[1] * r[2] > 0.5), i % 3) for i, r in enumerate(x)]
+    train = spark.createDataFrame(rows, "customer_id long, a double, b double, c double, y int, fold int")
+    return train, {"maxDepth": [2, 3], "stepSize": [0.1], "maxIter": [2, 4]}, ModelStore(spark, f"test-{uuid.uuid4().hex}")
+
+
+def test_search_goes_on_where_it_stopped(spark, search, monkeypatch):
+    train, grid, store = search
+    fits, whole = [], GBTClassifier.fit
+
+    def fit(self, data):
+        fits.append(self.getMaxDepth())
+        if len(fits) == 4:
+            raise RuntimeError("killed")
+        return whole(self, data)
+
+    monkeypatch.setattr(md.GBTClassifier, "fit", fit)
+    run = lambda: md.train_gbt(train, "y", NAMES, grid, store=store, parallelism=1)
+    with pytest.raises(RuntimeError, match="killed"):
+        run()
+    assert store.load() is None
+    first = run()
+    assert len(fits) == 4 + 3 + 1  # three scores were kept, three were left, and the refit
+    again = run()
+    assert len(fits) == 8 and again.params == first.params and again.cv_metrics == first.cv_metrics and len(first.cv_metrics) == 4
+    p, q = (sorted(map(tuple, md.score_portfolio(t, train, NAMES).collect())) for t in (first, again))
+    assert p == q
+    plain = md.train_gbt(train, "y", NAMES, grid)
+    assert plain.cv_metrics == first.cv_metrics
+
+
+def test_fingerprint_names_rows_and_settings(spark, search):
+    from cardpanel.sources.models import fingerprint
+    train, cols = search[0], ["customer_id", *NAMES, "y"]
+    key = fingerprint(train, cols, {"grid": [1]})
+    assert fingerprint(train.repartition(3).orderBy("a"), cols, {"grid": [1]}) == key
+    assert fingerprint(train, cols, {"grid": [2]}) != key
+    assert fingerprint(train.withColumn("a", F.when(F.col("customer_id") == 5, 9.0).otherwise(F.col("a"))), cols, {"grid": [1]}) != key
+    assert fingerprint(train.unionByName(train.limit(1)), cols, {"grid": [1]}) != key
+
+
+def test_stored_logistic_model_keeps_its_scaler(spark, search):
+    train, _, store = search
+    first = md.train_logistic(train, "y", NAMES, store=store)
+    again = md.train_logistic(train.limit(5), "y", NAMES, store=store)  # loaded: the rows don't matter
+    assert again.scaler == first.scaler and set(first.scaler) == set(NAMES)
+    one = train.filter("customer_id = 7")
+    assert md.score_portfolio(again, one, NAMES).first()["risk_score"] == md.score_portfolio(first, one, NAMES).first()["risk_score"]
+    z = md.standardize(train, NAMES).filter("customer_id = 7").first()
+    s = md.scaled(one, first.scaler).first()
+    assert [s[c] for c in NAMES] == pytest.approx([z[c] for c in NAMES])
