@@ -5,18 +5,20 @@
 2. Voters look at a document: slices of the lexicons and a fixed list of insults
    vote toxic on a hit, each whole lexicon votes clean on silence, and patterns
    (hit density, several different hits, shouting, exclamations, symbols) vote
-   either way, as does the given label of a training row.  All others abstain.
+   either way.  All others abstain.
 3. A generative model of votes given the unseen label is fitted by expectation
-   maximisation: every voter's chance to vote toxic, clean or not at all under
-   either label.  Correlations of votes left within the labels shrink a voter's
-   evidence: one of k voters that say the same counts about 1/k.
+   maximisation to a sample of all training documents, labelled or not: every
+   voter's chance to vote toxic, clean or not at all under either label.
+   Correlations of votes left within the labels shrink a voter's evidence: one
+   of k voters that say the same counts about 1/k.  Given labels only start it
+   and check it; they are no votes.
 4. A logistic classifier over lexicon entries and densities is trained on the
    model's posterior labels and scores every whole text.
 
-The lexicons come from all labelled training documents (equal texts once); only
-the label model and the classifier are fitted on about ``SAMPLE`` of them (by id
-hash), on ``ENTRIES`` lexicon entries.  Insults are one more feature.  Labels come from training rows only;
-a score sees nothing but the text.
+The lexicons come from all labelled training documents (equal texts once); the
+label model and the classifier are fitted on about ``SAMPLE`` training documents (by
+id hash), on ``ENTRIES`` lexicon entries.  Insults are one more feature.  Labels come
+from training rows only; a score sees nothing but the text.
 
 Defined results: null and empty texts are scored by the classifier's intercept;
 labels that are null are not used; several labels of a document count each;
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardpanel.llm.filters import BITS, passes
+from cardpanel.llm.filters import BITS, bits_of, passes
 from cardpanel.llm.tables import about, fold_of, stored
 from cardpanel.llm.tokens import LOWER, NON_ALNUM, Words, hashes, word_slices, words
 
@@ -108,11 +110,27 @@ class Lexicon:
         return both // len(self.hash), both % len(self.hash), n
 
 
+def _gold(labels: DataFrame, train: Column) -> DataFrame:
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(train)
+    return known.select(F.col("doc_id").alias("id"), (F.col("toxic") == 1).alias("y"))
+
+
 def _labelled(documents: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
-    """(id, y, text) of all labelled training documents, equal texts once."""
-    chosen = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(train).select(F.col("doc_id").alias("_id"), "toxic")
-    texts = documents.filter(train).select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
-    texts = texts.groupBy(F.xxhash64("text").alias("_t"), (F.col("toxic") == 1).alias("y")).agg(F.min("_id").alias("id"), F.first("text").alias("text"))
+    """(id, y, text) of all labelled training documents, equal texts once.  Which they
+    are is decided on ids and text hashes; then only their texts move, once, and by the
+    same kind of join at any size."""
+    rows = documents.filter(train).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"), F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("string"))
+    known = rows.select("id", "t", "row").join(_gold(labels, train), "id")
+    known = stored(known.groupBy("t", "y").agg(F.min(F.struct("id", "row")).alias("least")).select("y", "least.id", "least.row"), "toxic-known")
+    wanted = documents.sparkSession.sparkContext.broadcast(bits_of(known, "row"))
+
+    def run(batches):
+        bits = wanted.value
+        for batch in batches:
+            yield batch.filter(pa.array(passes(bits, batch.column(0).to_numpy())))
+
+    texts = rows.select("row", "text").mapInArrow(run, "row long, text string")
+    texts = texts.join(known.hint("merge"), "row").groupBy("row", "y").agg(F.first("id").alias("id"), F.first("text").alias("text"))
     return stored(texts.select("id", "y", "text"), "toxic-labelled")
 
 
@@ -144,7 +162,8 @@ def _mined(labelled: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hits_of(sample: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """The sample's documents, without their texts: labels, shapes, entries, occurrences, insult hits."""
+    """The sample's documents, without their texts: shares of toxic labels (nan: no label),
+    shapes, entries, occurrences, insult hits."""
     shared = sample.sparkSession.sparkContext.broadcast((lexicon.hash, lexicon.kind, lexicon.bits))
 
     def run(batches):
@@ -159,8 +178,8 @@ def _hits_of(sample: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarra
                      pa.ListArray.from_arrays(ends, pa.array(entry.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32))),
                      pa.array(insults.astype(np.int64))], ["id", "y", "shape", "entries", "n", "insults"])
 
-    t = sample.select("id", "y", "text").mapInArrow(run, "id long, y boolean, shape array<double>, entries array<int>, n array<int>, insults long")
-    t = t.toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    t = sample.select("id", "y", "text").mapInArrow(run, "id long, y double, shape array<double>, entries array<int>, n array<int>, insults long")
+    t = t.toArrow().sort_by([("id", "ascending"), ("insults", "ascending")])
     return (t["y"].to_numpy(), np.array(t["shape"].to_pylist(), float).reshape(-1, 4), [np.array(x, np.int64) for x in t["entries"].to_pylist()],
             [np.array(x, np.int64) for x in t["n"].to_pylist()], t["insults"].to_numpy())
 
@@ -199,21 +218,25 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
+def maximised(v: np.ndarray, p: np.ndarray) -> LabelModel:
+    """The label model of votes whose documents are toxic with chances ``p``; correlations
+    are those of the votes left within the labels."""
+    onehot = np.stack([v == k for k in (-1, 0, 1)], 2).astype(float)
+    prior = float(np.clip(p.mean(), 1e-3, 1 - 1e-3))
+    chance = np.stack([(np.einsum("d,dvk->vk", w, onehot) + 0.1) / (w.sum() + 0.3) for w in (1 - p, p)])
+    expected = np.einsum("dl,lvk->dvk", np.column_stack([1 - p, p]), chance)
+    rest = v - (expected[:, :, 2] - expected[:, :, 0])
+    spread = np.sqrt((rest**2).mean(0)) + 1e-6
+    correlation = (rest.T @ rest) / len(v) / np.outer(spread, spread)
+    strong = np.where(np.abs(correlation) >= CORRELATED, np.abs(correlation), 0.0)
+    return LabelModel(prior, chance, 1 / np.maximum(1.0, strong.sum(1)))
+
+
 def fit_label_model(v: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
-    """Expectation maximisation from soft labels ``start``; correlations are those
-    of the votes left within the labels, estimated anew each round."""
-    p, onehot = start.astype(float), np.stack([v == k for k in (-1, 0, 1)], 2).astype(float)
-    model = None
+    """Expectation maximisation from soft labels ``start``."""
+    p, model = start.astype(float), maximised(v, start.astype(float))
     for _ in range(rounds):
-        prior = float(np.clip(p.mean(), 1e-3, 1 - 1e-3))
-        chance = np.stack([(np.einsum("d,dvk->vk", w, onehot) + 0.1) / (w.sum() + 0.3) for w in (1 - p, p)])
-        expected = np.einsum("dl,lvk->dvk", np.column_stack([1 - p, p]), chance)
-        rest = v - (expected[:, :, 2] - expected[:, :, 0])
-        spread = np.sqrt((rest**2).mean(0)) + 1e-6
-        correlation = (rest.T @ rest) / len(v) / np.outer(spread, spread)
-        strong = np.where(np.abs(correlation) >= CORRELATED, np.abs(correlation), 0.0)
-        weight = 1 / np.maximum(1.0, strong.sum(1))
-        model = LabelModel(prior, chance, weight)
+        model = maximised(v, p)
         new = model.posterior(v)
         if np.abs(new - p).max() < 1e-4:
             break
@@ -221,6 +244,17 @@ def fit_label_model(v: np.ndarray, start: np.ndarray, rounds: int = 25) -> Label
     return model
 
 
+def anchored(v: np.ndarray, gold: np.ndarray) -> LabelModel:
+    """The label model of all votes.  Labels (nan: none) only say which way votes point:
+    they start it and are no votes.  If what it comes to agrees less with the labels than
+    the start did, the start is kept."""
+    known = ~np.isnan(gold)
+    first = maximised(v[known], gold[known])
+    last = fit_label_model(v, first.posterior(v))
+    loss = [-np.mean(np.log(np.where(gold[known] > 0.5, q, 1 - q) + 1e-9)) for q in (m.posterior(v[known]) for m in (first, last))]
+    return last if loss[1] <= loss[0] else first
+
+
 @dataclass
 class Classifier:
     """Weights of the lexicon's entries, of four densities and of insults, and an intercept."""
@@ -267,17 +301,17 @@ def train(entry: list[np.ndarray], n: list[np.ndarray], size: np.ndarray, target
 
 
 def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, sample: int = SAMPLE) -> Classifier:
-    texts = _labelled(documents, labels, train_rows)
-    lexicon = Lexicon.of(*_mined(texts, ENTRIES))
-    y, shape, entry, n, insults = _hits_of(about(texts, "id", sample, "toxic"), lexicon)
-    if not len(y) or y.all() or not y.any():
-        share = float(y.mean()) if len(y) else 0.0
-        return Classifier(Lexicon.of(np.empty(0, U), np.empty(0, np.int64)), np.empty(0), np.zeros(5), 30.0 if share else -30.0)
+    lexicon = Lexicon.of(*_mined(_labelled(documents, labels, train_rows), ENTRIES))
+    gold = _gold(labels, train_rows).groupBy("id").agg(F.avg(F.col("y").cast("double")).alias("y"))
+    drawn = about(documents.filter(train_rows & F.col("doc_id").isNotNull()), "doc_id", sample, "toxic")
+    drawn = drawn.select(F.col("doc_id").alias("id"), F.col("text").cast("string")).join(gold, "id", "left").withColumn("y", F.coalesce("y", F.lit(float("nan"))))
+    y, shape, entry, n, insults = _hits_of(drawn, lexicon)
+    known = y[~np.isnan(y)]
+    if not len(known) or known.min() == known.max():
+        share = float(known.mean()) if len(known) else 0.0
+        return Classifier(Lexicon.of(np.empty(0, U), np.empty(0, np.int64)), np.empty(0), np.zeros(5), 30.0 if share > 0.5 else -30.0)
     v = votes(shape, entry, n, insults, lexicon)
-    # the given label is one more voter, of an accuracy to be estimated, and the start
-    v = np.column_stack([v, np.where(y, 1, -1)])
-    posterior = fit_label_model(v, np.where(y, 0.95, 0.05)).posterior(v)
-    return train(entry, n, shape[:, 0], posterior, lexicon, insults)
+    return train(entry, n, shape[:, 0], anchored(v, y).posterior(v), lexicon, insults)
 
 
 def scored(documents: DataFrame, classifier: Classifier) -> DataFrame:

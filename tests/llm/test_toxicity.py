@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 
 from cardpanel.llm import toxicity as X
 
-from .odd import odd_documents
+from .odd import lower, odd_documents
 
 
 def test_label_model_finds_accuracies_and_correlations():
@@ -72,3 +75,43 @@ def test_lexicons_come_from_all_labelled_rows_and_insults_count(spark):
     text = np.frombuffer(calm + rude, np.uint8)
     scores = model.scores(X.words(text, np.array([0, len(calm), len(text)]), X.NON_ALNUM, X.LOWER))
     assert scores[1] > scores[0]
+
+
+def test_labels_only_anchor_the_label_model():
+    """Voters on unlabelled documents decide: a few wrong labels don't turn them round."""
+    rng = np.random.default_rng(1)
+    y = rng.random(5000) < 0.2
+    v = np.column_stack([np.where(rng.random(5000) < c, np.where(rng.random(5000) < a, y, ~y) * 2 - 1, 0) for a, c in ((0.95, 0.7), (0.9, 0.8), (0.8, 0.9), (0.85, 0.6))]).astype(np.int8)
+    gold = np.full(5000, np.nan)
+    gold[:200] = np.where(rng.random(200) < 0.1, ~y[:200], y[:200])
+    p = X.anchored(v, gold).posterior(v)
+    assert ((p > 0.5) == y).mean() > 0.94
+    gold[:200] = y[:200]
+    assert ((X.anchored(v, gold).posterior(v) > 0.5) == y).mean() > 0.94
+
+
+def _hash(word, kind):
+    """Hash of an entry by itself: a word, or a stem as the words of its own length give it."""
+    raw = np.frombuffer(word.encode(), np.uint8)
+    h = X.hashes(raw, np.array([0]), np.array([len(raw)]), X.LOWER)[0]
+    return int(h) if kind == 0 else int(h) ^ (0xA5A5_0000_0000_0001 * kind & ((1 << 64) - 1))
+
+
+def test_scores_equal_a_plain_sum(spark):
+    """Every text's score again in plain Python: entries, densities, insults."""
+    from cardpanel.llm.tables import read
+    docs, labels = (read(spark, "/root/testdata/sf0.001", t) for t in ("documents", "labels"))
+    model = X.fit(docs, labels, X.F.lit(True))
+    weight = {int(h): (float(model.entry[i])) for i, h in enumerate(model.lexicon.hash)}
+    assert weight
+    got = {r.doc_id: r.score for r in X.scored(docs, model).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(r.text))
+        found = [_hash(w, 0) for w in words]
+        for kind, n in enumerate(X.STEMS, 1):
+            found += [_hash(w[:n], kind) for w in words if len(w) > n]
+        found = [h for h in found if h in weight]
+        different, insults = len(set(found)), sum(w in X.INSULTS for w in words)
+        dense = [math.log1p(different), min(different, 3), math.log1p(100 * len(found) / max(len(words), 1)), different == 0, min(insults, 3)]
+        z = model.intercept + sum(weight[h] for h in set(found)) + sum(a * b for a, b in zip(dense, model.dense))
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
