@@ -2,8 +2,9 @@
 
 * ``stratified_split`` / ``with_folds`` / ``sample_n``: deterministic, seeded,
   exact.  Rows are ordered by an arithmetic hash of (key, seed) inside each
-  label and ranked with ``ordered.exact_ranks`` (bucketed: no window over a
-  whole label class, which would be one task per class).
+  label; a histogram of (label, leading hash bits) gives every bucket its place,
+  and ranks are taken inside buckets (no window over a whole label class, which
+  would be one task per class, and no range sort).
 * ``standardize``: population mean / std (the scaler convention of the
   reference) as column arithmetic; the statistics are one aggregation.
 * ``train_logistic`` / ``train_gbt``: Spark ML estimators with class weights;
@@ -28,11 +29,10 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, Log
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardpanel.operators.evaluation import average_precision, class_weights
-from cardpanel.operators.ordered import exact_ranks
 from cardpanel.schema import FEATURES
 from cardpanel.session import cut_lineage
 from cardpanel.sources.models import ModelStore
@@ -51,21 +51,49 @@ def seeded_hash(key: str | Column = "customer_id", seed: int = 42) -> Column:
     return (h * HASH_MUL) % HASH_MOD
 
 
+#: Rows of a hash bucket, about; bits of the bucket number at most.
+BUCKET_ROWS, BUCKET_BITS = 50_000, 20
+
+
+def _bucketed(df: DataFrame, label: str, key: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Labelled rows with ``__h`` and ``__bucket`` (leading bits of the hash, so buckets
+    follow its order), and the histogram: rows of each (class, bucket), of the buckets
+    before it and of the class.  The histogram has classes x buckets rows."""
+    df = df.filter(F.col(label).isNotNull())
+    bits = min(BUCKET_BITS, max(0, (df.count() // BUCKET_ROWS).bit_length()))
+    rows = df.withColumn("__h", seeded_hash(key, seed)).withColumn("__bucket", F.shiftright("__h", 31 - bits))
+    sizes = rows.groupBy(label, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    w = Window.partitionBy(label)
+    before = F.sum("__size").over(w.orderBy("__bucket")) - F.col("__size")
+    return rows, sizes.select(label, "__bucket", "__size", before.alias("__before"), F.sum("__size").over(w).alias("__n"))
+
+
 def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    h = df.withColumn("__h", seeded_hash(key, seed))
-    r = exact_ranks(h, ["__h", key], [label])
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    return r.join(F.broadcast(n), label)  # one row per class: bounded
+    """Rows with their class's size and their rank 0.. in it by (hash, key): ranked
+    inside their bucket, plus the rows of the buckets before."""
+    rows, sizes = _bucketed(df, label, key, seed)
+    w = Window.partitionBy(label, "__bucket").orderBy("__h", key)
+    inside = rows.withColumn("__inside", F.row_number().over(w) - 1)
+    joined = inside.join(sizes.select(label, "__bucket", "__before", "__n"), [label, "__bucket"])
+    return joined.withColumn("rank", F.col("__before") + F.col("__inside")).drop("__bucket", "__before", "__inside")
 
 
 def stratified_split(df: DataFrame, label: str = "default_next_month", test: float = 0.2, seed: int = 42,
                      key: str = "customer_id") -> DataFrame:
     """Adds ``split`` = 'test' for the first round(test x n_class) rows of each
-    class in hash order, 'train' otherwise: class shares kept exactly."""
-    r = _ranked(df, label, key, seed)
-    cut = F.round(F.lit(test) * F.col("__n"))
-    return r.withColumn("split", F.when(F.col("rank") < cut, F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("__h", "__n", "rank")
+    class in (hash, key) order, 'train' otherwise: class shares kept exactly.  Only
+    the bucket that holds a class's cut is ranked, for the last test row; the others
+    are compared with that row, so no row is shuffled.  Rows without label are left out."""
+    rows, sizes = _bucketed(df, label, key, seed)
+    place = F.round(F.lit(test) * F.col("__n")) - F.col("__before")
+    cuts = sizes.withColumn("__place", place).filter((F.col("__place") >= 1) & (F.col("__place") <= F.col("__size")))
+    w = Window.partitionBy(label).orderBy("__h", key)  # one bucket a class
+    held = rows.select(label, "__bucket", "__h", key).join(cuts.select(label, "__bucket", "__place"), [label, "__bucket"])
+    last = held.withColumn("__nth", F.row_number().over(w)).filter(F.col("__nth") == F.col("__place"))
+    last = last.select(label, F.struct(F.col("__h").alias("h"), F.col(key).alias("k")).alias("__last"))
+    out = rows.join(last, label, "left")  # one row a class
+    is_test = F.coalesce(F.struct(F.col("__h").alias("h"), F.col(key).alias("k")) <= F.col("__last"), F.lit(False))
+    return out.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))).drop("__h", "__bucket", "__last")
 
 
 def with_folds(df: DataFrame, label: str = "default_next_month", k: int = 3, seed: int = 42,

@@ -2,8 +2,7 @@
 
 Plot data only (histogram densities, box-plot statistics, correlation
 matrix); drawing is left to the dashboard tool.  Quantiles are exact and
-distributed (``ordered.running_sums`` over distinct values), never a
-collected group.
+distributed (``quantiles.class_quantiles``), never a collected group.
 """
 
 from __future__ import annotations
@@ -11,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardpanel.operators.ordered import running_sums
+from cardpanel.operators.quantiles import class_quantiles
 from cardpanel.schema import FEATURES, MONTHS, TIER_HIGH, TIER_LOW, TIER_MEDIUM, TWD_PER_USD
-from cardpanel.session import cut_lineage
 
 # Box-plot whisker reach and quartiles.
 WHISKER = 1.5
@@ -48,40 +46,30 @@ def utilization_histogram(view: DataFrame, value: str = "avg_utilization", label
         .alias("density"))
 
 
-def feature_boxplot_stats(view: DataFrame, names=FEATURES, label: str = "default_next_month",
-                          rows_per_block: int = 1_000_000) -> DataFrame:
+def feature_boxplot_stats(view: DataFrame, names=FEATURES, label: str = "default_next_month") -> DataFrame:
     """Per (feature, class): n, q1, median, q3 (linear interpolation between
     order statistics), whiskers (most extreme values within 1.5 IQR of the
-    quartiles) and the outlier count."""
-    long = view.select(label, *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
-        [label], list(names), "feature_name", "feature_value")
-    g = ["feature_name", label]
-    # read by three branches (group sizes, quartile hits, whiskers): stored once
-    r = cut_lineage(running_sums(long, "feature_value", {"n": F.lit(1)}, group_cols=g, rows_per_block=rows_per_block))
-    totals = r.groupBy(*g).agg(F.max("n_cum").alias("n_total"))
-    rt = r.join(F.broadcast(totals), g)  # one row per (feature, class): bounded
+    quartiles) and the outlier count.  One row a feature and class, from four
+    aggregations of the view: sketch, counts below and inside the brackets, fences."""
+    names = list(names)
+    quartiles = class_quantiles(view, names, label, QUARTILES)
+    kind = view.schema[label].dataType.simpleString()
+    classes = list(dict.fromkeys(c for c, _ in quartiles))
+    fence = {k: (q1 - WHISKER * (q3 - q1), q3 + WHISKER * (q3 - q1)) for k, (_, (q1, _, q3)) in quartiles.items()}
+    edges = view.sparkSession.createDataFrame(
+        [(c, *[x for name in names for x in fence.get((c, name), (None, None))]) for c in classes],
+        f"__class {kind}, " + ", ".join(f"__lo_{i} double, __hi_{i} double" for i in range(len(names))))
+    met = view.select(label, *[F.col(c).cast("double").alias(c) for c in names]).join(edges, F.col(label).eqNullSafe(F.col("__class")))
     aggs = []
-    for q in QUARTILES:
-        h = F.lit(q) * (F.col("n_total") - 1).cast("double")
-        for tag, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            hit = (F.col("n_before") <= pos) & (pos < F.col("n_cum"))
-            aggs.append(F.max(F.when(hit, F.col("feature_value"))).alias(f"v{tag}_{int(q * 100)}"))
-    per = rt.groupBy(*g, "n_total").agg(*aggs)
-    out = [F.col(c) for c in g] + [F.col("n_total").alias("n")]
-    for q in QUARTILES:
-        h = F.lit(q) * (F.col("n_total") - 1).cast("double")
-        lo_v, hi_v = F.col(f"vlo_{int(q * 100)}"), F.col(f"vhi_{int(q * 100)}")
-        out.append((lo_v + (h - F.floor(h)) * (hi_v - lo_v)).alias({0.25: "q1", 0.5: "median", 0.75: "q3"}[q]))
-    quart = per.select(*out)
-    fences = quart.select(*g, (F.col("q1") - WHISKER * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
-                          (F.col("q3") + WHISKER * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-    v = F.col("feature_value")
-    wh = r.join(F.broadcast(fences), g).groupBy(*g).agg(
-        F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_low"),
-        F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_high"),
-        F.coalesce(F.sum(F.when((v < F.col("lo_fence")) | (v > F.col("hi_fence")), F.col("n"))), F.lit(0))
-        .cast("long").alias("outliers"))
-    return quart.join(wh, g)
+    for i, c in enumerate(names):
+        v, lo, hi = F.col(c), F.col(f"__lo_{i}"), F.col(f"__hi_{i}")
+        aggs += [F.min(F.when(v >= lo, v)).alias(f"low_{i}"), F.max(F.when(v <= hi, v)).alias(f"high_{i}"),
+                 F.count_if((v < lo) | (v > hi)).alias(f"out_{i}")]
+    reach = {r[label]: r for r in met.groupBy(label).agg(*aggs).collect()}  # one row a class
+    rows = [(name, c, n, *q, reach[c][f"low_{i}"], reach[c][f"high_{i}"], reach[c][f"out_{i}"])
+            for i, name in enumerate(names) for c in classes if (c, name) in quartiles for n, q in [quartiles[c, name]]]
+    return view.sparkSession.createDataFrame(rows, f"feature_name string, {label} {kind}, n long, q1 double, median double, q3 double, "
+                                                   "whisker_low double, whisker_high double, outliers long")
 
 
 def report_kpis(view: DataFrame, fx_rate: float = TWD_PER_USD) -> DataFrame:

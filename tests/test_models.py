@@ -77,6 +77,28 @@ def test_split_shares_and_folds(spark):
     assert md.sample_n(p.features, 100).count() == 100
 
 
+@pytest.mark.parametrize("per_bucket", [7, 50_000])
+def test_ranks_by_histogram(spark, monkeypatch, per_bucket):
+    """Many buckets and one give the ranks of a plain sort; classes of one row, empty shares, null labels."""
+    monkeypatch.setattr(md, "BUCKET_ROWS", per_bucket)
+    rows = [(i * 37, None if i % 50 == 0 else 2 if i == 3 else int(i % 5 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "customer_id long, y int")
+
+    def h(key, seed=42):
+        x = (key % md.HASH_MOD * md.HASH_LCG + seed * md.HASH_SEED_MUL) % md.HASH_MOD
+        return ((x ^ (x >> md.HASH_SHIFT)) * md.HASH_MUL) % md.HASH_MOD
+
+    want = {}
+    for y in (0, 1, 2):
+        keys = sorted((k for k, v in rows if v == y), key=lambda k: (h(k), k))
+        want |= {k: ("test" if r < round(0.3 * len(keys)) else "train", r % 4) for r, k in enumerate(keys)}
+    split = {r.customer_id: r.split for r in md.stratified_split(df, "y", 0.3).collect()}
+    folds = {r.customer_id: r.fold for r in md.with_folds(df, "y", 4).collect()}
+    both = {r.customer_id: (r.split, r.fold) for r in md.split_and_folds(df, "y", 0.3, 4).collect()}
+    assert both == want and split == {k: s for k, (s, _) in want.items()} and folds == {k: f for k, (_, f) in want.items()}
+    assert set(md.stratified_split(df, "y", 0.0).select("split").distinct().toPandas()["split"]) == {"train"}
+
+
 def test_standardize_population(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, 5.0)], "customer_id long, a double")
     z = [r["a"] for r in md.standardize(df, ["a"]).orderBy("customer_id").collect()]
