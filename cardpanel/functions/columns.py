@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Delinquency bucket labels by status.
 CURRENT, DPD30, DPD60, DPD90, DPD90P = "Current", "30-DPD", "60-DPD", "90-DPD", "90+-DPD"
+STATUS_BUCKETS = [(CURRENT, None, 0), (DPD30, 1, 1), (DPD60, 2, 2), (DPD90, 3, 3), (DPD90P, 4, None)]
 # On-time month bucket labels.
 ON_TIME_BUCKETS = [("0-1", 0, 1), ("2-3", 2, 3), ("4-5", 4, 5), ("6", 6, 6)]
 # Composite heuristic weights (utilization, worst status, drift).

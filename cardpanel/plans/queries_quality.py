@@ -8,7 +8,7 @@ from cardpanel.operators import panel as pn
 from cardpanel.operators import quality as qa
 from cardpanel.operators.features import credit_features
 from cardpanel.plans.catalog import FEATURE_SELECT, _plan, register
-from cardpanel.schema import CUSTOMER_RULES, OUTCOME_RULES, PANEL_RULES, TIER_HIGH, TIER_RULES
+from cardpanel.schema import CUSTOMER_RULES, CUSTOMERS_SCHEMA, OUTCOME_RULES, PANEL_RULES, TIER_HIGH, TIER_RULES
 from cardpanel.sources.starschema import sparse_panel
 from cardpanel.sources.upsert import upsert
 
@@ -105,32 +105,22 @@ def q_orphan_rows(spark, sf_dir):
     return out
 
 
-@register("row_counts", """
-SELECT t.table_name, t.rows_loaded FROM (
-  SELECT 'customers' AS table_name, (SELECT COUNT(*) FROM customers) AS rows_loaded
-  UNION ALL SELECT 'monthly_payments', (SELECT COUNT(*) FROM monthly_payments)
-  UNION ALL SELECT 'outcomes', (SELECT COUNT(*) FROM outcomes)) t""", group="quality")
+COUNTED = ["customers", "monthly_payments", "outcomes"]
+
+
+@register("row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS rows_loaded FROM {t}" for t in COUNTED), group="quality")
 def q_row_counts(spark, sf_dir):
     p = _plan(spark, sf_dir)
     return qa.row_counts({"customers": p.customers, "monthly_payments": p.panel, "outcomes": p.outcomes})
 
 
-@register("null_profile", """
-SELECT COUNT(*) FILTER (WHERE customer_id IS NULL) AS customer_id_nulls,
-       COUNT(*) FILTER (WHERE credit_limit IS NULL) AS credit_limit_nulls,
-       COUNT(*) FILTER (WHERE sex IS NULL) AS sex_nulls,
-       COUNT(*) FILTER (WHERE education IS NULL) AS education_nulls,
-       COUNT(*) FILTER (WHERE marriage IS NULL) AS marriage_nulls,
-       COUNT(*) FILTER (WHERE age IS NULL) AS age_nulls
-FROM customers""", group="quality")
+@register("null_profile", "SELECT " + ", ".join(f"COUNT(*) - COUNT({c}) AS {c}_nulls" for c in CUSTOMERS_SCHEMA.fieldNames()) + " FROM customers", group="quality")
 def q_null_profile(spark, sf_dir):
     return qa.null_profile(_plan(spark, sf_dir).customers)
 
 
-@register("coded_zero_counts", """
-SELECT CAST(SUM(CASE WHEN education = 0 THEN 1 ELSE 0 END) AS BIGINT) AS education_zero_records,
-       CAST(SUM(CASE WHEN marriage = 0 THEN 1 ELSE 0 END) AS BIGINT) AS marriage_zero_records
-FROM customers""", group="quality")
+@register("coded_zero_counts", "SELECT " + ", ".join(
+    f"COUNT(*) FILTER ({c} = 0) AS {c}_zero_records" for c in ("education", "marriage")) + " FROM customers", group="quality")
 def q_coded_zero_counts(spark, sf_dir):
     return qa.coded_zero_counts(_plan(spark, sf_dir).customers)
 

@@ -110,16 +110,6 @@ def copy_if_exists(spark: SparkSession, src: str, dst: str, fmt: str = "csv", sm
     return spark.createDataFrame([(src, dst, status)], "source string, target string, status string")
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Full refresh of a table (drop + create / truncate + insert)."""
-    return write_table(df, path, fmt, mode="overwrite")
-
-
-def metrics_frame(spark: SparkSession, record: dict) -> DataFrame:
-    """One-row DataFrame of run metrics (lists become array columns)."""
-    return spark.createDataFrame([record])
-
-
 def write_metrics(df: DataFrame, path: str) -> str:
     df.coalesce(1).write.mode("overwrite").json(path)
     return path

@@ -4,9 +4,8 @@ New statement files (monthly panel rows) land in a folder.  A Structured
 Streaming query with ``Trigger.AvailableNow`` picks up every file not yet
 seen, and ``foreachBatch`` for each micro-batch:
 
-1. upserts the statements into the panel: version ``v=<epoch>`` is the
-   previous version merged with the batch (key customer_id, month) - no copy
-   of the whole panel back and forth;
+1. upserts the statements into the stored panel (key customer_id, month): only the
+   customer buckets that the batch touches are read and rewritten;
 2. recomputes features and tiers for the accounts touched by the batch only
    (semi join of the panel with the batch keys; one aggregation);
 3. writes (customer_id, tier, reason, features) as partition
@@ -14,8 +13,8 @@ seen, and ``foreachBatch`` for each micro-batch:
 
 Progress (which files are done) lives in the checkpoint location under the
 shared checkpoint folder, so a re-run after a failure resumes without
-double-processing; both writes are overwrites keyed by the epoch, so a
-replayed batch produces the same result.
+double-processing; an upsert that is run again changes nothing, and the scores'
+write is an overwrite keyed by the epoch, so a replayed batch gives the same result.
 """
 
 from __future__ import annotations
@@ -29,51 +28,25 @@ from cardpanel.operators.features import credit_features
 from cardpanel.operators.tiers import assign_tiers
 from cardpanel.schema import PANEL_SCHEMA
 from cardpanel.session import checkpoint_dir
-from cardpanel.sources.files import path_exists
-from cardpanel.sources.upsert import check_unique_source, upsert
+from cardpanel.sources.tables import read_stored, upsert_stored
 
 KEYS = ["customer_id", "month_number"]
 UPDATE = ["bill_amount", "pay_amount", "payment_status"]
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Epochs of the panel versions stored under ``root`` (folders v=<epoch>)."""
-    if not path_exists(spark, root):
-        return []
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    out = []
-    for st in path.getFileSystem(conf).listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def current_panel(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Latest stored panel version (optionally the latest one older than
-    ``before``); an empty panel when there is none."""
-    vs = [v for v in _versions(spark, root) if before is None or v < before]
-    if not vs:
-        return spark.createDataFrame([], PANEL_SCHEMA)
-    return spark.read.schema(PANEL_SCHEMA).parquet(f"{root}/v={vs[-1]}")
+def current_panel(spark: SparkSession, root: str) -> DataFrame:
+    """The stored panel; empty when there is none."""
+    return read_stored(spark, root, PANEL_SCHEMA)
 
 
 def score_batch(batch: DataFrame, epoch: int, customers: DataFrame, panel_root: str, scores_path: str) -> None:
-    """Version ``epoch`` of the panel = previous version upserted with the
-    batch; a replayed epoch rebuilds the same version from the same inputs."""
+    """Upserts a batch into the panel and scores the accounts that it touches."""
     spark = batch.sparkSession
     batch = batch.distinct()  # the same statement delivered twice is one; differing ones raise
-    check_unique_source(batch, KEYS)
-    merged = upsert(current_panel(spark, panel_root, before=epoch), batch.select(*PANEL_SCHEMA.fieldNames()),
-                    KEYS, UPDATE, validate=False)
-    version = f"{panel_root}/v={epoch}"
-    merged.write.mode("overwrite").parquet(version)
-    panel = spark.read.schema(PANEL_SCHEMA).parquet(version)
+    upsert_stored(batch, panel_root, PANEL_SCHEMA, KEYS, UPDATE, bucket_by="customer_id")
     touched = batch.select("customer_id").distinct()
     acc = customers.join(touched, "customer_id", "left_semi")
-    feats = credit_features(panel.join(touched, "customer_id", "left_semi"), acc)
+    feats = credit_features(current_panel(spark, panel_root).join(touched, "customer_id", "left_semi"), acc)
     out = assign_tiers(feats, keep_features=True).withColumn("batch_id", F.lit(epoch))
     out.write.mode("overwrite").parquet(f"{scores_path}/batch_id={epoch}")
 

@@ -134,7 +134,7 @@ def test_write_and_copy_if_exists(spark):
     rep = files.copy_if_exists(spark, os.path.join(d, "t"), os.path.join(d, "u")).first()
     assert rep["status"] == "copied"
     assert files.copy_if_exists(spark, os.path.join(d, "missing"), os.path.join(d, "v")).first()["status"] == "skipped"
-    m = files.metrics_frame(spark, {"accounts": 3, "top_features": ["a", "b"]})
+    m = spark.createDataFrame([(3, ["a", "b"])], "accounts long, top_features array<string>")
     files.write_metrics(m, os.path.join(d, "metrics"))
     assert spark.read.json(os.path.join(d, "metrics")).first()["accounts"] == 3
 
