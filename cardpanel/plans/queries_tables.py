@@ -171,3 +171,42 @@ SELECT customer_id, avg_utilization, max_delinquency, on_time_months FROM credit
 def q_sample_hundred(spark, sf_dir):
     """A seeded sample of fewer rows than there are."""
     return md.sample_n(_plan(spark, sf_dir).features, 100).select("customer_id", "avg_utilization", "max_delinquency", "on_time_months")
+
+
+def _newton_sql(steps: int = 9) -> tuple[str, str]:
+    """(select, tables): Newton's steps on the scaled training rows, each with a
+    Gauss-Jordan elimination of its own, written out."""
+    k = len(FEATURES) + 1
+    x = ["1.0", *FEATURES]
+    dot = " + ".join(f"b[{i + 1}] * {v}" for i, v in enumerate(x))
+    cell = lambda i, j: f"SUM(weight * p * (1 - p) * {x[i]} * {x[j]})" + (" + 1.0" if i == j > 0 else "")
+    right = lambda i: f"SUM(weight * (y - p) * {x[i]})" + (f" - ANY_VALUE(b[{i + 1}])" if i else "")
+    matrix = ", ".join("[" + ", ".join([*(cell(i, j) for j in range(k)), right(i)]) + "]" for i in range(k))
+    scaled = ", ".join(f"(CAST({c} AS DOUBLE) - AVG({c}) OVER ()) / STDDEV_POP({c}) OVER () AS {c}" for c in FEATURES)
+    parts = [f"""z AS MATERIALIZED (
+  SELECT default_next_month AS y, COUNT(*) OVER () / (2.0 * COUNT(*) OVER (PARTITION BY default_next_month)) AS weight, {scaled}
+  FROM credit_features JOIN ranked USING (customer_id) WHERE rk >= ROUND(0.2 * n))""",
+             f"b0 AS MATERIALIZED (SELECT [{', '.join(['0.0::DOUBLE'] * k)}] AS b)"]
+    for s in range(steps):
+        parts.append(f"m{s}_0 AS MATERIALIZED (SELECT [{matrix}] AS a FROM (SELECT z.*, b, 1 / (1 + EXP(-({dot}))) AS p FROM z, b{s}))")
+        for j in range(1, k + 1):
+            parts.append(f"""m{s}_{j} AS MATERIALIZED (SELECT list_transform(a, lambda r, i: CASE WHEN i = {j} THEN list_transform(r, lambda v: v / a[{j}][{j}])
+  ELSE list_transform(r, lambda v, c: v - r[{j}] * a[{j}][c] / a[{j}][{j}]) END) AS a FROM m{s}_{j - 1})""")
+        parts.append(f"b{s + 1} AS MATERIALIZED (SELECT list_transform(b, lambda v, i: v + a[i][{k + 1}]) AS b FROM b{s}, m{s}_{k})")
+    names = ", ".join(f"'{n}'" for n in ["intercept", *FEATURES])
+    return f"SELECT UNNEST([{names}]) AS name, UNNEST(list_transform(b, lambda v: ROUND(v, 4))) AS coefficient FROM b{steps}", RANK_SQL + ", " + ",\n".join(parts)
+
+
+@register("logistic_newton", *_newton_sql(), group="model")
+def q_logistic_newton(spark, sf_dir):
+    """Coefficients of the balanced logistic baseline at its optimum, on scaled features."""
+    train = frame_of(_plan(spark, sf_dir)).filter("split = 'train'")
+    rows = [(n, round(v, 4)) for n, v in md.newton_logistic(train).items()]
+    return spark.createDataFrame(rows, "name string, coefficient double")
+
+
+@register("logistic_coefficients", group="model")
+def q_logistic_coefficients(spark, sf_dir):
+    """Coefficients of the stored logistic model; tests hold them against ``logistic_newton``."""
+    _, t = logistic_of(_plan(spark, sf_dir))
+    return spark.createDataFrame([("intercept", float(t.model.intercept)), *md.logistic_coefficients(t).items()], "name string, coefficient double")
