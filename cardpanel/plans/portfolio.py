@@ -25,12 +25,14 @@ from cardpanel.operators import features as feat
 from cardpanel.operators import tiers as tr
 from cardpanel.operators.panel import split_accounts
 from cardpanel.session import drop_table, partitions_for, store_table
-from cardpanel.sources.files import load_accounts, read_accounts, split_records
+from cardpanel.sources.files import load_accounts, load_once, read_accounts, reasons_of, split_records
 from cardpanel.sources.starschema import (Portfolio, customers_from_star, outcomes_from_panel, panel_from_star,
                                           read_tables, star_portfolio)
 from cardpanel.sources.upsert import check_unique_source
 
 _INGEST: dict[tuple[str, str], Portfolio] = {}
+#: Rejected records and counts of card files.
+_LOADED: dict[tuple[str, str], tuple[DataFrame, dict[str, int]]] = {}
 _FEATURES: dict[tuple[str, str, str], DataFrame] = {}
 #: Forgets what else was derived from a data folder (models); ``refresh`` calls each with its key.
 _ON_REFRESH: list[Callable[[tuple[str, str]], None]] = []
@@ -71,18 +73,22 @@ def ingest(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Portfo
     return _INGEST[key]
 
 
-def ingest_accounts(spark: SparkSession, path: str) -> tuple[Portfolio, DataFrame]:
-    """(portfolio, rejected records) of a card file (CSV, bound by position).
+def ingest_accounts(spark: SparkSession, path: str) -> tuple[Portfolio, DataFrame, dict[str, int]]:
+    """(portfolio, rejected records, counts) of a card file (CSV, bound by position).
     Records that break a type or a rule are rejected as a whole, and a file with
-    two good records of one account is refused."""
+    two good records of one account is refused.  The file is parsed once: typed
+    records with their reasons are stored, counted on the way, and all else reads
+    them."""
     key = _app_key(spark, path)
-    good, rejected = split_records(load_accounts(read_accounts(spark, path)))
     if key not in _INGEST:
+        loaded, counts = load_once(load_accounts(read_accounts(spark, path)), reasons_of())
+        good, rejected = split_records(loaded)
         check_unique_source(good, ["id"])
         customers, outcomes, panel = split_accounts(good)
         outcomes = store_table(outcomes, "outcomes")
         _INGEST[key] = _stored(customers, lambda _: panel, [path], lambda _: outcomes, hashed=False)
-    return _INGEST[key], rejected
+        _LOADED[key] = rejected, counts
+    return _INGEST[key], *_LOADED[key]
 
 
 class PortfolioPlan:
@@ -95,13 +101,15 @@ class PortfolioPlan:
         p = portfolio or ingest(spark, sf_dir, materialize)
         self.customers, self.panel, self.outcomes = p.customers, p.panel, p.outcomes
         self.rejected: DataFrame | None = None
+        self.load_counts: dict[str, int] = {}
 
     @classmethod
     def from_accounts(cls, spark: SparkSession, path: str, semantics: str = "panel") -> PortfolioPlan:
-        """The plan over a card file; ``rejected`` has the records left out."""
-        portfolio, rejected = ingest_accounts(spark, path)
+        """The plan over a card file; ``rejected`` has the records left out,
+        ``load_counts`` the accepted and rejected ones and those of each reason."""
+        portfolio, rejected, counts = ingest_accounts(spark, path)
         plan = cls(spark, path, semantics, portfolio=portfolio)
-        plan.rejected = rejected
+        plan.rejected, plan.load_counts = rejected, counts
         return plan
 
     def with_semantics(self, semantics: str) -> PortfolioPlan:
@@ -156,6 +164,7 @@ def refresh(spark: SparkSession, sf_dir: str) -> None:
     re-derives and stores them."""
     key = _app_key(spark, sf_dir)
     old = _INGEST.pop(key, None)
+    _LOADED.pop(key, None)
     frames = [old.customers, old.panel, old.outcomes] if old else []
     frames += [_FEATURES.pop(k) for k in [k for k in _FEATURES if k[:2] == key]]
     for df in frames:

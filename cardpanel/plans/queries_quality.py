@@ -395,6 +395,18 @@ def _card_file(spark, wide):
     return path
 
 
+def _broken_records(spark, sf_dir):
+    from cardpanel.sources.files import load_accounts, read_accounts
+    wide, key = _wide(spark, sf_dir), F.col("id")
+    text = {c: F.col(c).cast("string") for c in wide.columns}
+    text["limit_bal"] = F.when(key % 13 == 0, "n/a").otherwise(text["limit_bal"])
+    text["bill_amt3"] = F.when((key % 13 != 0) & (key % 17 == 0), "1.239").otherwise(text["bill_amt3"])
+    first = (key % 13 != 0) & (key % 17 != 0)
+    text["age"] = F.when(first & (key % 19 == 0), "17").otherwise(text["age"])
+    text["default_payment_next_month"] = F.when(first & (key % 19 != 0) & (key % 23 == 0), "2").otherwise(text["default_payment_next_month"])
+    return load_accounts(read_accounts(spark, _card_file(spark, wide.select(*[v.alias(c) for c, v in text.items()]))))
+
+
 @register("card_file_records", """
 SELECT COALESCE(why, 'good') AS outcome, COUNT(*) AS records
 FROM (SELECT CASE WHEN id % 13 = 0 THEN 'limit_bal is not decimal(12,2),accounts.limit_bal not null'
@@ -406,19 +418,25 @@ def q_card_file_records(spark, sf_dir):
     """The card file with records broken by rule: a limit that is no number, a
     bill with a third decimal, an age under 18, a label of 2.  One decision per
     record, with its reasons."""
-    from cardpanel.sources.files import load_accounts, read_accounts
-    wide, key = _wide(spark, sf_dir), F.col("id")
-    text = {c: F.col(c).cast("string") for c in wide.columns}
-    text["limit_bal"] = F.when(key % 13 == 0, "n/a").otherwise(text["limit_bal"])
-    text["bill_amt3"] = F.when((key % 13 != 0) & (key % 17 == 0), "1.239").otherwise(text["bill_amt3"])
-    first = (key % 13 != 0) & (key % 17 != 0)
-    text["age"] = F.when(first & (key % 19 == 0), "17").otherwise(text["age"])
-    text["default_payment_next_month"] = F.when(first & (key % 19 != 0) & (key % 23 == 0), "2").otherwise(text["default_payment_next_month"])
-    loaded = load_accounts(read_accounts(spark, _card_file(spark, wide.select(*[v.alias(c) for c, v in text.items()]))))
+    loaded = _broken_records(spark, sf_dir)
     reasons = F.array_join("reasons", ",")
     return loaded.groupBy(F.when(reasons == "", "good").otherwise(reasons).alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
 
 
+@register("load_counts", """
+SELECT outcome, COUNT(*) AS records
+FROM (SELECT UNNEST(CASE WHEN id % 13 = 0 THEN ['rejected', 'limit_bal is not decimal(12,2)', 'accounts.limit_bal not null']
+                         WHEN id % 17 = 0 THEN ['rejected', 'bill_amt3 is not decimal(12,2)']
+                         WHEN id % 19 = 0 THEN ['rejected', 'accounts.age between 18 and 100']
+                         WHEN id % 23 = 0 THEN ['rejected', 'accounts.default_payment_next_month in (0, 1)'] ELSE ['accepted'] END) AS outcome FROM wide)
+GROUP BY 1""", WIDE_SQL, group="reshape")
+def q_load_counts(spark, sf_dir):
+    """Accepted, rejected and every reason's records of the same file, counted while it is loaded."""
+    from cardpanel.sources.files import load_once, reasons_of
+    _, counts = load_once(_broken_records(spark, sf_dir), reasons_of())
+    return spark.createDataFrame(list(counts.items()), "outcome string, records long")
+
+
 @register("csv_ingest_features", f"SELECT {FEATURE_SELECT} FROM credit_features", group="reshape")
 def q_csv_ingest_features(spark, sf_dir):
     """The source-file path end to end: the wide 25-column record is written

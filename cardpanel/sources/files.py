@@ -10,12 +10,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardpanel.operators.quality import violated
 from cardpanel.schema import ACCOUNT_RULES, WIDE_SCHEMA, Rule
+from cardpanel.session import stored
 
 # Raw header names that get a new name on load.
 RAW_RENAMES = {"default payment next month": "default.payment.next.month"}
@@ -57,6 +58,23 @@ def load_accounts(raw: DataFrame, schema: T.StructType = WIDE_SCHEMA, rules: lis
     return typed.select(*names, F.array_compact(F.concat("_wrong", broken)).alias(REASONS))
 
 
+def reasons_of(schema: T.StructType = WIDE_SCHEMA, rules: list[Rule] = ACCOUNT_RULES) -> list[str]:
+    """Every reason that ``load_accounts`` can give."""
+    return [*(f"{f.name} is not {f.dataType.simpleString()}" for f in schema.fields), "surplus fields", *(r.name for r in rules)]
+
+
+def load_once(loaded: DataFrame, reasons: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """(the records, stored; accepted and rejected records and records of each reason).
+    The counts are taken by the write's own pass, so the file is parsed once."""
+    seen = Observation()
+    counts = [F.count_if(F.size(REASONS) == 0).alias("accepted"), F.count_if(F.size(REASONS) > 0).alias("rejected")]
+    counts += [F.count_if(F.array_contains(REASONS, r)).alias(f"reason_{i}") for i, r in enumerate(reasons)]
+    kept = stored(loaded.observe(seen, *counts))
+    found = seen.get
+    return kept, {"accepted": found["accepted"], "rejected": found["rejected"]} | {
+        r: found[f"reason_{i}"] for i, r in enumerate(reasons) if found[f"reason_{i}"]}
+
+
 def split_records(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good records, rejected records with their reasons)."""
     return loaded.filter(F.size(REASONS) == 0).drop(REASONS), loaded.filter(F.size(REASONS) > 0)
