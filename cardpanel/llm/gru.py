@@ -56,7 +56,16 @@ class Runner:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return _sigmoid(np.array(x))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place; beyond the range of exp the value is 0."""
+    with np.errstate(over="ignore"):
+        np.negative(x, out=x)
+        np.exp(x, out=x)
+    x += F32(1)
+    return np.reciprocal(x, out=x)
 
 
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, h: np.ndarray, reset: np.ndarray | None = None) -> tuple[np.ndarray, list]:
@@ -66,10 +75,14 @@ def forward(p: dict[str, np.ndarray], ids: np.ndarray, h: np.ndarray, reset: np.
         if reset is not None:
             h = h * ~reset[t][:, None]
         g, x = h @ p["U"], p["X"][ids[t]]
-        zr = sigmoid(x[:, : 2 * k] + g[:, : 2 * k])
-        n = np.tanh(x[:, 2 * k :] + zr[:, k:] * g[:, 2 * k :])
-        cache.append((h, zr, g[:, 2 * k :], n))
-        h = n + zr[:, :k] * (h - n)
+        zr = _sigmoid(x[:, : 2 * k] + g[:, : 2 * k])
+        gn, n = g[:, 2 * k :], zr[:, k:] * g[:, 2 * k :]
+        n += x[:, 2 * k :]
+        np.tanh(n, out=n)
+        cache.append((h, zr, gn, n))
+        h = h - n
+        h *= zr[:, :k]
+        h += n
         states[t] = h
     return states, cache
 
@@ -78,23 +91,29 @@ def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: list, dstates: np
     """Gradients of the table and the recurrent weights, given those of every state;
     ``add`` adds rows to the table."""
     k = p["U"].shape[0]
-    du, dx, dh = np.zeros_like(p["U"]), np.empty((*ids.shape, 3 * k), F32), np.zeros((ids.shape[1], k), F32)
+    dx, dg = np.empty((*ids.shape, 3 * k), F32), np.empty((*ids.shape, 3 * k), F32)
+    before, dh = np.empty((*ids.shape, k), F32), np.zeros((ids.shape[1], k), F32)
     for t in range(len(ids) - 1, -1, -1):
         h, zr, gn, n = cache[t]
         z, r = zr[:, :k], zr[:, k:]
-        dh = dh + dstates[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (h - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        dx[t, :, :k], dx[t, :, k : 2 * k], dx[t, :, 2 * k :] = dz, dr, dn
-        dg = np.concatenate([dz, dr, dn * r], 1)
-        du += h.T @ dg
-        dh = dh * z + dg @ p["U"].T
+        before[t], rest = h, 1 - zr
+        dh += dstates[t]
+        d = dx[t]
+        np.multiply(dh, rest[:, :k], out=d[:, 2 * k :])
+        d[:, 2 * k :] *= 1 - n * n
+        rest *= zr
+        np.multiply(h - n, dh, out=d[:, :k])
+        np.multiply(d[:, 2 * k :], gn, out=d[:, k : 2 * k])
+        d[:, : 2 * k] *= rest
+        dg[t] = d
+        dg[t][:, 2 * k :] *= r
+        dh *= z
+        dh += dg[t] @ p["U"].T
         if reset is not None:
-            dh = dh * ~reset[t][:, None]
+            dh *= ~reset[t][:, None]
     table = np.zeros_like(p["X"])
     add(table, ids.ravel(), dx.reshape(-1, 3 * k))
-    return {"X": table, "U": du}
+    return {"X": table, "U": before.reshape(-1, k).T @ dg.reshape(-1, 3 * k)}
 
 
 class Adam:
@@ -105,11 +124,22 @@ class Adam:
 
     def update(self, grads: dict[str, np.ndarray], scale: float = 1.0) -> None:
         self.t += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         cut = min(1.0, 5.0 / (norm + 1e-9))  # gradient clipping
         a, b = 1 - 0.9**self.t, 1 - 0.999**self.t
+        step = F32(self.rate * scale / a)
         for k, g in grads.items():
             g = g * F32(cut)
-            self.m[k] += F32(0.1) * (g - self.m[k])
-            self.v[k] += F32(0.001) * (g * g - self.v[k])
-            self.params[k] -= (self.rate * scale * (self.m[k] / a) / (np.sqrt(self.v[k] / b) + 1e-8)).astype(F32)
+            m, v = self.m[k], self.v[k]
+            m *= F32(0.9)
+            m += F32(0.1) * g
+            g *= g
+            g *= F32(0.001)
+            v *= F32(0.999)
+            v += g
+            np.multiply(v, F32(1 / b), out=g)
+            np.sqrt(g, out=g)
+            g += F32(1e-8)
+            np.divide(m, g, out=g)
+            g *= step
+            self.params[k] -= g

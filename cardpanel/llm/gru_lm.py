@@ -17,8 +17,9 @@ documents as (hash, occurrences) and meet their counts in a join, so no frequent
 word is ever shuffled.  The fit reads every training document whole: ``ROUNDS``
 rounds (fewer for small tables) have a share of the documents each, by hash; the
 tasks of a round train copies on their own documents, whose parameters and moments
-are averaged by tokens for the next round.  Small tables are passed several times,
-for about ``UPDATES`` updates.
+are averaged by tokens for the next round.  A task passes its documents as often as
+``UPDATES`` updates over all rounds take, once at least; in the second half of all
+updates steps are smaller.
 
 Defined results: null reads as empty and has one token, the end; a null doc_id is
 a training row; repeated rows each count and are each scored; without training
@@ -111,50 +112,75 @@ class Network:
             "C": np.zeros((hidden, self.classes), F32), "c": np.zeros(self.classes, F32),
             "W": (rng.normal(size=(self.classes, hidden, self.each)) * 0.1).astype(F32), "w": np.zeros((self.classes, self.each), F32)}
 
-    def _word_logits(self, h: np.ndarray, k: int) -> np.ndarray:
-        n = min(self.each, self.size - k * self.each)
-        return h @ self.p["W"][k][:, :n] + self.p["w"][k, :n]
+    def _tables(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Class and word weights with their biases as one more row, and whether logits
+        may leave the range of exp (states are within -1 and 1)."""
+        first = np.vstack([self.p["C"], self.p["c"]])
+        words = np.concatenate([self.p["W"], self.p["w"][:, None, :]], 1)
+        words[-1][:, self.size - (self.classes - 1) * self.each :] = 0  # places beyond the last word
+        return first, words, float(max(np.abs(first).sum(0).max(), np.abs(words).sum(1).max())) > 60
+
+    def _word_count(self, k: int) -> int:
+        return min(self.each, self.size - k * self.each)
 
     @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(1, keepdims=True)
-        return x - np.log(np.exp(x).sum(1, keepdims=True))
+    def _log_chance(x: np.ndarray, at: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(natural log chance of ``at`` in each row of logits, their exponentials, in place, and sums)."""
+        if wide:
+            x -= x.max(1, keepdims=True)
+        picked = x[np.arange(len(x)), at]
+        np.exp(x, out=x)
+        total = x.sum(1)
+        return picked - np.log(total), x, total
+
+    def _by_class(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """States (with a one for the bias) and ids in order of class, classes, their edges, the order."""
+        k = ids // self.each
+        order = np.argsort(k.astype(np.uint8) if self.classes <= 256 else k, kind="stable")
+        states = np.ones((len(ids), self.hidden + 1), h.dtype)
+        states[:, :-1] = h[order]
+        k = k[order]
+        return states, ids[order], k, np.searchsorted(k, np.arange(self.classes + 1)), order
 
     def log_chances(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log chance of each id in its state."""
-        k = ids // self.each
-        out = self._log_softmax(h @ self.p["C"] + self.p["c"])[np.arange(len(ids)), k]
-        order = np.argsort(k, kind="stable")
-        edges = np.searchsorted(k[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            on = order[edges[c] : edges[c + 1]]
-            if len(on):
-                out[on] += self._log_softmax(self._word_logits(h[on], c))[np.arange(len(on)), ids[on] - c * self.each]
+        first, words, wide = self._tables()
+        h, ids, k, edges, order = self._by_class(h, ids)
+        found = self._log_chance(h @ first, k, wide)[0]
+        for c in np.flatnonzero(np.diff(edges)):
+            on = slice(edges[c], edges[c + 1])
+            found[on] += self._log_chance(h[on] @ words[c][:, : self._word_count(c)], ids[on] - c * self.each, wide)[0]
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[float, np.ndarray, dict[str, np.ndarray]]:
         """(mean loss, gradient of the states, gradients of the softmax)."""
-        n, k = len(ids), ids // self.each
-        logp = self._log_softmax(h @ self.p["C"] + self.p["c"])
-        loss = -logp[np.arange(n), k].sum()
-        d = np.exp(logp)
-        d[np.arange(n), k] -= 1
-        d /= n
-        out = {"C": h.T @ d, "c": d.sum(0), "W": np.zeros_like(self.p["W"]), "w": np.zeros_like(self.p["w"])}
-        dh = d @ self.p["C"].T
-        order = np.argsort(k, kind="stable")
-        edges = np.searchsorted(k[order], np.arange(self.classes + 1))
+        first, words, wide = self._tables()
+        h, ids, k, edges, order = self._by_class(h, ids)
+        n, scale = len(ids), h.dtype.type(1 / len(ids))
+
+        def step(x, at, weights):
+            """Loss, gradient of the states and of the weights of one softmax."""
+            logp, d, total = self._log_chance(x, at, wide)
+            d *= np.reciprocal(total)[:, None]
+            d[np.arange(len(at)), at] -= 1
+            return -float(logp.sum(dtype=float)), d @ weights[:-1].T, d
+
+        loss, dh, d = step(h @ first, k, first)
+        first_grad, word_grad = h.T @ d, np.zeros_like(words)
         for c in np.flatnonzero(np.diff(edges)):
-            on = order[edges[c] : edges[c + 1]]
-            logw = self._log_softmax(self._word_logits(h[on], c))
-            at = ids[on] - c * self.each
-            loss -= logw[np.arange(len(on)), at].sum()
-            d = np.exp(logw)
-            d[np.arange(len(on)), at] -= 1
-            d /= n
-            out["W"][c][:, : d.shape[1]], out["w"][c, : d.shape[1]] = h[on].T @ d, d.sum(0)
-            dh[on] += d @ self.p["W"][c][:, : d.shape[1]].T
-        return float(loss / n), dh, out
+            on, m = slice(edges[c], edges[c + 1]), self._word_count(c)
+            more, back, d = step(h[on] @ words[c][:, :m], ids[on] - c * self.each, words[c][:, :m])
+            loss += more
+            dh[on] += back
+            word_grad[c][:, :m] = h[on].T @ d
+        back = np.empty_like(dh)
+        back[order] = dh
+        back *= scale
+        first_grad *= scale
+        word_grad *= scale
+        return loss / n, back, {"C": first_grad[:-1], "c": first_grad[-1], "W": word_grad[:, :-1], "w": word_grad[:, -1]}
 
     def train(self, docs: list[np.ndarray], updates: int = UPDATES, lanes: int = TRAIN_LANES) -> list[float]:
         """Whole passes over ``docs`` in their order, as many as ``updates`` updates take, at least one."""
@@ -310,13 +336,15 @@ def fitted(texts: DataFrame, tokens: int, size: int) -> tuple[dict[str, np.ndarr
     rounds = min(max(tokens // least, 1), ROUNDS)
     tasks = max(tokens // (rounds * least), 1)
     lanes = min(max(tokens // max(1, UPDATES * WINDOW), TRAIN_LANES), LANES)
-    whole, updates, fewest = rounds == 1, UPDATES, TRAIN_LANES
+    passes = max(1, -(-least // max(tokens, 1)))
+    updates = passes * tokens / (rounds * tasks * lanes * WINDOW)  # of a task in a round, about
     network, read, steps = Network(size), 0, 0
     adam = gru.Adam(network.p, RATE)
+    texts = stored(texts.withColumn("round", F.pmod("at", F.lit(rounds)).cast("int")), "lm-texts", by="round")
     for r in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast((network.p, adam.m, adam.v, steps))
 
-        def run(batches, shared=shared, late=r >= rounds / 2):
+        def run(batches, shared=shared, late=max(0, int((rounds / 2 - r) * updates))):
             p, m, v, t = shared.value
             net = Network(size, params={k: x.copy() for k, x in p.items()})
             own = gru.Adam(net.p, RATE)
@@ -331,12 +359,7 @@ def fitted(texts: DataFrame, tokens: int, size: int) -> tuple[dict[str, np.ndarr
                         n += len(doc) + 1
                         yield doc
 
-            if whole:
-                all_docs = list(docs())
-                net.train(all_docs, updates, fewest)
-                own.t = 0
-            else:
-                net.learn(docs(), lanes, own, 0 if late else 1 << 62)
+            net.learn(docs() if passes == 1 else itertools.chain.from_iterable(itertools.repeat(list(docs()), passes)), lanes, own, late)
             if n:
                 values = _flat([net.p, own.m, own.v])
                 pieces = [values[i : i + PIECE].tobytes() for i in range(0, len(values), PIECE)]
@@ -344,8 +367,12 @@ def fitted(texts: DataFrame, tokens: int, size: int) -> tuple[dict[str, np.ndarr
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(np.full(k, task, np.int32)), pa.array(np.full(k, n, np.int64)),
                                                   pa.array(np.full(k, own.t, np.int64)), pa.array(pieces, pa.binary())], ["piece", "task", "n", "t", "x"])
 
-        own = texts.filter(F.pmod("at", F.lit(rounds)) == r).coalesce(tasks).sortWithinPartitions("at").select("ids")
-        rows = own.mapInArrow(run, "piece int, task int, n long, t long, x binary").groupBy("piece").applyInArrow(_averaged, "piece int, n long, t long, x binary")
+        own = texts.filter(F.col("round") == r).coalesce(tasks).sortWithinPartitions("at").select("ids")
+        rows = own.mapInArrow(run, PIECES)
+        while tasks > 1:  # some tasks' pieces at a time, until one group is left
+            rows = rows.withColumn("task", F.floor(F.col("task") / MERGED).cast("int")).groupBy("piece", "task").applyInArrow(_averaged, PIECES)
+            tasks = -(-tasks // MERGED)
+        tasks = max(tokens // (rounds * least), 1)
         pieces = sorted(rows.collect(), key=lambda x: x.piece)  # a row for each PIECE values of the network
         if pieces:
             _filled([network.p, adam.m, adam.v], np.concatenate([np.frombuffer(x.x, F32) for x in pieces]))
@@ -354,13 +381,17 @@ def fitted(texts: DataFrame, tokens: int, size: int) -> tuple[dict[str, np.ndarr
     return network.p, read
 
 
+#: Rows of a network in pieces, and how many tasks' are averaged at once.
+PIECES, MERGED = "piece int, task int, n long, t long, x binary", 32
+
+
 def _averaged(rows: pa.Table) -> pa.Table:
-    """The mean of a piece over the tasks, weighted by tokens."""
-    rows = rows.sort_by("task")
+    """The mean of a piece over some tasks, weighted by tokens."""
+    rows = rows.sort_by("n")
     n = rows["n"].to_numpy()
     total = sum(w * np.frombuffer(x.as_py(), F32).astype(float) for w, x in zip(n, rows["x"], strict=True))
-    return pa.table({"piece": rows["piece"].slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()), "t": pa.array([int(rows["t"].to_numpy().max())], pa.int64()),
-                     "x": pa.array([(total / n.sum()).astype(F32).tobytes()], pa.binary())})
+    return pa.table({"piece": rows["piece"].slice(0, 1), "task": rows["task"].slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()),
+                     "t": pa.array([int(rows["t"].to_numpy().max())], pa.int64()), "x": pa.array([(total / n.sum()).astype(F32).tobytes()], pa.binary())})
 
 
 def scores(documents: DataFrame, held_out: Column) -> DataFrame:
@@ -381,7 +412,7 @@ def scores(documents: DataFrame, held_out: Column) -> DataFrame:
     vocabulary = Vocabulary(head_hash[:VOCABULARY])
     size = vocabulary.size
 
-    network = Network(size, params=fitted(stored(_texts(train, vocabulary), "lm-texts"), total, size)[0])
+    network = Network(size, params=fitted(_texts(train, vocabulary), total, size)[0])
     scored = stored(_scored(rows, vocabulary, network, head_hash, head_count, n_docs, total + kinds + 1, np.log10((1 - unseen) / max(unknown, 1))).withColumn("rid", F.monotonically_increasing_id()), "lm-scored")
     rare = scored.select("rid", F.explode("rare").alias("x")).select("rid", F.col("x.key").alias("key"), F.col("x.n").alias("n"))
     met = rare.join(word_counts.select("key", "c"), "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
