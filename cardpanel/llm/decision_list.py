@@ -26,11 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardpanel.llm.tables import about
+from cardpanel.llm.tables import about, apart
 from cardpanel.llm.tokens import SPACES, windows, word_slices
 
 SAMPLE, QUANTILES, CONDITIONS, RULES = 20_000, 64, 4, 12
-PRECISION, SUPPORT = 0.7, 10
+#: Least precision of a rule on held-back rows, as a lower bound at CONFIDENCE standard errors (Wilson).
+PRECISION, CONFIDENCE, SUPPORT = 0.8, 1.28, 10
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -173,6 +174,13 @@ def _prune(rule: Rule, x: np.ndarray, y: np.ndarray) -> tuple[Rule, float, int]:
     return best[:3]
 
 
+def least_share(share: float, n: int, z: float = CONFIDENCE) -> float:
+    """Wilson's lower bound of a share seen in ``n`` rows."""
+    if not n:
+        return 0.0
+    return float((share + z * z / (2 * n) - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n))
+
+
 def _cuts(v: np.ndarray) -> np.ndarray:
     """Thresholds midway between a quantile and the next value that occurs, so
     that rules keep a margin to the documents on either side."""
@@ -197,7 +205,7 @@ def learned(x: np.ndarray, rejected: np.ndarray, precision: float = PRECISION, s
             break
         rule, exact, n = _prune(rule, x[left & back], rejected[left & back])
         on = left & rule.covers(x)
-        if exact < precision or n < support // 3 or on.sum() < support:
+        if least_share(exact, n) < precision or on.sum() < support:
             break
         rules.append(rule)
         left &= ~on
@@ -209,10 +217,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[R
     chosen = labels.filter("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), "quality")
     chosen = about(chosen, "_id", sample, "quality")
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
-    rows = with_statistics(texts).select("doc_id", "quality", *[PREFIX + f for f in FEATURES]).toArrow()
+    rows = with_statistics(texts).select(F.xxhash64("doc_id").alias("id"), "quality", *[PREFIX + f for f in FEATURES]).toArrow()
     x = np.column_stack([rows[PREFIX + f].to_numpy().astype(float) for f in FEATURES]) if rows.num_rows else np.empty((0, len(FEATURES)))
-    y, ids = rows["quality"].to_numpy() == 0, rows["doc_id"].to_numpy()
-    order = np.lexsort([*x.T, y, ids * np.int64(0x9E3779B97F4A7C1) % (1 << 31)]) if len(y) else np.empty(0, int)
+    y, ids = rows["quality"].to_numpy() == 0, rows["id"].to_numpy()
+    order = np.lexsort([*x.T, y, ids]) if len(y) else np.empty(0, int)
     return learned(x[order], y[order])
 
 
@@ -238,4 +246,4 @@ def judged(documents: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def filtered(documents: DataFrame, rules: list[Rule]) -> DataFrame:
     """``documents`` that the base rule and the list keep, all columns kept."""
-    return with_statistics(documents).filter(~base_failed() & verdict(rules).isNull()).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return apart(documents, lambda rows: with_statistics(rows).filter(~base_failed() & verdict(rules).isNull()))

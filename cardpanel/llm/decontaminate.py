@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardpanel.llm.tables import apart
 from cardpanel.llm.tokens import NON_ALNUM, buffers
 
 WINDOW = 13
@@ -152,6 +153,7 @@ def _judged(found: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``documents`` without the contaminated ones, all columns kept."""
-    found = _judged(hits(documents, benchmark, window))
-    return found.filter(~F.col("_llm_bad")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    def kept(rows: DataFrame) -> DataFrame:
+        return _judged(hits(rows, benchmark, window)).filter(~F.col("_llm_bad"))
 
+    return apart(documents, kept)

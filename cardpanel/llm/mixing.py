@@ -32,6 +32,8 @@ from cardpanel.llm.tokens import mix
 
 #: Words a block holds, output shards, sub-streams of a source, slots a plan row spans.
 BLOCK_WORDS, SHARDS, SPREAD, SPAN = 64, 64, 1024, 1 << 16
+#: Slots that a task permutes, about.
+TASK_SLOTS = 1 << 18
 WEIGHTS, MOST = (1, 2, 3), 3
 U = np.uint64
 
@@ -130,7 +132,9 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), r["source_no"], np.int32)), pa.array(np.full(len(k), r["shard"], np.int32)),
                                                   pa.array(k), pa.array(block)], ["source_no", "shard", "slot", "block"])
 
-    wide = spans.repartition(F.col("source_no"), F.col("shard"), F.col("first"))
+    # a row stands for up to SPAN slots, which Spark can't see: the number of tasks is stated
+    tasks = max(1, -(-int(counts.sum()) // TASK_SLOTS))
+    wide = spans.repartition(tasks, F.col("source_no"), F.col("shard"), F.col("first"))
     return wide.mapInArrow(take, "source_no int, shard int, slot long, block long")
 
 

@@ -21,7 +21,8 @@ Defined results: null, empty and wordless texts have an empty set, link with
 nothing and are their own component; a document of fewer words than a shingle is
 one shingle; ties go to the smallest doc_id; repeated rows are members of one
 class; rows with null doc_id take part, the component's id is the smallest
-non-null one (null where there is none); an empty table gives no rows.
+non-null one (null where there is none); texts of any length are read whole; an empty
+table gives no rows; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from cardpanel.llm.filters import bits_of, passes
 from cardpanel.llm.graph import components
-from cardpanel.llm.tables import stored
+from cardpanel.llm.tables import apart, stored
 from cardpanel.llm.tokens import LOWER, mix, windows, word_slices
 
 ROWS, BANDS, STEP, MISS, BLOCK = 6, 42, 32, 1e-6, 256
@@ -279,6 +280,11 @@ def one_of_each(documents: DataFrame, k: int = 5, threshold: float = 0.8) -> Dat
     """``documents`` with one row of each group of near duplicates (documents
     without words all stay, but for repeated rows), all columns kept."""
     found = near_duplicates(documents, k, threshold)
-    first = found.filter("row = first_row").select(F.col("row").alias("_llm_row")).distinct()
-    rows = documents.withColumn("_llm_row", F.xxhash64("doc_id", "text"))
-    return rows.join(first, "_llm_row", "left_semi").dropDuplicates(["_llm_row"]).drop("_llm_row")
+    first = found.filter("row = first_row").select(F.col("row").alias("_row")).distinct()
+
+    def kept(rows: DataFrame) -> DataFrame:
+        mine = rows.withColumn("_row", F.xxhash64("doc_id", "text")).join(first, "_row", "left_semi")
+        # repeated rows: the one whose other columns hash least
+        return mine.groupBy("_row").agg(F.min_by(F.struct("doc_id", "text", "_others"), F.xxhash64("_others")).alias("_r")).select("_r.*")
+
+    return apart(documents, kept)

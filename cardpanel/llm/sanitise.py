@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardpanel.llm.filters import bits_of, passes
-from cardpanel.llm.tables import stored
+from cardpanel.llm.tables import apart, stored
 from cardpanel.llm.tokens import LOWER, NON_ALNUM, buffers, word_slices, words
 
 CONTEXT, GENERALISE, REMOVE = 8, 0.85, 0.95
@@ -213,7 +213,6 @@ def replaced(text: str, items: list[tuple[int, int, int]]) -> str:
 def sanitised(documents: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``documents`` with the spans of ``text`` replaced, all columns kept.  Only
     documents that may have spans are shuffled."""
-    names = documents.columns
     _, all_spans = spans(documents, generalise, remove)
     all_spans = stored(all_spans, "spans")
     shared = documents.sparkSession.sparkContext.broadcast(bits_of(all_spans, "row"))
@@ -230,8 +229,11 @@ def sanitised(documents: DataFrame, generalise: float = GENERALISE, remove: floa
 
         return pd.Series([t if s is None or t is None else replaced(t, [(x["start"], x["kind"], x["end"]) for x in s]) for t, s in zip(text, items, strict=True)])
 
-    rows = documents.withColumn("_llm_row", F.xxhash64("doc_id", "text")).withColumn("_llm_maybe", maybe("_llm_row"))
-    met = rows.filter("_llm_maybe").join(all_spans.toDF("_llm_row", "_llm_spans"), "_llm_row", "left")
-    met = met.withColumn("text", new(F.col("text").cast("string"), "_llm_spans"))
-    quoted = [F.col(f"`{c}`") for c in names]
-    return rows.filter("not _llm_maybe").select(*quoted).unionByName(met.select(*quoted))
+    def work(documents: DataFrame) -> DataFrame:
+        rows = documents.withColumn("_row", F.xxhash64("doc_id", "text")).withColumn("_maybe", maybe("_row"))
+        met = rows.filter("_maybe").join(all_spans.toDF("_row", "_spans"), "_row", "left")
+        met = met.withColumn("text", new(F.col("text").cast("string"), "_spans"))
+        kept = ["doc_id", "text", "_others"]
+        return rows.filter("not _maybe").select(*kept).unionByName(met.select(*kept))
+
+    return apart(documents, work)

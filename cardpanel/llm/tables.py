@@ -33,19 +33,17 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def row_key(*cols: str) -> Column:
-    """128 bits that name a row by its content (equal rows share it; null and
-    empty differ).  Rows get it before Python sees them, so results can be
-    joined back whatever the ids are: null, repeated or shared by other texts."""
-    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in cols]
-    return F.md5(F.concat_ws("\u0001", *parts))
-
-
 def fold_of(col: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (null id: -1)."""
     return F.coalesce(F.crc32(F.col(col).cast("string")) % mod, F.lit(-1)).cast("int")
 
 
+def apart(documents: DataFrame, work: Callable[[DataFrame], DataFrame], used: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``work`` on the ``used`` columns, with all others packed into one, so that no
+    name of theirs meets a working column; unpacked afterwards, in their order."""
+    others = [c for c in documents.columns if c not in used]
+    rows = documents.select(*used, F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others") if others else F.lit(None).cast("string").alias("_others"))
+    return work(rows).select(*[F.col(c) if c in used else F.col("_others").getField(c).alias(c) for c in documents.columns])
 
 
 def about(df: DataFrame, key: str, n: int, salt: str) -> DataFrame:

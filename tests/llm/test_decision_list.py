@@ -69,3 +69,20 @@ def test_held_out_accuracy(spark):
     got = D.judged(docs, rules).join(labels.filter("doc_id % 3 = 0"), "doc_id").filter("not base_failed")
     right = got.filter("kept = (quality = 1)").count()
     assert right >= 0.93 * got.count()
+
+
+def test_rules_need_evidence():
+    """A rule that few held-back rows confirm is not accepted, however pure."""
+    assert D.least_share(1.0, 3) < D.PRECISION < D.least_share(1.0, 7) and D.least_share(1.0, 0) == 0.0
+    rng = np.random.default_rng(3)
+    x = rng.random((300, len(D.FEATURES)))
+    few = np.zeros(300, bool)
+    few[np.argsort(x[:, 0])[-9:]] = True
+    assert D.learned(x, few) == []  # about three rows held back
+    assert D.learned(x, x[:, 0] > 0.8)
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(f"d{i}", f"word{i} " * (3 + i % 40)) for i in range(60)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(60)], "doc_id string, quality int")
+    assert D.judged(docs, D.fit(docs, labels)).count() == 60

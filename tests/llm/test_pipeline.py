@@ -38,6 +38,25 @@ def test_every_stage_against_brute_force(spark):
     assert {r.doc_id for r in docs.collect()} == clean
 
 
+def test_stages_on_odd_and_empty_tables_with_clashing_names(spark):
+    """Every stage on nulls, repeats, long texts, no rows; columns named like any working column."""
+    from .odd import odd_documents
+
+    names = ["_llm_row", "_llm_words", "_llm_hits", "_llm_items", "_llm_spans", "_llm_n_words", "_row", "_others", "row", "rule", "spans", "base_failed"]
+    odd = odd_documents(spark)
+    odd = odd.withColumns({n: corpus_pipeline.F.lit(i) for i, n in enumerate(names)})
+    for docs in (odd, odd.limit(0)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            rows = out.collect()
+            assert len(rows) <= n
+            if name != "source_mix":
+                assert out.columns == docs.columns
+                assert all(r[c] == i for r in rows for i, c in enumerate(names) if c != "row"), name
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, odd, SF).collect()} == {1, 4, 5, 6, 7, 8, 9, 10}
+
+
 def test_run_returns_the_last_stage(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "size", "source_size", "target", "taken"] and got.count() > 50
@@ -47,7 +66,7 @@ def test_queries_equal_sql(spark):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, text in SQL.items():
         want, got = con.sql(text).to_arrow_table(), QUERIES[name](spark, SF).toArrow()
@@ -61,4 +80,4 @@ def test_all_registered():
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
