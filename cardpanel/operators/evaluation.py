@@ -160,12 +160,6 @@ def class_weights(df: DataFrame, label: str = "default_next_month") -> DataFrame
                     (n0 / n1).alias("imbalance_ratio"))
 
 
-def with_class_weight(df: DataFrame, label: str = "default_next_month", col: str = "weight") -> DataFrame:
-    """Attach the balanced weight (a two-row table: broadcast is size-safe)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(col))
-    return df.join(F.broadcast(w), label)
-
-
 def score_distribution(scores: DataFrame, edges: list[float] | None = None, score: str = "risk_score",
                        label: str = "default_next_month", key: str = "customer_id") -> DataFrame:
     """Accounts and defaults in right-closed score bins (lowest edge included);

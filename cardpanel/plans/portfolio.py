@@ -51,9 +51,15 @@ def _stored(customers: DataFrame, panel_of: Callable[[DataFrame], DataFrame], pa
     buckets = partitions_for(spark, paths)
     customers = store_table(customers.repartition(buckets, "customer_id"), "customers", ["customer_id"], ["customer_id"], buckets)
     panel = panel_of(customers)
-    if not hashed or int(spark.conf.get("spark.sql.shuffle.partitions")) != buckets:
+    if not hashed:
         panel = panel.repartition(buckets, "customer_id")
-    panel = store_table(panel, "monthly_payments", ["customer_id"], ["customer_id", "month_number"], buckets)
+    # planned with as many shuffle partitions as buckets, the aggregation's own shuffle deals the rows to them
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    try:
+        panel = store_table(panel, "monthly_payments", ["customer_id"], ["customer_id", "month_number"], buckets)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return Portfolio(customers, panel, outcomes_of(panel))
 
 

@@ -37,7 +37,7 @@ def main() -> None:
     from cardpanel.session import build_session
     spark = build_session("local[8]", 8)
     skip = {"train_logistic", "logistic_attributions", "train_gbt", "train_gbt_smote", "score_portfolio",
-            "model_metrics", "tree_attributions", "tree_top_drivers", "smote"}
+            "model_metrics", "tree_attributions", "tree_top_drivers", "train_gbt_smote_in_folds", "logistic_newton", "logistic_coefficients"}
     print("| query | hash exch | range exch | single-part exch | SMJ | BHJ | nested loop | scans | pushed | pandas |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, q in REGISTRY.items():
