@@ -283,8 +283,9 @@ def one_of_each(documents: DataFrame, k: int = 5, threshold: float = 0.8) -> Dat
     first = found.filter("row = first_row").select(F.col("row").alias("_row")).distinct()
 
     def kept(rows: DataFrame) -> DataFrame:
-        mine = rows.withColumn("_row", F.xxhash64("doc_id", "text")).join(first, "_row", "left_semi")
-        # repeated rows: the one whose other columns hash least
-        return mine.groupBy("_row").agg(F.min_by(F.struct("doc_id", "text", "_others"), F.xxhash64("_others")).alias("_r")).select("_r.*")
+        named = rows.withColumn("_row", F.xxhash64("doc_id", "text")).withColumn("_rest", F.xxhash64("_others"))
+        # repeated rows: those whose other columns hash least, decided on hashes alone
+        chosen = named.select("_row", "_rest").join(first, "_row", "left_semi").groupBy("_row").agg(F.min("_rest").alias("_rest"))
+        return named.join(chosen, ["_row", "_rest"], "left_semi").dropDuplicates(["_row", "_rest"])
 
     return apart(documents, kept)
