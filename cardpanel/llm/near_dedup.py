@@ -278,14 +278,12 @@ def near_duplicates(documents: DataFrame, k: int = 5, threshold: float = 0.8) ->
 
 def one_of_each(documents: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
     """``documents`` with one row of each group of near duplicates (documents
-    without words all stay, but for repeated rows), all columns kept."""
+    without words all stay, but for repeated rows), all columns kept.  Of rows with
+    equal id and text any one stays."""
     found = near_duplicates(documents, k, threshold)
     first = found.filter("row = first_row").select(F.col("row").alias("_row")).distinct()
 
     def kept(rows: DataFrame) -> DataFrame:
-        named = rows.withColumn("_row", F.xxhash64("doc_id", "text")).withColumn("_rest", F.xxhash64("_others"))
-        # repeated rows: those whose other columns hash least, decided on hashes alone
-        chosen = named.select("_row", "_rest").join(first, "_row", "left_semi").groupBy("_row").agg(F.min("_rest").alias("_rest"))
-        return named.join(chosen, ["_row", "_rest"], "left_semi").dropDuplicates(["_row", "_rest"])
+        return rows.withColumn("_row", F.xxhash64("doc_id", "text")).join(first, "_row", "left_semi").dropDuplicates(["_row"])
 
     return apart(documents, kept)

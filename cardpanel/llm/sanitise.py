@@ -230,10 +230,10 @@ def sanitised(documents: DataFrame, generalise: float = GENERALISE, remove: floa
         return pd.Series([t if s is None or t is None else replaced(t, [(x["start"], x["kind"], x["end"]) for x in s]) for t, s in zip(text, items, strict=True)])
 
     def work(documents: DataFrame) -> DataFrame:
+        kept = [F.col(f"`{c}`") for c in documents.columns]
         rows = documents.withColumn("_row", F.xxhash64("doc_id", "text")).withColumn("_maybe", maybe("_row"))
         met = rows.filter("_maybe").join(all_spans.toDF("_row", "_spans"), "_row", "left")
         met = met.withColumn("text", new(F.col("text").cast("string"), "_spans"))
-        kept = ["doc_id", "text", "_others"]
         return rows.filter("not _maybe").select(*kept).unionByName(met.select(*kept))
 
     return apart(documents, work)

@@ -38,12 +38,16 @@ def fold_of(col: str, mod: int) -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string")) % mod, F.lit(-1)).cast("int")
 
 
-def apart(documents: DataFrame, work: Callable[[DataFrame], DataFrame], used: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
-    """``work`` on the ``used`` columns, with all others packed into one, so that no
-    name of theirs meets a working column; unpacked afterwards, in their order."""
-    others = [c for c in documents.columns if c not in used]
-    rows = documents.select(*used, F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others") if others else F.lit(None).cast("string").alias("_others"))
-    return work(rows).select(*[F.col(c) if c in used else F.col("_others").getField(c).alias(c) for c in documents.columns])
+def apart(documents: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work``, whose own columns all begin with an underscore, on ``documents``; columns
+    whose names do so, too, are packed into one meanwhile, so that none meets another.
+    The result has the columns of ``documents``."""
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    hidden = [c for c in documents.columns if c.startswith("_")]
+    if not hidden:
+        return work(documents).select(*quoted(documents.columns))
+    rows = documents.select(*quoted([c for c in documents.columns if c not in hidden]), F.struct(*quoted(hidden)).alias("_others"))
+    return work(rows).select(*[F.col("_others").getField(c).alias(c) if c in hidden else F.col(f"`{c}`") for c in documents.columns])
 
 
 def about(df: DataFrame, key: str, n: int, salt: str) -> DataFrame:
