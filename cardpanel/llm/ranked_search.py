@@ -168,7 +168,7 @@ class Shard(NamedTuple):
     first: np.ndarray  # blocks of list j are first[j]:first[j + 1]
     block: np.ndarray  # documents of block b are docs[block[b]:block[b + 1]]
     docs: np.ndarray
-    summary: np.ndarray  # list after list: blocks x near terms, 32-bit
+    summary: np.ndarray  # list after list: blocks x near terms that occur here, 32-bit
 
     #: Types of all but the ids.
     TYPES = (np.int32, np.int32, np.int64, np.int32, np.int32, np.int32, np.int32, np.float32)
@@ -191,29 +191,36 @@ def build(doc_id: pa.Array, n: np.ndarray, ends: np.ndarray, term: np.ndarray, t
     table[np.searchsorted(used, term), rows] = impact
     sketch = table.T @ np.random.default_rng(20240613).standard_normal((len(s.weight), SKETCH))[used]
     sketch /= np.maximum(np.linalg.norm(sketch, axis=1, keepdims=True), 1e-300)
+    place = np.full(len(s.weight), -1, np.int32)
+    place[used] = np.arange(len(used))
     first, block, docs, summary = [0], [0], [], []
     for t in used:
-        d = np.flatnonzero(table[np.searchsorted(used, t)])
+        d = np.flatnonzero(table[place[t]])
         of = clustered(sketch[d], BLOCK)
         d = d[np.argsort(of, kind="stable")]
         size = np.bincount(of)
         size = size[size > 0]
         begin = np.cumsum(size) - size
-        at = np.searchsorted(used, near[t])
-        there = np.flatnonzero((at < len(used)) & (used[np.minimum(at, len(used) - 1)] == near[t]))
-        most = np.zeros((len(size), len(near[t])), np.float32)
-        most[:, there] = up(np.maximum.reduceat(table[at[there]][:, d], begin, axis=1).T)
+        at = place[near[t]]
+        summary.append(up(np.maximum.reduceat(table[np.ix_(at[at >= 0], d)], begin, axis=1).T).ravel())
         block.extend(block[-1] + size.cumsum())
         first.append(len(block) - 1)
-        docs.append(d)
-        summary.append(most.ravel())
-    flat = lambda x: np.concatenate(x) if x else np.empty(0)
-    return Shard(doc_id, ends, term, impact, used, np.array(first), np.array(block), flat(docs), flat(summary))
+        docs.append(d.astype(np.int32))
+    flat = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
+    return Shard(doc_id, ends, term, impact, used, np.array(first), np.array(block), flat(docs, np.int32), flat(summary, np.float32))
 
 
+#: A writer's buffer is looked at after every row and written at some MB, not after a hundred rows of some MB each.
+FEW_LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.size": str(8 << 20), "parquet.enable.dictionary": "false"}
 SHARD_SCHEMA = "shard long, doc_id array<long>, " + ", ".join(f"{c} binary" for c in Shard._fields[1:])
 
 
+def _blob(x: np.ndarray, kind: type) -> pa.Array:
+    """An array of one value, the bytes of ``x``, which are not copied."""
+    x = np.ascontiguousarray(x, kind)
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, x.nbytes], np.int32)), pa.py_buffer(x)])
+
+
 def _index(vectors: DataFrame, s: Statistics, batch: Broadcast) -> DataFrame:
     """One row per shard."""
     size = max(64, min(SHARD, CELLS // max(len(s.weight), 1)))
@@ -225,13 +232,14 @@ def _index(vectors: DataFrame, s: Statistics, batch: Broadcast) -> DataFrame:
                 part = rows.slice(lo, size)
                 term, tf = (part.column(i).flatten().to_numpy() for i in (2, 3))
                 ends = np.concatenate([[0], np.cumsum(np.asarray(part.column(2).value_lengths()))])
-                made = build(part.column(0), part.column(1).to_numpy(), ends, term, tf, s, near)
                 ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), pa.concat_arrays([part.column(0)]))
-                blobs = [pa.array([x.astype(t).tobytes()], pa.binary()) for x, t in zip(made[1:], Shard.TYPES, strict=True)]
+                blobs = [_blob(x, t) for x, t in zip(build(part.column(0), part.column(1).to_numpy(), ends, term, tf, s, near)[1:], Shard.TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), ids, *blobs], ["shard", "doc_id", *Shard._fields[1:]])
+                del blobs
 
     rows = vectors.filter(F.size("terms") > 0).select("doc_id", "n", "terms", "tf")
-    return stored(rows.mapInArrow(run, SHARD_SCHEMA).withColumn("shard", F.xxhash64("doc_id")), "search-index")
+    made = rows.mapInArrow(run, SHARD_SCHEMA).withColumn("shard", F.xxhash64("doc_id"))
+    return stored(made, "search-index", options=FEW_LARGE_ROWS)
 
 
 def best(score: np.ndarray, doc_id: pa.Array, at: np.ndarray, k: int) -> np.ndarray:
@@ -281,14 +289,17 @@ class Lists:
     """Access to the lists of a shard."""
 
     def __init__(self, x: Shard, near: list[np.ndarray]):
-        self.x, self.near = x, near
+        held = np.zeros(len(near), bool)
+        held[x.lists] = True
+        #: The near terms of each list that occur here.
+        self.x, self.near = x, {t: near[t][held[near[t]]] for t in x.lists.tolist()}
         self.at = np.full(len(near), -1)
         self.at[x.lists] = np.arange(len(x.lists))
-        width = np.array([len(near[t]) for t in x.lists], np.int64)
+        width = np.array([len(n) for n in self.near.values()], np.int64)
         self.begin = np.concatenate([[0], np.cumsum(np.diff(x.first) * width)]).astype(np.int64)
         self.wanted = np.zeros(len(near), bool)
         #: The greatest impact of each list.
-        own = [np.searchsorted(near[t], t) for t in x.lists]
+        own = [np.searchsorted(n, t) for t, n in self.near.items()]
         self.top = np.array([float(self.summary(i)[:, c].max()) for i, c in enumerate(own)])
 
     def summary(self, i: int) -> np.ndarray:
@@ -310,7 +321,7 @@ def _search(index: DataFrame, batch: Broadcast, least: list[int], k: int) -> Dat
         for rows in batches:
             for r in range(rows.num_rows):
                 ids = rows.column(1)[r].values
-                x = Shard(ids, *(np.frombuffer(rows.column(c + 2)[r].as_py(), t) for c, t in enumerate(Shard.TYPES)))
+                x = Shard(ids, *(np.frombuffer(rows.column(c + 2)[r].as_buffer(), t) for c, t in enumerate(Shard.TYPES)))
                 if not len(x.lists):
                     continue
                 lists, item, docs, scores = Lists(x, near), [], [], []

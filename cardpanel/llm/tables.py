@@ -18,13 +18,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, tag: str, by: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared checkpoint folder and read
     it back: later steps (and recomputation after a lost executor) start there.
-    With ``by``, a filter on that column reads its rows' files alone."""
+    With ``by``, a filter on that column reads its rows' files alone; ``options``
+    are those of the writer."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{tag}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    writer = df.write.options(**(options or {}))
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -146,3 +146,16 @@ def test_odd_documents(spark):
     assert got.columns == ["item_id", "rank", "doc_id", "score"]
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, [(r.item_id, r.text) for r in items.collect()])
     assert R.ranked(docs.limit(0), items).count() == 0 and R.ranked(docs, items.limit(0)).count() == 0
+
+
+def test_summaries_leave_out_terms_that_no_document_of_the_shard_has():
+    near = [np.arange(80, dtype=np.int32) for _ in range(80)]  # all terms share an item
+    term, ends = np.array([3, 7, 9, 3, 9, 3]), np.array([0, 3, 5, 6])
+    s = R.Statistics(1000, 100_000, np.full(80, 5000))
+    x = R.build(pa.array([1, 2, 3]), np.array([3, 2, 1]), ends, term, np.ones(6, np.int32), s, near)
+    lists = R.Lists(x, near)
+    assert len(x.summary) == 3 * 3 and all(n.tolist() == [3, 7, 9] for n in lists.near.values())
+    docs, scores = R.visit(x, lists, np.array([3, 9, 50], np.int32), 1, 10)
+    table = np.zeros((3, 80), np.int64)
+    table[np.repeat(np.arange(3), np.diff(x.ends)), x.term] = x.impact
+    assert dict(zip(docs.tolist(), scores.tolist())) == dict(enumerate(table[:, [3, 9, 50]].sum(1).tolist()))
