@@ -275,9 +275,9 @@ def train_gbt(train: DataFrame, label: str = "default_next_month", names=FEATURE
     and validates on the untouched original rows of the held-out fold; its
     weights follow the resampled classes.
 
-    With a ``store`` every score is written as it is found and the model at the
-    end: a search that was stopped goes on where it was, and a finished one
-    trains nothing."""
+    ``parallelism`` fits grow together (default: all).  With a ``store`` their scores
+    are written when they are through, and the model at the end: a search that was
+    stopped goes on behind its last finished group, and a finished one trains nothing."""
     grid = grid or DEFAULT_GRID
     if done := Trained.stored(store):
         return done
