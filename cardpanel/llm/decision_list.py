@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardpanel.llm.tables import about, apart
+from cardpanel.llm.tables import about, apart, small_batches
 from cardpanel.llm.tokens import SPACES, windows, word_slices
 
 SAMPLE, QUANTILES, CONDITIONS, RULES = 20_000, 64, 4, 12
@@ -100,6 +100,7 @@ def statistics(col: pa.Array) -> dict[str, np.ndarray]:
 
 def with_statistics(documents: DataFrame) -> DataFrame:
     """``documents`` with its statistics in ``_llm_`` columns; adds no shuffle."""
+    small_batches(documents.sparkSession)
     names = documents.columns
     types = ", ".join(f"{PREFIX}{k} {'bigint' if k in BASE else 'double'}" for k in [*BASE, *FEATURES[1:]])
     at = names.index("text")

@@ -425,6 +425,25 @@ def scores(documents: DataFrame, held_out: Column) -> DataFrame:
                       (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))
 
 
+def gathered(batches: Iterable[pa.RecordBatch], rows: int = 10_000, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches joined up to ``rows`` rows or ``size`` bytes, so that the lanes
+    are full in a session whose batches are small, too; one that has as many passes as it is."""
+    for full in _groups(batches, rows, size):
+        yield full[0] if len(full) == 1 else pa.Table.from_batches(full).combine_chunks().to_batches()[0]
+
+
+def _groups(batches: Iterable[pa.RecordBatch], rows: int, size: int) -> Iterator[list[pa.RecordBatch]]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def _scored(rows: DataFrame, vocabulary: Vocabulary, network: Network, head_hash: np.ndarray, head_count: np.ndarray, n_docs: int, denominator: int, share: float) -> DataFrame:
     order = np.argsort(head_hash)
     shared = rows.sparkSession.sparkContext.broadcast(
@@ -435,9 +454,7 @@ def _scored(rows: DataFrame, vocabulary: Vocabulary, network: Network, head_hash
         v, net = Vocabulary(words), Network(size, params=params)
         worth = np.log10((count + 1) / denominator)
         end = np.log10((n_docs + 1) / denominator)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches):
             docs, other, base, seen, rare = [], [], [], [], []
             for _, _, w in word_slices(batch.column(2), fold=LOWER):
                 ids, doc = v.ids(w.hash), w.doc()

@@ -30,6 +30,19 @@ def stored(df: DataFrame, tag: str, by: str | None = None, options: dict[str, st
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch of whole texts.  A task holds a batch several times over, in Spark and in Python.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about ``BATCH_BYTES``, however many rows that is
+    (a smaller limit stays).  Each batch holds whole rows, so results do not change."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def text_of(col: str = "text") -> Column:
     """The text with null read as empty."""
     return F.coalesce(F.col(col), F.lit(""))

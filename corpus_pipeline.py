@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardpanel.llm import decision_list, decontaminate, mixing, near_dedup, sanitise
-from cardpanel.llm.tables import read, stored
+from cardpanel.llm.tables import read, small_batches, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,22 +25,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at similarity 0.8 or more."""
+    small_batches(spark)
     return near_dedup.one_of_each(docs, k=5, threshold=0.8)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words are benchmark windows."""
+    small_batches(spark)
     return decontaminate.clean_documents(docs, read(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal values and the terms that disclose them replaced."""
+    small_batches(spark)
     out = sanitise.sanitised(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
+    small_batches(spark)
     return mixing.mix_sources(docs)
 
 

@@ -7,6 +7,15 @@ from cardpanel.llm import gru, gru_lm as G, language as L
 from .odd import lower, odd_documents, words
 
 
+def test_small_batches_are_scored_together():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(range(a, b)), pa.int64())], ["x"]) for a, b in ((0, 3), (3, 3), (3, 5), (5, 12), (12, 13))]
+    got = list(G.gathered(batches, rows=5))
+    assert [b.column(0).to_pylist() for b in got] == [[0, 1, 2, 3, 4], [5, 6, 7, 8, 9, 10, 11], [12]]
+    assert got[1] is batches[3] and not list(G.gathered([])) and len(list(G.gathered(batches, size=1))) == 4
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in gru.init(5, 3, rng).items()}

@@ -4,7 +4,7 @@ import os
 import sys
 
 from cardpanel.llm.queries import QUERIES, SQL
-from cardpanel.llm.tables import read
+from cardpanel.llm.tables import BATCH_BYTES, read
 
 from .test_decontaminate import brute as contamination
 from .test_near_dedup import brute as groups
@@ -62,6 +62,29 @@ def test_run_returns_the_last_stage(spark):
     assert got.columns == ["doc_id", "size", "source_size", "target", "taken"] and got.count() > 50
 
 
+def test_texts_go_to_python_in_small_batches(spark):
+    """A batch of many or long texts is bounded by its bytes, whatever stage comes first."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a word "), 300).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["bytes", "rows"])
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        stage(spark, read(spark, SF, "documents"), SF)
+        got = docs.mapInArrow(sizes, "bytes long, rows long").collect()
+        assert sum(r.rows for r in got) == 4000 and max(r.bytes for r in got) < 2 * BATCH_BYTES
+    spark.conf.set(key, "1000")
+    corpus_pipeline.quality_rules(spark, read(spark, SF, "documents"), SF)
+    assert spark.conf.get(key).removesuffix("b") == "1000"
+    spark.conf.unset(key)
+
+
 def test_queries_equal_sql(spark):
     import duckdb
 
