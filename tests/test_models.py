@@ -150,6 +150,44 @@ def test_bucket_knn_recall(spark, name):
     assert nb.recall(found, exact) >= 0.9
 
 
+def test_nearest_of_a_group_equal_brute_force():
+    """Equal distances go by id; large offsets, repeated ids and members that are not finite do no harm."""
+    from cardpanel.operators import neighbors as nb
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        n = int(rng.integers(2, 80))
+        x = rng.integers(0, 3, (n, 3)) * 10.0 ** rng.integers(-3, 6) + (0.0, 1e8)[trial % 2]
+        if trial % 3 == 0:
+            x = x + rng.normal(size=x.shape)
+        ids = rng.integers(0, 40, n).astype(float) if trial % 4 == 0 else rng.permutation(n).astype(float)
+        mem = rng.permutation(n)[: max(1, n // 2)]
+        if trial % 5 == 0:
+            x[mem[0], 0] = np.nan
+        want = []
+        for i in range(n):
+            d2 = np.zeros(len(mem))
+            for f in range(3):
+                d2 += (x[i, f] - x[mem, f]) ** 2
+            near = sorted((d, j) for d, j in zip(d2, ids[mem]) if np.isfinite(d) and j != ids[i])[:5]
+            want += [(ids[i], j, np.sqrt(d)) for d, j in near]
+        assert list(zip(*(v.tolist() for v in nb._topk(x, x[mem], 5, ids, ids[mem])))) == want, trial
+
+
+def test_radius_of_the_exact_search_asks_few_buckets(spark, monkeypatch):
+    from cardpanel.operators import neighbors as nb
+    x, asked, whole = _clouds()["even"], [], nb._in_parts
+    df, names = _frame_of(spark, x)
+
+    def counted(members, askers, keys, *rest):
+        if keys == ["__tree", "__leaf"]:
+            asked.append(askers.count())
+        return whole(members, askers, keys, *rest)
+
+    monkeypatch.setattr(nb, "_in_parts", counted)
+    exact = nb.exact_knn(df, "id", names, 5, block_size=128)
+    assert exact.count() == 5 * len(x) and asked == [9 * len(x)]
+
+
 def test_box_tree_finds_what_all_boxes_do():
     from cardpanel.operators import neighbors as nb
     rng = np.random.default_rng(2)
