@@ -32,15 +32,19 @@ def stored(df: DataFrame, tag: str, by: str | None = None, options: dict[str, st
 
 #: Bytes of an Arrow batch of whole texts.  A task holds a batch several times over, in Spark and in Python.
 BATCH_BYTES = 2 << 20
+#: Rows that Spark's Parquet reader decodes at a time.  Its buffer of 4096 whole texts is an
+#: array of many MB, made anew for each file, for which the heap grows.
+READER_ROWS = 256
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows go to Python in batches of about ``BATCH_BYTES``, however many rows that is
-    (a smaller limit stays).  Each batch holds whole rows, so results do not change."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key).removesuffix("b")
-    if not now.isdigit() or int(now) > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    """Rows are read in batches of ``READER_ROWS`` and go to Python in batches of about
+    ``BATCH_BYTES``, however many rows that is (smaller limits stay).  Each batch holds
+    whole rows, so results do not change."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.parquet.columnarReaderBatchSize", READER_ROWS)):
+        now = spark.conf.get(key).removesuffix("b")
+        if not now.isdigit() or int(now) > most:
+            spark.conf.set(key, str(most))
 
 
 def text_of(col: str = "text") -> Column:

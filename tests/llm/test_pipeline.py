@@ -85,6 +85,24 @@ def test_texts_go_to_python_in_small_batches(spark):
     spark.conf.unset(key)
 
 
+def test_texts_are_read_in_small_batches(spark, tmp_path):
+    """The Parquet reader's buffers stay small, whatever stage comes first; all rows are read."""
+    from pyspark.sql import functions as F
+
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.col("id").cast("string"), 50).alias("text")).write.parquet(f"{tmp_path}/t")
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        stage(spark, read(spark, SF, "documents"), SF)
+        assert int(spark.conf.get(key)) <= 256
+        rows = spark.read.parquet(f"{tmp_path}/t").collect()
+        assert sorted(r.doc_id for r in rows) == list(range(3000)) and all(r.text == str(r.doc_id) * 50 for r in rows)
+    spark.conf.set(key, "100")
+    corpus_pipeline.quality_rules(spark, read(spark, SF, "documents"), SF)
+    assert spark.conf.get(key) == "100"
+    spark.conf.unset(key)
+
+
 def test_queries_equal_sql(spark):
     import duckdb
 
