@@ -68,20 +68,28 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _gates(m: np.ndarray, k: int) -> list[np.ndarray]:
+    """Columns of the three gates, each contiguous."""
+    return [np.ascontiguousarray(m[:, i * k : (i + 1) * k]) for i in range(3)]
+
+
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, h: np.ndarray, reset: np.ndarray | None = None) -> tuple[np.ndarray, list]:
     """(states after every step, what backpropagation needs)."""
-    k, states, cache = h.shape[1], np.empty((*ids.shape, h.shape[1]), F32), []
+    k, states, cache, h = h.shape[1], np.empty((*ids.shape, h.shape[1]), F32), [], h.copy()
+    (xz, xr, xn), (uz, ur, un) = _gates(p["X"], k), _gates(p["U"], k)
     for t in range(len(ids)):
         if reset is not None:
-            h = h * ~reset[t][:, None]
-        g, x = h @ p["U"], p["X"][ids[t]]
-        zr = _sigmoid(x[:, : 2 * k] + g[:, : 2 * k])
-        gn, n = g[:, 2 * k :], zr[:, k:] * g[:, 2 * k :]
-        n += x[:, 2 * k :]
+            h[reset[t]] = 0
+        z, r, gn = h @ uz, h @ ur, h @ un
+        z += xz.take(ids[t], 0, mode="clip")
+        r += xr.take(ids[t], 0, mode="clip")
+        _sigmoid(z)
+        n = _sigmoid(r) * gn
+        n += xn.take(ids[t], 0, mode="clip")
         np.tanh(n, out=n)
-        cache.append((h, zr, gn, n))
+        cache.append((h, z, r, gn, n))
         h = h - n
-        h *= zr[:, :k]
+        h *= z
         h += n
         states[t] = h
     return states, cache
@@ -93,24 +101,31 @@ def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: list, dstates: np
     k = p["U"].shape[0]
     dx, dg = np.empty((*ids.shape, 3 * k), F32), np.empty((*ids.shape, 3 * k), F32)
     before, dh = np.empty((*ids.shape, k), F32), np.zeros((ids.shape[1], k), F32)
+    d, e, f = (np.empty(dh.shape, F32) for _ in range(3))
     for t in range(len(ids) - 1, -1, -1):
-        h, zr, gn, n = cache[t]
-        z, r = zr[:, :k], zr[:, k:]
-        before[t], rest = h, 1 - zr
+        h, z, r, gn, n = cache[t]
+        before[t] = h
         dh += dstates[t]
-        d = dx[t]
-        np.multiply(dh, rest[:, :k], out=d[:, 2 * k :])
-        d[:, 2 * k :] *= 1 - n * n
-        rest *= zr
-        np.multiply(h - n, dh, out=d[:, :k])
-        np.multiply(d[:, 2 * k :], gn, out=d[:, k : 2 * k])
-        d[:, : 2 * k] *= rest
-        dg[t] = d
-        dg[t][:, 2 * k :] *= r
+        np.subtract(1, z, out=e)
+        np.multiply(dh, e, out=d)
+        e *= z
+        np.subtract(h, n, out=f)
+        f *= dh
+        np.multiply(f, e, out=dx[t][:, :k])
+        np.multiply(n, n, out=f)
+        np.subtract(1, f, out=f)
+        d *= f  # of the candidate
+        dx[t][:, 2 * k :] = d
+        np.subtract(1, r, out=e)
+        e *= r
+        np.multiply(d, gn, out=f)
+        np.multiply(f, e, out=dx[t][:, k : 2 * k])
+        dg[t][:, : 2 * k] = dx[t][:, : 2 * k]
+        np.multiply(d, r, out=dg[t][:, 2 * k :])
         dh *= z
         dh += dg[t] @ p["U"].T
         if reset is not None:
-            dh *= ~reset[t][:, None]
+            dh[reset[t]] = 0
     table = np.zeros_like(p["X"])
     add(table, ids.ravel(), dx.reshape(-1, 3 * k))
     return {"X": table, "U": before.reshape(-1, k).T @ dg.reshape(-1, 3 * k)}
@@ -122,24 +137,27 @@ class Adam:
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
 
-    def update(self, grads: dict[str, np.ndarray], scale: float = 1.0) -> None:
+    def update(self, grads: dict[str, np.ndarray], scale: float = 1.0, share: float = 1.0) -> None:
+        """One step; gradients count by ``share``."""
         self.t += 1
-        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
-        cut = min(1.0, 5.0 / (norm + 1e-9))  # gradient clipping
+        norm = share * np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
+        cut = share * min(1.0, 5.0 / (norm + 1e-9))  # gradient clipping
         a, b = 1 - 0.9**self.t, 1 - 0.999**self.t
         step = F32(self.rate * scale / a)
         for k, g in grads.items():
-            g = g * F32(cut)
-            m, v = self.m[k], self.v[k]
-            m *= F32(0.9)
-            m += F32(0.1) * g
-            g *= g
-            g *= F32(0.001)
-            v *= F32(0.999)
-            v += g
-            np.multiply(v, F32(1 / b), out=g)
-            np.sqrt(g, out=g)
-            g += F32(1e-8)
-            np.divide(m, g, out=g)
-            g *= step
-            self.params[k] -= g
+            every = [x.reshape(-1) for x in (g, self.m[k], self.v[k], self.params[k])]
+            for i in range(0, g.size, 1 << 15):  # what a core's cache holds
+                g, m, v, x = (y[i : i + (1 << 15)] for y in every)
+                g = g * F32(cut)
+                m *= F32(0.9)
+                m += F32(0.1) * g
+                g *= g
+                g *= F32(0.001)
+                v *= F32(0.999)
+                v += g
+                np.multiply(v, F32(1 / b), out=g)
+                np.sqrt(g, out=g)
+                g += F32(1e-8)
+                np.divide(m, g, out=g)
+                g *= step
+                x -= g

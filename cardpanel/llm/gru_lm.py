@@ -47,6 +47,8 @@ VOCABULARY, CLASSES, HIDDEN, HEAD = 4094, 64, 24, 1 << 18
 ROUNDS, PIECE = 8, 1 << 14
 LANES, WINDOW = 512, 32
 TRAIN_LANES, UPDATES, RATE = 64, 500, 0.01
+#: Rows of logits at a time; rows of a symbol that are added one by one.
+BLOCK, FEW = 1024, 16
 U, F32 = np.uint64, np.float32
 #: Kinds of counts: words, words in all, documents.
 WORD, WORDS, DOCUMENTS = range(3)
@@ -124,14 +126,17 @@ class Network:
         return min(self.each, self.size - k * self.each)
 
     @staticmethod
-    def _log_chance(x: np.ndarray, at: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(natural log chance of ``at`` in each row of logits, their exponentials, in place, and sums)."""
+    def _log_chance(x: np.ndarray, at: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(natural log chance of ``at`` in each row of logits, their exponentials, in
+        place, their sums, and the flat places of ``at``)."""
         if wide:
             x -= x.max(1, keepdims=True)
-        picked = x[np.arange(len(x)), at]
+        place = np.arange(0, x.size, x.shape[1])
+        place += at
+        picked = x.reshape(-1)[place]
         np.exp(x, out=x)
-        total = x.sum(1)
-        return picked - np.log(total), x, total
+        total = x @ (_ONES[: x.shape[1]] if x.dtype == F32 and x.shape[1] <= len(_ONES) else np.ones(x.shape[1], x.dtype))
+        return picked - np.log(total), x, total, place
 
     def _by_class(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """States (with a one for the bias) and ids in order of class, classes, their edges, the order."""
@@ -146,10 +151,12 @@ class Network:
         """Natural log chance of each id in its state."""
         first, words, wide = self._tables()
         h, ids, k, edges, order = self._by_class(h, ids)
-        found = self._log_chance(h @ first, k, wide)[0]
+        found = np.empty(len(ids), h.dtype)
+        for on in _blocks(0, len(ids)):
+            found[on] = self._log_chance(h[on] @ first, k[on], wide)[0]
         for c in np.flatnonzero(np.diff(edges)):
-            on = slice(edges[c], edges[c + 1])
-            found[on] += self._log_chance(h[on] @ words[c][:, : self._word_count(c)], ids[on] - c * self.each, wide)[0]
+            for on in _blocks(edges[c], edges[c + 1]):
+                found[on] += self._log_chance(h[on] @ words[c][:, : self._word_count(c)], ids[on] - c * self.each, wide)[0]
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -160,21 +167,28 @@ class Network:
         h, ids, k, edges, order = self._by_class(h, ids)
         n, scale = len(ids), h.dtype.type(1 / len(ids))
 
-        def step(x, at, weights):
+        def step(h, at, weights, back):
             """Loss, gradient of the states and of the weights of one softmax."""
-            logp, d, total = self._log_chance(x, at, wide)
+            logp, d, total, place = self._log_chance(h @ weights, at, wide)
             d *= np.reciprocal(total)[:, None]
-            d[np.arange(len(at)), at] -= 1
-            return -float(logp.sum(dtype=float)), d @ weights[:-1].T, d
+            d.reshape(-1)[place] -= 1
+            return -float(logp.sum(dtype=float)), d @ back, h.T @ d
 
-        loss, dh, d = step(h @ first, k, first)
-        first_grad, word_grad = h.T @ d, np.zeros_like(words)
-        for c in np.flatnonzero(np.diff(edges)):
-            on, m = slice(edges[c], edges[c + 1]), self._word_count(c)
-            more, back, d = step(h[on] @ words[c][:, :m], ids[on] - c * self.each, words[c][:, :m])
+        loss, dh, first_grad, word_grad = 0.0, np.empty((n, self.hidden), h.dtype), np.zeros_like(first), np.zeros_like(words)
+        back = np.ascontiguousarray(first[:-1].T)
+        for on in _blocks(0, n):
+            more, dh[on], grad = step(h[on], k[on], first, back)
             loss += more
-            dh[on] += back
-            word_grad[c][:, :m] = h[on].T @ d
+            first_grad += grad
+        for c in np.flatnonzero(np.diff(edges)):
+            m = self._word_count(c)
+            weights = words[c][:, :m]
+            back = np.ascontiguousarray(weights[:-1].T)
+            for on in _blocks(edges[c], edges[c + 1]):
+                more, d, grad = step(h[on], ids[on] - c * self.each, weights, back)
+                loss += more
+                dh[on] += d
+                word_grad[c][:, :m] += grad
         back = np.empty_like(dh)
         back[order] = dh
         back *= scale
@@ -197,14 +211,17 @@ class Network:
         losses, h = [], np.zeros((lanes, self.hidden), F32)
         for u, (inp, out, live) in enumerate(streamed(docs, self.size, lanes)):
             h, reset, known = h[live], inp == self.size, inp >= 0
-            states, cache = gru.forward(self.p, np.maximum(inp, 0), h, reset)
+            inp = np.maximum(inp, 0)
+            states, cache = gru.forward(self.p, inp, h, reset)
             flat, on = states.reshape(-1, self.hidden), known.ravel()
-            loss, dflat, grads = self.gradients(flat[on], out.ravel()[on])
-            dstates = np.zeros_like(flat)
-            dstates[on] = dflat
-            grads |= gru.backward(self.p, np.maximum(inp, 0), cache, dstates.reshape(states.shape), reset, added)
-            share = F32(on.sum() / (lanes * WINDOW))
-            adam.update({k: g * share for k, g in grads.items()}, 1.0 if u < late else 0.3)
+            if on.all():
+                loss, dstates, grads = self.gradients(flat, out.ravel())
+            else:
+                loss, dflat, grads = self.gradients(flat[on], out.ravel()[on])
+                dstates = np.zeros_like(flat)
+                dstates[on] = dflat
+            grads |= gru.backward(self.p, inp, cache, dstates.reshape(states.shape), reset, added)
+            adam.update(grads, 1.0 if u < late else 0.3, float(on.sum() / (lanes * WINDOW)))
             losses.append(loss)
             h = states[-1]
         return losses
@@ -224,16 +241,38 @@ class Network:
                 run.step(np.maximum(ids[t], 0), h)
                 states[t] = h
             on = (ids >= 0).ravel()
+            on = slice(None) if on.all() else on
             logp = self.log_chances(states.reshape(-1, self.hidden)[on], out[w, :live].ravel()[on])
             scores += np.bincount(owner[w, :live].ravel()[on], logp, minlength=len(docs))
         return scores
 
 
+_ONES = np.ones(1 << 10, F32)
+
+
+def _blocks(lo: int, hi: int) -> Iterator[slice]:
+    """Rows ``lo`` to ``hi`` in slices whose logits stay in a core's cache."""
+    for i in range(lo, hi, BLOCK):
+        yield slice(i, min(i + BLOCK, hi))
+
+
 def added(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Adds each of ``rows`` to its row of ``table`` (numpy's add.at, by sorting)."""
+    at = at.astype(np.uint16) if len(table) <= 1 << 16 else at
     order = np.argsort(at, kind="stable")
-    to, first = np.unique(at[order], return_index=True)
-    table[to] += np.add.reduceat(rows[order], first)
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    to = at[first]
+    count = np.diff(np.append(first, len(at)))
+    for i in np.flatnonzero(count > FEW):  # frequent symbols: a product with ones
+        own = order[first[i] : first[i] + count[i]]
+        table[to[i]] += np.ones(len(own), rows.dtype) @ rows[own]
+    few = count <= FEW
+    to, first, count = to[few], first[few], count[few]
+    for j in range(int(count.max(initial=0))):  # the others' first rows, second rows, ...
+        left = count > j
+        to, first, count = to[left], first[left], count[left]
+        table[to] += rows[order[first + j]]
 
 
 def streamed(docs: Iterable[np.ndarray], start: int, lanes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -241,21 +280,26 @@ def streamed(docs: Iterable[np.ndarray], start: int, lanes: int) -> Iterator[tup
     lane): a lane takes the next document where its last one ends, so no more than
     one document a lane is held; -1 beyond the last, and lanes that are through leave."""
     docs, none = iter(docs), np.empty(0, np.int32)
-    held = [(none, none)] * lanes
+    held = [(none, 0, 0)] * lanes  # a text between its start and its end, the places taken and in all
+    first, last = np.array([start], np.int32), np.ones(1, np.int32)
     while held:
         inp, out = (np.full((len(held), WINDOW), -1, np.int32) for _ in range(2))
-        for i, (a, b) in enumerate(held):
+        for i, (a, done, size) in enumerate(held):
+            if done + WINDOW <= size:
+                inp[i], out[i] = a[done : done + WINDOW], a[done + 1 : done + WINDOW + 1]
+                held[i] = a, done + WINDOW, size
+                continue
             at = 0
             while at < WINDOW:
-                if not len(a):
+                if done == size:
                     doc = next(docs, None)
                     if doc is None:
                         break
-                    a, b = np.append(np.int32(start), doc), np.append(doc, np.int32(1))
-                n = min(WINDOW - at, len(a))
-                inp[i, at : at + n], out[i, at : at + n] = a[:n], b[:n]
-                a, b, at = a[n:], b[n:], at + n
-            held[i] = a, b
+                    a, done, size = np.concatenate([first, doc, last]), 0, len(doc) + 1
+                n = min(WINDOW - at, size - done)
+                inp[i, at : at + n], out[i, at : at + n] = a[done : done + n], a[done + 1 : done + n + 1]
+                done, at = done + n, at + n
+            held[i] = a, done, size
         live = np.flatnonzero(inp[:, 0] >= 0)
         if len(live):
             yield inp[live].T, out[live].T, live
@@ -454,12 +498,16 @@ def _scored(rows: DataFrame, vocabulary: Vocabulary, network: Network, head_hash
         v, net = Vocabulary(words), Network(size, params=params)
         worth = np.log10((count + 1) / denominator)
         end = np.log10((n_docs + 1) / denominator)
+        place = np.concatenate([np.zeros(2, np.int64), np.searchsorted(known, words)])  # of ids, in ``known``
         for batch in gathered(batches):
             docs, other, base, seen, rare = [], [], [], [], []
             for _, _, w in word_slices(batch.column(2), fold=LOWER):
                 ids, doc = v.ids(w.hash), w.doc()
-                at = np.minimum(np.searchsorted(known, w.hash), max(len(known) - 1, 0))
-                frequent = known[at] == w.hash if len(known) else np.zeros(len(w.hash), bool)
+                at, frequent = place[ids], ids > 0
+                out = np.flatnonzero(~frequent)  # of the vocabulary
+                if len(known):
+                    at[out] = np.minimum(np.searchsorted(known, w.hash[out]), len(known) - 1)
+                    frequent[out] = known[at[out]] == w.hash[out]
                 base.append(np.bincount(doc[frequent], worth[at[frequent]], minlength=w.n) + end)
                 seen.append(np.bincount(doc[frequent], minlength=w.n) + (n_docs > 0))
                 new = frequent & (ids == 0)

@@ -96,6 +96,37 @@ def test_softmax_gradients():
     assert abs((net.gradients(up, ids)[0] - net.gradients(down, ids)[0]) / 2e-5 - dh[2, 1]) < 1e-6
 
 
+def test_logits_are_made_in_blocks_that_do_not_change_the_result(monkeypatch):
+    rng, rows, real = np.random.default_rng(6), [], G.Network._log_chance
+    net = G.Network(30, hidden=4, classes=3)
+    h, ids = rng.normal(size=(200, 4)).astype(np.float32), rng.integers(0, 30, 200)
+    monkeypatch.setattr(G.Network, "_log_chance", staticmethod(lambda x, at, wide: rows.append(len(x)) or real(x, at, wide)))
+    found = []
+    for block in (1000, 7):
+        monkeypatch.setattr(G, "BLOCK", block)
+        rows.clear()
+        found.append((net.log_chances(h, ids), *net.gradients(h, ids)))
+        assert max(rows) <= block and sum(rows) == 4 * len(ids)
+    (a, loss, dh, grads), (b, loss_b, dh_b, grads_b) = found
+    assert np.allclose(a, b, atol=1e-5) and abs(loss - loss_b) < 1e-5 and np.allclose(dh, dh_b, atol=1e-6)
+    assert all(np.allclose(grads[k], grads_b[k], atol=1e-6) for k in grads)
+
+
+def test_rows_of_rare_and_frequent_symbols_are_added(monkeypatch):
+    rng = np.random.default_rng(7)
+    for size, n in ((9, 0), (9, 1), (40, 3000), (70_000, 500)):
+        at = np.minimum(rng.geometric(0.1, n), size) - 1
+        at[: n // 10] = size - 1
+        rows, want = rng.normal(size=(n, 6)), np.ones((size, 6))
+        got = want.copy()
+        np.add.at(want, at, rows)
+        for few in (0, 1, G.FEW):
+            monkeypatch.setattr(G, "FEW", few)
+            table = got.copy()
+            G.added(table, at, rows)
+            assert np.allclose(table, want)
+
+
 def test_training_lowers_the_loss():
     rng = np.random.default_rng(5)
     docs = [np.tile(np.array([3, 4, 5, 6], np.int32), 20) for _ in range(40)]
