@@ -12,6 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 F32 = np.float32
+#: Values the optimiser works on at a time: what a core's cache holds.
+PIECE = 1 << 14
 
 
 def init(symbols: int, hidden: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
@@ -26,32 +28,31 @@ class Runner:
 
     def __init__(self, p: dict[str, np.ndarray], lanes: int):
         k = p["U"].shape[0]
-        gate = lambda m, i, f: np.ascontiguousarray(m[:, i * k : (i + 1) * k] * F32(f))
-        self.tables = [gate(p["X"], i, f) for i, f in enumerate((-1, -1, -2))]
-        self.weights = [gate(p["U"], i, f) for i, f in enumerate((-1, -1, -2))]
-        self.buffers = [np.empty((lanes, k), F32) for _ in range(4)]
+        (self.zr, self.n), (self.zr_weights, self.n_weights) = ([x * F32(f) for x, f in zip(_gates(p[i], k), (-1, -2), strict=True)] for i in "XU")
+        self.k, self.buffers = k, np.empty((6, lanes * k), F32)
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> None:
         """Moves the state of the lanes on, in place."""
-        z, r, n, x = (b[: len(h)] for b in self.buffers)
+        lanes, k = len(h), self.k
+        zr, more = (b.reshape(-1)[: 2 * lanes * k].reshape(2, lanes, k) for b in (self.buffers[:2], self.buffers[2:4]))
+        n, x = (b[: lanes * k].reshape(lanes, k) for b in self.buffers[4:])
         with np.errstate(over="ignore"):
-            for out, table, weight in ((z, self.tables[0], self.weights[0]), (r, self.tables[1], self.weights[1])):
-                np.matmul(h, weight, out=out)
-                np.take(table, ids, axis=0, out=x, mode="clip")
-                out += x
-                np.exp(out, out=out)
-                out += F32(1)
-                np.reciprocal(out, out=out)
-            np.matmul(h, self.weights[2], out=n)
-            n *= r
-            np.take(self.tables[2], ids, axis=0, out=x, mode="clip")
+            np.matmul(h, self.zr_weights, out=zr)
+            self.zr.take(ids, 1, out=more, mode="clip")
+            zr += more
+            np.exp(zr, out=zr)
+            zr += F32(1)
+            np.reciprocal(zr, out=zr)
+            np.matmul(h, self.n_weights, out=n)
+            n *= zr[1]
+            self.n.take(ids, 0, out=x, mode="clip")
             n += x
             np.exp(n, out=n)
         n += F32(1)
         np.divide(F32(2), n, out=n)
         n -= F32(1)
         h -= n
-        h *= z
+        h *= zr[0]
         h += n
 
 
@@ -68,67 +69,76 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _gates(m: np.ndarray, k: int) -> list[np.ndarray]:
-    """Columns of the three gates, each contiguous."""
-    return [np.ascontiguousarray(m[:, i * k : (i + 1) * k]) for i in range(3)]
+def _gates(m: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of update and reset (gate, row, column) and those of the candidate, contiguous."""
+    return np.stack([m[:, :k], m[:, k : 2 * k]]), np.ascontiguousarray(m[:, 2 * k :])
 
 
-def forward(p: dict[str, np.ndarray], ids: np.ndarray, h: np.ndarray, reset: np.ndarray | None = None) -> tuple[np.ndarray, list]:
-    """(states after every step, what backpropagation needs)."""
-    k, states, cache, h = h.shape[1], np.empty((*ids.shape, h.shape[1]), F32), [], h.copy()
-    (xz, xr, xn), (uz, ur, un) = _gates(p["X"], k), _gates(p["U"], k)
-    for t in range(len(ids)):
-        if reset is not None:
-            h[reset[t]] = 0
-        z, r, gn = h @ uz, h @ ur, h @ un
-        z += xz.take(ids[t], 0, mode="clip")
-        r += xr.take(ids[t], 0, mode="clip")
-        _sigmoid(z)
-        n = _sigmoid(r) * gn
-        n += xn.take(ids[t], 0, mode="clip")
-        np.tanh(n, out=n)
-        cache.append((h, z, r, gn, n))
-        h = h - n
-        h *= z
-        h += n
-        states[t] = h
-    return states, cache
+def gates(p: dict[str, np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+    """The table and the recurrent weights by gate, as ``forward`` takes them."""
+    return tuple(_gates(p[i], p["U"].shape[0]) for i in "XU")
 
 
-def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: list, dstates: np.ndarray, reset: np.ndarray | None = None, add=np.add.at) -> dict[str, np.ndarray]:
+def forward(p: dict[str, np.ndarray], ids: np.ndarray, h: np.ndarray, reset: np.ndarray | None = None, by_gate: tuple | None = None) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """(states after every step, what backpropagation needs); ``by_gate`` is ``gates(p)``."""
+    (steps, lanes), k, dtype = ids.shape, h.shape[1], np.result_type(h, p["U"])
+    (xzr, xn), (uzr, un) = by_gate or gates(p)
+    states, before, zr = np.empty((steps, lanes, k), F32), np.empty((steps + 1, lanes, k), dtype), np.empty((steps, 2, lanes, k), dtype)
+    gn, n = (np.empty((steps, lanes, k), dtype) for _ in range(2))
+    more, ids = np.empty((2, lanes, k), xzr.dtype), np.ascontiguousarray(ids, np.intp)
+    before[0], some = h, np.zeros(steps, bool) if reset is None else reset.any(1)
+    for t in range(steps):
+        h, (z, r) = before[t], zr[t]
+        if some[t]:
+            h[reset[t]] = 0
+        np.matmul(h, uzr, out=zr[t])
+        np.matmul(h, un, out=gn[t])
+        xzr.take(ids[t], 1, out=more, mode="clip")
+        zr[t] += more
+        _sigmoid(zr[t])
+        np.multiply(r, gn[t], out=n[t])
+        xn.take(ids[t], 0, out=more[0], mode="clip")
+        n[t] += more[0]
+        np.tanh(n[t], out=n[t])
+        new = np.subtract(h, n[t], out=before[t + 1])
+        new *= z
+        new += n[t]
+        states[t] = new
+    return states, (before[:-1], zr, gn, n)
+
+
+def backward(p: dict[str, np.ndarray], ids: np.ndarray, cache: tuple[np.ndarray, ...], dstates: np.ndarray, reset: np.ndarray | None = None, add=np.add.at) -> dict[str, np.ndarray]:
     """Gradients of the table and the recurrent weights, given those of every state;
     ``add`` adds rows to the table."""
-    k = p["U"].shape[0]
-    dx, dg = np.empty((*ids.shape, 3 * k), F32), np.empty((*ids.shape, 3 * k), F32)
-    before, dh = np.empty((*ids.shape, k), F32), np.zeros((ids.shape[1], k), F32)
-    d, e, f = (np.empty(dh.shape, F32) for _ in range(3))
+    k, (before, every_zr, every_gn, every_n) = p["U"].shape[0], cache
+    # of the candidate, update, reset and the candidate's recurrent part: the table's
+    # gradients are the first three, the recurrent weights' the last three
+    grads, dh = np.empty((*ids.shape, 4 * k), F32), np.zeros((ids.shape[1], k), F32)
+    (d, f), e = (np.empty(dh.shape, F32) for _ in range(2)), np.empty((2, *dh.shape), F32)
+    some = np.zeros(len(ids), bool) if reset is None else reset.any(1)
     for t in range(len(ids) - 1, -1, -1):
-        h, z, r, gn, n = cache[t]
-        before[t] = h
+        h, zr, gn, n, g = before[t], every_zr[t], every_gn[t], every_n[t], grads[t]
         dh += dstates[t]
-        np.subtract(1, z, out=e)
-        np.multiply(dh, e, out=d)
-        e *= z
+        np.subtract(1, zr, out=e)
+        np.multiply(dh, e[0], out=d)
+        e *= zr
         np.subtract(h, n, out=f)
         f *= dh
-        np.multiply(f, e, out=dx[t][:, :k])
+        np.multiply(f, e[0], out=g[:, k : 2 * k])
         np.multiply(n, n, out=f)
         np.subtract(1, f, out=f)
         d *= f  # of the candidate
-        dx[t][:, 2 * k :] = d
-        np.subtract(1, r, out=e)
-        e *= r
+        g[:, :k] = d
         np.multiply(d, gn, out=f)
-        np.multiply(f, e, out=dx[t][:, k : 2 * k])
-        dg[t][:, : 2 * k] = dx[t][:, : 2 * k]
-        np.multiply(d, r, out=dg[t][:, 2 * k :])
-        dh *= z
-        dh += dg[t] @ p["U"].T
-        if reset is not None:
+        np.multiply(f, e[1], out=g[:, 2 * k : 3 * k])
+        np.multiply(d, zr[1], out=g[:, 3 * k :])
+        dh *= zr[0]
+        dh += g[:, k:] @ p["U"].T
+        if some[t]:
             dh[reset[t]] = 0
-    table = np.zeros_like(p["X"])
-    add(table, ids.ravel(), dx.reshape(-1, 3 * k))
-    return {"X": table, "U": before.reshape(-1, k).T @ dg.reshape(-1, 3 * k)}
+    table, flat = np.zeros_like(p["X"]), grads.reshape(-1, 4 * k)
+    add(table, ids.ravel(), flat[:, : 3 * k])
+    return {"X": np.roll(table, -k, 1), "U": before.reshape(-1, k).T @ flat[:, k:]}
 
 
 class Adam:
@@ -142,22 +152,25 @@ class Adam:
         self.t += 1
         norm = share * np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         cut = share * min(1.0, 5.0 / (norm + 1e-9))  # gradient clipping
-        a, b = 1 - 0.9**self.t, 1 - 0.999**self.t
-        step = F32(self.rate * scale / a)
+        b = 1 - 0.999**self.t
+        step = F32(self.rate * scale / (1 - 0.9**self.t))
         for k, g in grads.items():
             every = [x.reshape(-1) for x in (g, self.m[k], self.v[k], self.params[k])]
-            for i in range(0, g.size, 1 << 15):  # what a core's cache holds
-                g, m, v, x = (y[i : i + (1 << 15)] for y in every)
-                g = g * F32(cut)
+            one, two = np.empty((2, min(g.size, PIECE)), g.dtype)
+            for i in range(0, g.size, PIECE):
+                g, m, v, x = (y[i : i + PIECE] for y in every)
+                a, c = one[: len(g)], two[: len(g)]
+                np.multiply(g, F32(cut), out=a)
                 m *= F32(0.9)
-                m += F32(0.1) * g
-                g *= g
-                g *= F32(0.001)
+                np.multiply(a, F32(0.1), out=c)
+                m += c
+                a *= a
+                a *= F32(0.001)
                 v *= F32(0.999)
-                v += g
-                np.multiply(v, F32(1 / b), out=g)
-                np.sqrt(g, out=g)
-                g += F32(1e-8)
-                np.divide(m, g, out=g)
-                g *= step
-                x -= g
+                v += a
+                np.multiply(v, F32(1 / b), out=a)
+                np.sqrt(a, out=a)
+                a += F32(1e-8)
+                np.divide(m, a, out=a)
+                a *= step
+                x -= a

@@ -46,9 +46,12 @@ from cardpanel.llm.tokens import LOWER, word_slices
 VOCABULARY, CLASSES, HIDDEN, HEAD = 4094, 64, 24, 1 << 18
 ROUNDS, PIECE = 8, 1 << 14
 LANES, WINDOW = 512, 32
-TRAIN_LANES, UPDATES, RATE = 64, 500, 0.01
+#: Lanes of the fit: the fewest and the most.
+TRAIN_LANES, MOST_LANES, UPDATES, RATE = 64, 384, 500, 0.01
 #: Rows of logits at a time; rows of a symbol that are added one by one.
 BLOCK, FEW = 1024, 16
+#: Words of a task counted at a time.
+AT_ONCE = 1 << 21
 U, F32 = np.uint64, np.float32
 #: Kinds of counts: words, words in all, documents.
 WORD, WORDS, DOCUMENTS = range(3)
@@ -60,17 +63,27 @@ WORD, WORDS, DOCUMENTS = range(3)
 def counts(documents: DataFrame) -> DataFrame:
     """(kind, key, c) over all documents."""
 
+    def rows(kind, key, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["kind", "key", "c"])
+
     def run(batches):
+        n_docs, n_words, held = 0, 0, []
         for batch in batches:
-            rows = [(DOCUMENTS, np.zeros(1, np.int64), np.array([batch.num_rows]))]
+            n_docs += batch.num_rows
             for _, _, w in word_slices(batch.column(0), fold=LOWER):
-                key, n = np.unique(w.hash, return_counts=True)
-                rows += [(WORD, key.view(np.int64), n), (WORDS, np.zeros(1, np.int64), np.array([len(w.hash)]))]
-            for kind, key, n in rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))], ["kind", "key", "c"])
+                held.append(w.hash)
+                n_words += len(w.hash)
+                if sum(map(len, held)) >= AT_ONCE:
+                    yield rows(WORD, *np.unique(np.concatenate(held), return_counts=True))
+                    held = []
+        if held:
+            yield rows(WORD, *np.unique(np.concatenate(held), return_counts=True))
+        if n_docs:
+            for kind, n in ((WORDS, n_words), (DOCUMENTS, n_docs)):
+                yield rows(kind, np.zeros(1, np.int64), np.array([n]))
 
-    rows = documents.select(F.col("text").cast("string")).mapInArrow(run, "kind int, key long, c long")
-    return rows.groupBy("kind", "key").agg(F.sum("c").alias("c"))
+    found = documents.select(F.col("text").cast("string")).mapInArrow(run, "kind int, key long, c long")
+    return found.groupBy("kind", "key").agg(F.sum("c").alias("c"))
 
 
 # -- vocabulary ---------------------------------------------------------------------------
@@ -127,16 +140,22 @@ class Network:
 
     @staticmethod
     def _log_chance(x: np.ndarray, at: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(natural log chance of ``at`` in each row of logits, their exponentials, in
-        place, their sums, and the flat places of ``at``)."""
+        """(logit of ``at`` in each row of logits, their exponentials, in place, their
+        sums, and the flat places of ``at``): the log chance is the logit less the sum's log."""
         if wide:
             x -= x.max(1, keepdims=True)
         place = np.arange(0, x.size, x.shape[1])
         place += at
-        picked = x.reshape(-1)[place]
+        picked = x.reshape(-1).take(place)
         np.exp(x, out=x)
         total = x @ (_ONES[: x.shape[1]] if x.dtype == F32 and x.shape[1] <= len(_ONES) else np.ones(x.shape[1], x.dtype))
-        return picked - np.log(total), x, total, place
+        return picked, x, total, place
+
+    def _softmaxes(self, edges: np.ndarray, first: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, list[slice]]]:
+        """(0 for classes or 1 for words, class, weights, blocks of rows) of every softmax that has rows in order of class."""
+        yield 0, 0, first, list(_blocks(0, edges[-1]))
+        for c in np.flatnonzero(np.diff(edges)):
+            yield 1, int(c), words[c][:, : self._word_count(c)], list(_blocks(edges[c], edges[c + 1]))
 
     def _by_class(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """States (with a one for the bias) and ids in order of class, classes, their edges, the order."""
@@ -147,54 +166,48 @@ class Network:
         k = k[order]
         return states, ids[order], k, np.searchsorted(k, np.arange(self.classes + 1)), order
 
-    def log_chances(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def log_chances(self, h: np.ndarray, ids: np.ndarray, tables: tuple[np.ndarray, np.ndarray, bool] | None = None) -> np.ndarray:
         """Natural log chance of each id in its state."""
-        first, words, wide = self._tables()
+        first, words, wide = tables or self._tables()
         h, ids, k, edges, order = self._by_class(h, ids)
-        found = np.empty(len(ids), h.dtype)
-        for on in _blocks(0, len(ids)):
-            found[on] = self._log_chance(h[on] @ first, k[on], wide)[0]
-        for c in np.flatnonzero(np.diff(edges)):
-            for on in _blocks(edges[c], edges[c + 1]):
-                found[on] += self._log_chance(h[on] @ words[c][:, : self._word_count(c)], ids[on] - c * self.each, wide)[0]
-        out = np.empty_like(found)
-        out[order] = found
+        at, logit, total = (k, ids - k * self.each), np.empty((2, len(ids)), h.dtype), np.empty((2, len(ids)), h.dtype)
+        logits = np.empty(BLOCK * max(first.shape[1], self.each), np.result_type(h, first))
+        for i, _, weights, blocks in self._softmaxes(edges, first, words):
+            for on in blocks:
+                logit[i, on], _, total[i, on], _ = self._log_chance(_product(h[on], weights, logits), at[i][on], wide)
+        logit -= np.log(total, out=total)
+        out = np.empty_like(logit[0])
+        out[order] = logit.sum(0)
         return out
 
     def gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[float, np.ndarray, dict[str, np.ndarray]]:
         """(mean loss, gradient of the states, gradients of the softmax)."""
         first, words, wide = self._tables()
         h, ids, k, edges, order = self._by_class(h, ids)
-        n, scale = len(ids), h.dtype.type(1 / len(ids))
-
-        def step(h, at, weights, back):
-            """Loss, gradient of the states and of the weights of one softmax."""
-            logp, d, total, place = self._log_chance(h @ weights, at, wide)
-            d *= np.reciprocal(total)[:, None]
-            d.reshape(-1)[place] -= 1
-            return -float(logp.sum(dtype=float)), d @ back, h.T @ d
-
-        loss, dh, first_grad, word_grad = 0.0, np.empty((n, self.hidden), h.dtype), np.zeros_like(first), np.zeros_like(words)
-        back = np.ascontiguousarray(first[:-1].T)
-        for on in _blocks(0, n):
-            more, dh[on], grad = step(h[on], k[on], first, back)
-            loss += more
-            first_grad += grad
-        for c in np.flatnonzero(np.diff(edges)):
-            m = self._word_count(c)
-            weights = words[c][:, :m]
-            back = np.ascontiguousarray(weights[:-1].T)
-            for on in _blocks(edges[c], edges[c + 1]):
-                more, d, grad = step(h[on], ids[on] - c * self.each, weights, back)
-                loss += more
-                dh[on] += d
-                word_grad[c][:, :m] += grad
+        n, scale, at = len(ids), h.dtype.type(1 / len(ids)), (k, ids - k * self.each)
+        logit, total = (np.empty((2, n), h.dtype) for _ in range(2))
+        logits = np.empty(BLOCK * max(first.shape[1], self.each), np.result_type(h, first))
+        dh, first_grad, word_grad = np.empty((n, self.hidden), h.dtype), np.zeros_like(first), np.zeros_like(words)
+        for i, c, weights, blocks in self._softmaxes(edges, first, words):
+            back, grad = np.ascontiguousarray(weights[:-1].T), word_grad[c][:, : weights.shape[1]] if i else first_grad
+            for on in blocks:
+                rows = h[on]
+                logit[i, on], d, sums, place = self._log_chance(_product(rows, weights, logits), at[i][on], wide)
+                total[i, on] = sums
+                d *= np.reciprocal(sums)[:, None]
+                d.reshape(-1)[place] -= 1
+                if i:
+                    dh[on] += d @ back
+                else:
+                    np.matmul(d, back, out=dh[on])
+                grad += rows.T @ d
+        logit -= np.log(total, out=total)
         back = np.empty_like(dh)
+        dh *= scale
         back[order] = dh
-        back *= scale
         first_grad *= scale
         word_grad *= scale
-        return loss / n, back, {"C": first_grad[:-1], "c": first_grad[-1], "W": word_grad[:, :-1], "w": word_grad[:, -1]}
+        return -float(logit.sum(dtype=float)) / n, back, {"C": first_grad[:-1], "c": first_grad[-1], "W": word_grad[:, :-1], "w": word_grad[:, -1]}
 
     def train(self, docs: list[np.ndarray], updates: int = UPDATES, lanes: int = TRAIN_LANES) -> list[float]:
         """Whole passes over ``docs`` in their order, as many as ``updates`` updates take, at least one."""
@@ -206,50 +219,62 @@ class Network:
 
     def learn(self, docs: Iterable[np.ndarray], lanes: int, adam: gru.Adam, late: int) -> list[float]:
         """Truncated backpropagation over every window of ``docs``, the state carried on
-        within a text.  A window's gradient counts by its share of known places; from
-        update ``late`` on steps are smaller."""
+        within a text.  An update takes as many windows as fill the lanes, one while all
+        have texts; its gradient counts by its share of known places; from update ``late``
+        on steps are smaller."""
         losses, h = [], np.zeros((lanes, self.hidden), F32)
-        for u, (inp, out, live) in enumerate(streamed(docs, self.size, lanes)):
-            h, reset, known = h[live], inp == self.size, inp >= 0
-            inp = np.maximum(inp, 0)
-            states, cache = gru.forward(self.p, inp, h, reset)
-            flat, on = states.reshape(-1, self.hidden), known.ravel()
+        for u, windows in enumerate(_full(streamed(docs, self.size, lanes), lanes)):
+            runs, by_gate = [], gru.gates(self.p)
+            for inp, _, live in windows:
+                runs.append(gru.forward(self.p, np.maximum(inp, 0), h[live], inp == self.size, by_gate))
+                h = runs[-1][0][-1]
+            inp, out = (_beside([w[i] for w in windows], 1) for i in range(2))
+            states, cache = _beside([s for s, _ in runs], 1), tuple(_beside(list(x), -2) for x in zip(*[c for _, c in runs], strict=True))
+            flat, on = states.reshape(-1, self.hidden), (inp >= 0).ravel()
             if on.all():
                 loss, dstates, grads = self.gradients(flat, out.ravel())
             else:
                 loss, dflat, grads = self.gradients(flat[on], out.ravel()[on])
                 dstates = np.zeros_like(flat)
                 dstates[on] = dflat
-            grads |= gru.backward(self.p, inp, cache, dstates.reshape(states.shape), reset, added)
+            grads |= gru.backward(self.p, np.maximum(inp, 0), cache, dstates.reshape(states.shape), inp == self.size, added)
             adam.update(grads, 1.0 if u < late else 0.3, float(on.sum() / (lanes * WINDOW)))
             losses.append(loss)
-            h = states[-1]
         return losses
 
     def document_scores(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log chance of every document (ids of its words; the end is added)."""
         inp, out, owner = laid(docs, self.size, LANES)
         scores, h = np.zeros(len(docs)), np.zeros((inp.shape[1], self.hidden), F32)
-        run = gru.Runner(self.p, inp.shape[1])
-        for at in range(0, len(inp), WINDOW):
-            w = slice(at, at + WINDOW)
+        run, tables = gru.Runner(self.p, inp.shape[1]), self._tables()
+        at = 0
+        while at < len(inp):
             live = int((inp[at] >= 0).sum())  # lanes are sorted by length
+            w = slice(at, at + max(WINDOW, LANES * WINDOW // live))  # few lanes take longer windows
             ids, states = inp[w, :live], np.empty((len(inp[w]), live, self.hidden), F32)
-            h = h[:live]
+            symbols, starts = np.maximum(ids, 0).astype(np.intp), ids == self.size
+            some, h = starts.any(1), h[:live]
             for t in range(len(ids)):
-                h[ids[t] == self.size] = 0
-                run.step(np.maximum(ids[t], 0), h)
+                if some[t]:
+                    h[starts[t]] = 0
+                run.step(symbols[t], h)
                 states[t] = h
             on = (ids >= 0).ravel()
             on = slice(None) if on.all() else on
-            logp = self.log_chances(states.reshape(-1, self.hidden)[on], out[w, :live].ravel()[on])
+            logp = self.log_chances(states.reshape(-1, self.hidden)[on], out[w, :live].ravel()[on], tables)
             scores += np.bincount(owner[w, :live].ravel()[on], logp, minlength=len(docs))
+            at = w.stop
         return scores
 
 
 _ONES = np.ones(1 << 10, F32)
 
 
+def _product(a: np.ndarray, b: np.ndarray, buffer: np.ndarray) -> np.ndarray:
+    """a @ b in the front of ``buffer``, which stays in a core's cache."""
+    return np.matmul(a, b, out=buffer[: len(a) * b.shape[1]].reshape(len(a), b.shape[1]))
+
+
 def _blocks(lo: int, hi: int) -> Iterator[slice]:
     """Rows ``lo`` to ``hi`` in slices whose logits stay in a core's cache."""
     for i in range(lo, hi, BLOCK):
@@ -306,6 +331,23 @@ def streamed(docs: Iterable[np.ndarray], start: int, lanes: int) -> Iterator[tup
         held = [held[i] for i in live]
 
 
+def _full(windows: Iterable[tuple[np.ndarray, ...]], lanes: int) -> Iterator[list[tuple[np.ndarray, ...]]]:
+    """Consecutive windows of ``lanes`` lanes together at most: long texts leave windows of
+    few lanes, each of which would cost as much as a full one apart from the products."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for w in windows:
+        if held and sum(x[0].shape[1] for x in held) + w[0].shape[1] > lanes:
+            yield held
+            held = []
+        held.append(w)
+    if held:
+        yield held
+
+
+def _beside(parts: list[np.ndarray], axis: int) -> np.ndarray:
+    return parts[0] if len(parts) == 1 else np.concatenate(parts, axis)
+
+
 def laid(docs: list[np.ndarray], start: int, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, outputs, document of each) as (time, lane): documents one after
     another in the lane that is free first; -1 beyond a lane's end."""
@@ -379,7 +421,7 @@ def fitted(texts: DataFrame, tokens: int, size: int) -> tuple[dict[str, np.ndarr
     least = max(1, UPDATES * TRAIN_LANES * WINDOW)
     rounds = min(max(tokens // least, 1), ROUNDS)
     tasks = max(tokens // (rounds * least), 1)
-    lanes = min(max(tokens // max(1, UPDATES * WINDOW), TRAIN_LANES), LANES)
+    lanes = min(max(tokens // max(1, UPDATES * WINDOW), TRAIN_LANES), MOST_LANES)
     passes = max(1, -(-least // max(tokens, 1)))
     updates = passes * tokens / (rounds * tasks * lanes * WINDOW)  # of a task in a round, about
     network, read, steps = Network(size), 0, 0

@@ -145,6 +145,55 @@ def test_training_reads_every_window_of_long_and_short_documents():
     assert sorted(x for w in got for x in w) == sorted(want)
 
 
+def test_windows_of_few_lanes_are_learned_together(monkeypatch):
+    shapes, real = [], gru.backward
+    monkeypatch.setattr(gru, "backward", lambda p, ids, *rest: shapes.append(ids.copy()) or real(p, ids, *rest))
+    rng = np.random.default_rng(8)
+    docs = [rng.integers(2, 30, n).astype(np.int32) for n in [*[40] * 30, 41 * G.WINDOW, 3, 0]]
+    net, start = G.Network(30, hidden=4, classes=4), G.Network(30, hidden=4, classes=4)
+    losses = net.learn(iter(docs), 8, gru.Adam(net.p, G.RATE), 100)
+    tokens = sum(len(d) + 1 for d in docs)
+    assert len(losses) == len(shapes) <= 2 * tokens / (8 * G.WINDOW) + 1  # not one for each window of the long text
+    assert all(s.shape[0] == G.WINDOW and s.shape[1] <= 8 for s in shapes)
+    windows = [w[0] for w in G.streamed(iter(docs), 30, 8)]
+    assert sum(s.size for s in shapes) == sum(w.size for w in windows) and (np.concatenate(shapes, 1) == np.maximum(np.concatenate(windows, 1), 0)).all()
+    # one update over several windows is the sum of the windows' gradients, the state carried on
+    ids, out = rng.integers(0, 30, (2 * G.WINDOW, 3)), rng.integers(0, 30, (2 * G.WINDOW, 3))
+    h, parts = np.zeros((3, 4), np.float32), []
+    for i in range(2):
+        states, cache = gru.forward(start.p, ids[i * G.WINDOW : (i + 1) * G.WINDOW], h)
+        _, dh, grads = start.gradients(states.reshape(-1, 4), out[i * G.WINDOW : (i + 1) * G.WINDOW].ravel())
+        parts.append((states, cache, grads | real(start.p, ids[i * G.WINDOW : (i + 1) * G.WINDOW], cache, dh.reshape(states.shape), None, G.added)))
+        h = states[-1]
+    beside = lambda x: np.concatenate([x[: G.WINDOW], x[G.WINDOW :]], 1)
+    states, cache = np.concatenate([p[0] for p in parts], 1), tuple(np.concatenate([a, b], -2) for a, b in zip(parts[0][1], parts[1][1], strict=True))
+    _, dh, grads = start.gradients(states.reshape(-1, 4), beside(out).ravel())
+    grads |= real(start.p, beside(ids), cache, dh.reshape(states.shape), None, G.added)
+    assert all(np.allclose(g, (parts[0][2][k] + parts[1][2][k]) / 2, atol=1e-6) for k, g in grads.items())
+
+
+def test_long_texts_are_scored_in_long_windows(monkeypatch):
+    rng, rows = np.random.default_rng(9), []
+    net, real = G.Network(30, hidden=4, classes=4), G.Network.log_chances
+    docs = [rng.integers(2, 30, n).astype(np.int32) for n in (3000, 5, 0, 700, 2900)]
+    monkeypatch.setattr(G.Network, "log_chances", lambda self, h, ids, *rest: rows.append(len(ids)) or real(self, h, ids, *rest))
+    got = net.document_scores(docs)
+    assert sum(rows) == sum(len(d) + 1 for d in docs) and len(rows) <= 3 < max(map(len, docs)) / G.WINDOW
+    for d, x in zip(docs, got, strict=True):
+        states, _ = gru.forward(net.p, np.array([30, *d])[:, None], np.zeros((1, 4), np.float32))
+        assert abs(real(net, states[:, 0], np.append(d, 1)).sum() - x) < 1e-2
+
+
+def test_counts_do_not_depend_on_how_many_words_are_counted_at_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(f"a b a{i % 7} A\tb",) for i in range(300)] + [(None,), ("",)], "text string").repartition(3)
+    found = []
+    for n in (1 << 21, 50):
+        monkeypatch.setattr(G, "AT_ONCE", n)
+        found.append(sorted((r.kind, r.key, r.c) for r in G.counts(docs).collect()))
+    assert found[0] == found[1] and [c for k, _, c in found[0] if k != G.WORD] == [1500, 302]
+    assert sorted(c for k, _, c in found[0] if k == G.WORD) == sorted([600, 600, *[sum(i % 7 == j for i in range(300)) for j in range(7)]])
+
+
 def test_base_scores_equal_brute_force(spark, monkeypatch):
     import collections
     import math
