@@ -39,7 +39,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardpanel.llm import gru
-from cardpanel.llm.filters import BITS, passes
 from cardpanel.llm.tables import fold_of, stored
 from cardpanel.llm.tokens import LOWER, word_slices
 
@@ -98,13 +97,23 @@ class Vocabulary:
         self.order = np.argsort(by_frequency)
         self.hash = by_frequency[self.order]
         self.size = len(by_frequency) + 2
-        self.bits = np.zeros(BITS // 64, U)
-        place = (by_frequency % U(BITS)).astype(np.int64)
-        np.bitwise_or.at(self.bits, place >> 6, U(1) << (place & 63).astype(U))
+        # by the upper 16 bits: the id of the most frequent word that has them, and whether others do
+        place = self._place(by_frequency)
+        self.first, self.more = np.zeros(1 << 16, np.int32), np.bincount(place, minlength=1 << 16) > 1
+        self.first[place[::-1]] = np.arange(len(by_frequency), dtype=np.int32)[::-1] + 2
+        self.word = np.concatenate([np.zeros(2, U), by_frequency])
+
+    @staticmethod
+    def _place(h: np.ndarray) -> np.ndarray:
+        return (h >> U(48)).astype(np.intp)
 
     def ids(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), np.int32)
-        on = np.flatnonzero(passes(self.bits, h))
+        place = self._place(h)
+        out = self.first.take(place)
+        other = self.word.take(out) != h
+        out[other] = 0
+        other &= self.more.take(place)
+        on = np.flatnonzero(other)
         if len(on):
             at = np.minimum(np.searchsorted(self.hash, h[on]), len(self.hash) - 1)
             same = self.hash[at] == h[on]

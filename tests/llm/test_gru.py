@@ -194,6 +194,16 @@ def test_counts_do_not_depend_on_how_many_words_are_counted_at_once(spark, monke
     assert sorted(c for k, _, c in found[0] if k == G.WORD) == sorted([600, 600, *[sum(i % 7 == j for i in range(300)) for j in range(7)]])
 
 
+def test_ids_of_words_whose_hashes_share_their_upper_bits():
+    rng = np.random.default_rng(10)
+    h = np.unique(rng.integers(0, 1 << 64, 4000, dtype=np.uint64) & np.uint64(0x00FF_0000_0000_FFFF) | np.uint64(7))
+    h = rng.permutation(np.append(h, np.uint64(0)))
+    words, asked = h[: len(h) // 2], np.concatenate([h, h[::-1], np.zeros(1, np.uint64)])
+    want = {int(w): i + 2 for i, w in enumerate(words)}
+    assert G.Vocabulary(words).ids(asked).tolist() == [want.get(int(w), 0) for w in asked]
+    assert not G.Vocabulary(words[:0]).ids(asked).any() and len(G.Vocabulary(words).ids(asked[:0])) == 0
+
+
 def test_base_scores_equal_brute_force(spark, monkeypatch):
     import collections
     import math
